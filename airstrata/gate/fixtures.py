@@ -6,6 +6,8 @@ JSON document as a landed file would hold it, several of them for the same hour.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,10 +71,11 @@ def last_update(ts: Column) -> Column:
     )
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, carry: Sequence[str] = ()) -> DataFrame:
     """A document per event with 0 to 3 records, in the shape the file source delivers.
 
     The hour is the key under which documents compete; the event time is the file time.
+    ``carry`` keeps further columns of the events.
     """
     event_id, user_id, value = F.col("event_id"), F.col("user_id"), F.col("value")
     station = user_id % 10
@@ -103,4 +106,5 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(body).alias("value"),
         _text("doc_", event_id).alias("file_name"),
         F.col("ts").alias("file_modification_time"),
+        *carry,
     )
