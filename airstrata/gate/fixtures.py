@@ -8,67 +8,56 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from airstrata.schemas import COORDINATE, POLLUTANTS
 
-CODES = [p.code for p in POLLUTANTS]
+CODES = f"array({', '.join(repr(p.code) for p in POLLUTANTS)})"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _hour(ts: str, step: int) -> Column:
+def _hours(step: int) -> str:
     """``ts`` cut down to a multiple of ``step`` hours, without passing through a time zone."""
-    return F.make_timestamp_ntz(
-        F.year(ts),
-        F.month(ts),
-        F.dayofmonth(ts),
-        F.expr(f"hour({ts}) div {step} * {step}").cast("int"),
-        F.lit(0),
-        F.lit(0),
+    return (
+        "make_timestamp_ntz(year(ts), month(ts), day(ts), "
+        f"cast(hour(ts) div {step} * {step} as int), 0, 0)"
     )
 
 
-def _code(number: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, CODES)), (number % len(CODES) + 1).cast("int"))
+def _code(number: str) -> str:
+    return f"element_at({CODES}, cast({number} % {len(POLLUTANTS)} + 1 as int))"
 
 
-def _text(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
+# Ten stations in five cities and two states.
+PLACE = """
+    'WORLD' as country,
+    concat('R_', user_id % 10 % 5 % 2) as state,
+    concat('C', user_id % 10 % 5) as city,
+    concat('S', user_id % 10) as station"""
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten stations in five cities and two states, a reading every six hours."""
-    station = F.col("user_id") % 10
-    value = F.floor("value").cast("string")
-    return table(spark, sf_dir, "events").select(
-        _hour("ts", 6).alias("index_record_ts"),
-        F.lit("WORLD").alias("country"),
-        _text("R_", station % 5 % 2).alias("state"),
-        _text("C", station % 5).alias("city"),
-        _text("S", station).alias("station"),
-        station.cast(COORDINATE).alias("latitude"),
-        (station * 2).cast(COORDINATE).alias("longitude"),
-        _code(F.col("event_id")).alias("pollutant_id"),
-        F.when(F.col("value") < 2, "NA").otherwise(value).alias("pollutant_avg"),
+    """A reading of one pollutant every six hours."""
+    return spark.sql(
+        f"""
+        select {_hours(6)} as index_record_ts, {PLACE},
+               cast(user_id % 10 as {COORDINATE.simpleString()}) as latitude,
+               cast(user_id % 10 * 2 as {COORDINATE.simpleString()}) as longitude,
+               {_code('event_id')} as pollutant_id,
+               if(value < 2, 'NA', cast(floor(value) as string)) as pollutant_avg
+        from {{events}}""",
+        events=table(spark, sf_dir, "events"),
     )
 
 
-def last_update(ts: Column) -> Column:
-    """``dd-MM-yyyy HH:mm:ss`` text of a zone-less timestamp."""
-    text = ts.cast("string")
-    return F.concat(
-        F.substring(text, 9, 2),
-        F.lit("-"),
-        F.substring(text, 6, 2),
-        F.lit("-"),
-        F.substring(text, 1, 4),
-        F.lit(" "),
-        F.substring(text, 12, 8),
-    )
+def last_update(ts: str) -> str:
+    """SQL for the ``dd-MM-yyyy HH:mm:ss`` text of a zone-less timestamp."""
+    text = f"cast({ts} as string)"
+    day, month, year = f"substr({text}, 9, 2)", f"substr({text}, 6, 2)", f"substr({text}, 1, 4)"
+    return f"concat({day}, '-', {month}, '-', {year}, ' ', substr({text}, 12, 8))"
 
 
 def documents(spark: SparkSession, sf_dir: str, carry: Sequence[str] = ()) -> DataFrame:
@@ -77,34 +66,28 @@ def documents(spark: SparkSession, sf_dir: str, carry: Sequence[str] = ()) -> Da
     The hour is the key under which documents compete; the event time is the file time.
     ``carry`` keeps further columns of the events.
     """
-    event_id, user_id, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    station = user_id % 10
-
-    def record(i: int) -> Column:
-        reading = F.floor(value) + i
-        return F.struct(
-            F.lit("WORLD").alias("country"),
-            _text("R_", station % 5 % 2).alias("state"),
-            _text("C", station % 5).alias("city"),
-            _text("S", station).alias("station"),
-            station.cast("string").alias("latitude"),
-            (station * 2).alias("longitude"),
-            _code(event_id + i).alias("pollutant_id"),
-            (reading + 1).cast("string").alias("pollutant_max"),
-            reading.alias("pollutant_min"),
-            F.when(value < 2, "NA").otherwise(reading.cast("string")).alias("pollutant_avg"),
-            # Later records differ: a document goes by its first record.
-            last_update(F.col("ts") if i else _hour("ts", 1)).alias("last_update"),
-        )
-
-    records = F.slice(F.array(*[record(i) for i in range(3)]), F.lit(1), (event_id % 4).cast("int"))
-    body = F.struct(
-        (event_id % 4).alias("total"), F.lit("1.0").alias("version"), records.alias("records")
-    )
-    return table(spark, sf_dir, "events").select(
-        "event_id",
-        F.to_json(body).alias("value"),
-        _text("doc_", event_id).alias("file_name"),
-        F.col("ts").alias("file_modification_time"),
-        *carry,
+
+    def record(i: int) -> str:
+        # Later records carry another time: a document goes by its first record.
+        time = last_update("ts" if i else _hours(1))
+        return f"""struct({PLACE},
+            cast(user_id % 10 as string) as latitude,
+            user_id % 10 * 2 as longitude,
+            {_code(f'(event_id + {i})')} as pollutant_id,
+            cast(floor(value) + {i + 1} as string) as pollutant_max,
+            floor(value) + {i} as pollutant_min,
+            if(value < 2, 'NA', cast(floor(value) + {i} as string)) as pollutant_avg,
+            {time} as last_update)"""
+
+    records = f"slice(array({', '.join(map(record, range(3)))}), 1, cast(event_id % 4 as int))"
+    return spark.sql(
+        f"""
+        select event_id,
+               to_json(struct(event_id % 4 as total, '1.0' as version, {records} as records))
+                 as value,
+               concat('doc_', event_id) as file_name,
+               ts as file_modification_time
+               {''.join(f', {c}' for c in carry)}
+        from {{events}}""",
+        events=table(spark, sf_dir, "events"),
     )

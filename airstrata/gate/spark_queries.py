@@ -8,6 +8,7 @@ the pivot is not computed again for them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,14 @@ from airstrata.operators import (
     star_join,
 )
 from airstrata.plans import consume, model
-from airstrata.schemas import GOLD_MEASURES, MEASURES, READING_KEYS, RECORD_FIELDS
+from airstrata.schemas import (
+    AUDIT_COLUMNS,
+    GOLD_MEASURES,
+    MEASURES,
+    READING_KEYS,
+    RECORD_FIELDS,
+)
+from airstrata.session import stored
 from airstrata.sources.documents import parse_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,12 +61,24 @@ class Chain:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, day: str | Column | None = None):
-        everything = readings(spark, sf_dir)
-        chosen = everything if day is None else _on_day(everything, day)
-        self.wide = model.wide_clean(chosen)
-        self.fact = model.fact_air_quality(self.wide)
-        self.dates = model.dim_date(chosen)
-        self.locations = model.dim_location(model.spaced_states(everything))
+        self.everything = readings(spark, sf_dir)
+        self.chosen = self.everything if day is None else _on_day(self.everything, day)
+
+    @cached_property
+    def wide(self) -> DataFrame:
+        return model.wide_clean(self.chosen)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return model.fact_air_quality(self.wide)
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        return model.dim_date(self.chosen)
+
+    @cached_property
+    def locations(self) -> DataFrame:
+        return model.dim_location(model.spaced_states(self.everything))
 
     def hours(self) -> DataFrame:
         return model.city_hour(self.fact, self.dates, self.locations)
@@ -69,11 +89,16 @@ class Chain:
         )
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def parsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse_documents(documents(spark, sf_dir), carry=["event_id"])
     return parsed.withColumnRenamed("event_id", "id")
 
 
+def bronze(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Stored bronze rows, as in the model: parsed once, however often they are scanned."""
+    return stored(parsed_documents(spark, sf_dir).select(*columns), "bronze")
+
+
 def q_json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = documents(spark, sf_dir, carry=["props"]).select(
         "event_id", F.parse_json("props").alias("props"), F.parse_json("value").alias("document")
@@ -88,7 +113,7 @@ def q_json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_parse_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some texts are spoiled: another format, an impossible day."""
-    good = last_update(F.col("ts"))
+    good = F.expr(last_update("ts"))
     spoiled = (
         F.when(F.col("event_id") % 5 == 1, F.substring(F.col("ts").cast("string"), 1, 19))
         .when(F.col("event_id") % 5 == 2, F.concat(F.lit("31-02"), F.substring(good, 6, 14)))
@@ -98,7 +123,7 @@ def q_parse_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_bronze_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze(spark, sf_dir).select(
+    return parsed_documents(spark, sf_dir).select(
         "id",
         "index_record_ts",
         "record_count",
@@ -110,14 +135,14 @@ def q_bronze_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_flatten_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = flatten_records(
-        bronze(spark, sf_dir), "json_data", RECORD_FIELDS, ["_stg_file_name"]
-    )
+    parsed = parsed_documents(spark, sf_dir)
+    flat = flatten_records(parsed, "json_data", RECORD_FIELDS, ["_stg_file_name"])
     return flat.drop("latitude", "longitude")
 
 
 def q_silver_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long = model.silver_long(bronze(spark, sf_dir))
+    columns = ["id", "index_record_ts", "json_data", *AUDIT_COLUMNS]
+    long = model.silver_long(bronze(spark, sf_dir, *columns))
     return long.drop("_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts")
 
 
@@ -128,16 +153,17 @@ def q_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_file_rank_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consume.file_rank_audit(bronze(spark, sf_dir)).drop("_stg_file_md5", "_copy_data_ts")
+    audit = consume.file_rank_audit(bronze(spark, sf_dir, "id", *consume.FILE_COLUMNS))
+    return audit.drop("_stg_file_md5", "_copy_data_ts")
 
 
 def q_file_rank_audit_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    audit = consume.file_rank_audit(bronze(spark, sf_dir), 10)
+    audit = consume.file_rank_audit(bronze(spark, sf_dir, "id", *consume.FILE_COLUMNS), 10)
     return audit.drop("_stg_file_md5", "_copy_data_ts")
 
 
 def q_bronze_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consume.bronze_ids(bronze(spark, sf_dir))
+    return consume.bronze_ids(bronze(spark, sf_dir, "id", "index_record_ts"))
 
 
 def q_load_once(spark: SparkSession, sf_dir: str) -> DataFrame:

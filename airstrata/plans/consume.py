@@ -19,6 +19,7 @@ from airstrata.schemas import (
 )
 
 CITY_ORDER = ("country", "state", "city", "measurement_time")
+FILE_COLUMNS = ("index_record_ts", "record_count", "json_version", *AUDIT_COLUMNS)
 MAP_COORDINATE = T.DecimalType(10, 7)
 
 
@@ -116,19 +117,18 @@ def file_rank_audit(bronze: DataFrame, n: int | None = None) -> DataFrame:
     With ``n``, the files of the latest hours: sorting by hour and then by rank order means
     the first ``n`` rows hold every better-ranked file, so ranking those rows alone is exact.
     """
-    columns = ["index_record_ts", "record_count", "json_version", *AUDIT_COLUMNS]
     newest = ["_stg_file_load_ts", "_stg_file_name", "id"]
-    files = bronze.filter(F.col("index_record_ts").isNotNull()).select("id", *columns)
+    files = bronze.filter(F.col("index_record_ts").isNotNull()).select("id", *FILE_COLUMNS)
     if n is None:
         ranked = rank_within_key(files, ["index_record_ts"], newest, "latest_file_rank")
-        return ranked.select(*columns, "latest_file_rank")
+        return ranked.select(*FILE_COLUMNS, "latest_file_rank")
     order = [F.desc(c) for c in newest]
     head = files.orderBy(F.desc("index_record_ts"), *order).limit(n)
     rank = F.row_number().over(Window.partitionBy("index_record_ts").orderBy(*order))
     return (
         head.withColumn("latest_file_rank", rank)
         .orderBy(F.desc("index_record_ts"), "latest_file_rank")
-        .select(*columns, "latest_file_rank")
+        .select(*FILE_COLUMNS, "latest_file_rank")
     )
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only settings whose Spark default is wrong for this workload.
 DEFAULTS = {
@@ -47,3 +48,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="airstrata-checkpoint-")
     context.setCheckpointDir(configured)
     return configured
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written as parquet into the working folder and read back.
+
+    Unlike ``checkpoint`` the copy is columnar: later scans prune columns and push filters.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

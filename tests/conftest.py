@@ -22,6 +22,8 @@ def spark(tmp_path_factory):
         master="local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
+        spark__python__sql__dataFrameDebugging__enabled="false",
+        spark__sql__maxMetadataStringLength="2000",
         spark__driver__memory="6g",
         spark__checkpoint__dir=str(base / "checkpoint"),
         spark__sql__warehouse__dir=str(base / "warehouse"),

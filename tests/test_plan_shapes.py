@@ -1,0 +1,99 @@
+"""Physical plans: what is read, shuffled and broadcast."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+import __spark_entry__ as driver
+from airstrata.gate import fixtures
+from airstrata.gate.spark_queries import Chain
+from airstrata.operators import latest_per_key
+from airstrata.plans import consume, model
+from airstrata.session import stored
+from airstrata.sources.lake import spread_by_date
+
+
+def executed(df):
+    """The plan after adaptive execution has run it."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_no_query_leaves_the_jvm_or_multiplies_rows(spark, name):
+    plan = planned(driver.queries()[name](spark, SMALL))
+    for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHashAggregate"):
+        assert bad not in plan
+
+
+def test_flagship_broadcasts_both_dimensions_and_prunes_scans(spark):
+    plan = executed(driver.queries()["q_city_hour"](spark, SMALL))
+    assert plan.count("BroadcastHashJoin") == 2
+    assert "SortMergeJoin" not in plan
+    # Pivot, two dimensions, city means: no shuffle for the joins.
+    assert plan.count("Exchange hashpartitioning") == 4
+    scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert sorted(scans) == [
+        "event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double",
+        "ts:timestamp_ntz",
+        "user_id:bigint",
+    ]
+
+
+def test_pivot_aggregates_before_the_shuffle(spark):
+    plan = planned(model.wide_text(fixtures.readings(spark, SMALL)))
+    assert plan.count("SortAggregate") == 2 and "partial_max" in plan
+    numeric = planned(model.wide_text(fixtures.readings(spark, SMALL), numeric=True))
+    assert numeric.count("HashAggregate") == 2 and "SortAggregate" not in numeric
+
+
+def test_latest_per_key_limits_before_the_shuffle(spark):
+    plan = planned(latest_per_key(fixtures.table(spark, SMALL, "events"), ["user_id"], ["ts"]))
+    assert plan.count("WindowGroupLimit") == 2
+    before = plan[plan.index("Exchange"):]
+    assert "WindowGroupLimit" in before and "Partial" in before
+
+
+def test_payload_of_superseded_files_is_not_shuffled(spark):
+    plan = executed(driver.queries()["q_silver_long"](spark, SMALL))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_point_lookup_reaches_the_scan(spark):
+    wide = stored(Chain(spark, SMALL).wide)
+    plan = planned(consume.fact_point_lookup(wide, "C2", "S7", "2024-01-10 12:00:00"))
+    pushed = re.search(r"PushedFilters: \[([^\]]*)", plan).group(1)
+    assert "EqualTo(city,C2)" in pushed and "EqualTo(station,S7)" in pushed
+    assert "EqualTo(index_record_ts" in pushed
+
+
+def test_lookup_on_the_long_table_is_filtered_before_the_pivot(spark):
+    plan = planned(consume.fact_point_lookup(Chain(spark, SMALL).wide, "C2", "S7", "2024-01-10 12:00:00"))
+    assert plan.rindex("Filter") > plan.rindex("Exchange")
+
+
+def test_stored_day_reads_one_partition(spark, tmp_path):
+    hours = Chain(spark, SMALL).hours().withColumn("index_date", F.to_date("measurement_time"))
+    path = str(tmp_path / "hours")
+    hours.write.partitionBy("index_date").parquet(path)
+    trend = consume.city_hourly_trend(spark.read.parquet(path), "R 0", "C2", "2024-01-10")
+    plan = planned(trend)
+    assert re.search(r"PartitionFilters: \[[^\]]*index_date#\d+ = 2024-01-10", plan)
+    assert trend.count() > 0
+
+
+def test_top_cities_needs_no_full_sort(spark):
+    assert "TakeOrderedAndProject" in executed(driver.queries()["q_top_cities_latest_day"](spark, SMALL))
+
+
+def test_writes_are_rebalanced_not_hashed_by_date(spark):
+    dated = spark.range(10).withColumn("index_date", F.lit("2024-01-01").cast("date"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in planned(spread_by_date(dated))
