@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from airstrata.schemas import COORDINATE, POLLUTANTS
 
@@ -39,8 +40,15 @@ PLACE = """
     concat('S', user_id % 10) as station"""
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A reading of one pollutant every six hours."""
+def readings(spark: SparkSession, sf_dir: str, day: Column | None = None) -> DataFrame:
+    """A reading of one pollutant every six hours, of all days or one.
+
+    The day restricts the event time itself, so that its bounds reach the scan.
+    """
+    events = table(spark, sf_dir, "events")
+    if day is not None:
+        start, end = day.cast("timestamp_ntz"), F.date_add(day, 1).cast("timestamp_ntz")
+        events = events.filter((F.col("ts") >= start) & (F.col("ts") < end))
     return spark.sql(
         f"""
         select {_hours(6)} as index_record_ts, {PLACE},
@@ -49,7 +57,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
                {_code('event_id')} as pollutant_id,
                if(value < 2, 'NA', cast(floor(value) as string)) as pollutant_avg
         from {{events}}""",
-        events=table(spark, sf_dir, "events"),
+        events=events,
     )
 
 

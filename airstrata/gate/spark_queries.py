@@ -48,11 +48,6 @@ PLACE = {"state": "R 0", "city": "C2", "station": "S7"}
 KEY_COLUMNS = ("date_pk", "location_pk", "aqi_pk", "date_fk", "location_fk")
 
 
-def _on_day(df: DataFrame, day: str | Column) -> DataFrame:
-    date = F.lit(day).cast("date") if isinstance(day, str) else day
-    return df.filter(F.to_date("index_record_ts") == date)
-
-
 class Chain:
     """Wide table, fact and dimensions over the readings, for all days or one.
 
@@ -60,9 +55,9 @@ class Chain:
     a coordinate may carry another name on another day.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, day: str | Column | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, day: Column | None = None):
         self.everything = readings(spark, sf_dir)
-        self.chosen = self.everything if day is None else _on_day(self.everything, day)
+        self.chosen = self.everything if day is None else readings(spark, sf_dir, day)
 
     @cached_property
     def wide(self) -> DataFrame:
@@ -297,7 +292,7 @@ def q_city_hour_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_city_hour_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consume.city_hour_lookup(Chain(spark, sf_dir, DAY).hours(), PLACE["city"], NOON)
+    return consume.city_hour_lookup(Chain(spark, sf_dir, F.lit(DAY).cast("date")).hours(), PLACE["city"], NOON)
 
 
 def q_city_hour_draft(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,9 +305,8 @@ def q_city_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_top_cities_latest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest day is known from the readings, so no other day is pivoted."""
-    times = readings(spark, sf_dir)
-    latest = times.agg(F.to_date(F.max("index_record_ts"))).scalar()
+    """The latest day is known from the events, so no other day is pivoted."""
+    latest = table(spark, sf_dir, "events").agg(F.to_date(F.max("ts"))).scalar()
     days = model.city_day(Chain(spark, sf_dir, latest).hours())
     return consume.top_cities_latest_day(days, 3, latest)
 
@@ -356,20 +350,20 @@ def q_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_city_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hours = Chain(spark, sf_dir, DAY).hours()
+    hours = Chain(spark, sf_dir, F.lit(DAY).cast("date")).hours()
     return consume.city_hourly_trend(hours, PLACE["state"], PLACE["city"], DAY)
 
 
 def q_station_drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Chain(spark, sf_dir, DAY).drilldown()
+    return Chain(spark, sf_dir, F.lit(DAY).cast("date")).drilldown()
 
 
 def q_hourly_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consume.hourly_index(Chain(spark, sf_dir, DAY).drilldown())
+    return consume.hourly_index(Chain(spark, sf_dir, F.lit(DAY).cast("date")).drilldown())
 
 
 def q_hourly_pollutants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consume.hourly_pollutants(Chain(spark, sf_dir, DAY).drilldown())
+    return consume.hourly_pollutants(Chain(spark, sf_dir, F.lit(DAY).cast("date")).drilldown())
 
 
 def q_map_points(spark: SparkSession, sf_dir: str) -> DataFrame:

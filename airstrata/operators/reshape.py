@@ -13,15 +13,21 @@ def flatten_records(
     document: str,
     fields: Sequence[str],
     keep: Sequence[str] = (),
-    path: str = "$.records",
+    array: str = "records",
+    text: str | None = None,
 ) -> DataFrame:
-    """One row per element of the array at ``path``, its ``fields`` as text, after ``keep``.
+    """One row per element of the array field, its ``fields`` as text, after ``keep``.
 
     The array is extracted in one typed step. A missing field, or an element that is no
-    object, yields NULLs; a document without elements yields no row.
+    object, yields NULLs; a document without elements yields no row. ``text`` names a column
+    with the JSON text of documents too large for a variant.
     """
     leaves = ",".join(f"`{f}`:string" for f in fields)
-    records = F.try_variant_get(document, path, f"array<struct<{leaves}>>")
+    records = F.try_variant_get(document, f"$.{array}", f"array<struct<{leaves}>>")
+    if text is not None:
+        parsed = F.from_json(text, f"struct<`{array}`:array<struct<{leaves}>>>")
+        large = F.col(document).isNull() & F.col(text).isNotNull()
+        records = F.when(large, parsed.getField(array)).otherwise(records)
     return df.select(*keep, F.inline(records))
 
 
@@ -37,12 +43,18 @@ def pivot_long_to_wide(
 
     A repeated reading keeps its maximum. By default values compare as text, as the original
     tables do: '9' beats '10' and 'NA' beats every number. ``numeric`` compares numbers
-    instead, ignoring other text; it aggregates in a hash table where text has to be sorted.
+    instead, ignoring other text.
+
+    Spark aggregates numbers in a hash table but sorts for text maxima. Grouping by a hash of
+    the keys first leaves the groups as they are and lets that sort compare one number where
+    it would compare all key columns.
     """
     reading = F.col(value).try_cast("double") if numeric else F.col(value)
-    return df.groupBy(*keys).agg(
+    lead = [] if numeric else [F.xxhash64(*keys).alias("_keys_hash")]
+    wide = df.groupBy(*lead, *keys).agg(
         *[
             F.max(F.when(F.col(category) == code, reading)).alias(column)
             for code, column in columns.items()
         ]
     )
+    return wide.select(*keys, *columns.values())

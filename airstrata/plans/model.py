@@ -41,7 +41,8 @@ def silver_long(
 ) -> DataFrame:
     """One row per hour, station and pollutant, from the newest file of each hour.
 
-    A coordinate that is no number fails the job, or becomes NULL with ``on_bad='null'``.
+    A coordinate that is no number fails the job, or becomes NULL with ``on_bad='null'``. If
+    there is a ``value`` column, it holds the text of documents too large for a variant.
     """
     dated = bronze.filter(F.col("index_record_ts").isNotNull())
     newest = keep_latest_rows(
@@ -52,7 +53,8 @@ def silver_long(
         broadcast_limit=broadcast_limit,
     )
     keep = ["index_record_ts", *AUDIT_COLUMNS, *carry]
-    flat = flatten_records(newest, "json_data", RECORD_FIELDS, keep)
+    text = "value" if "value" in bronze.columns else None
+    flat = flatten_records(newest, "json_data", RECORD_FIELDS, keep, text=text)
 
     def coordinate(name: str) -> Column:
         text = F.col(name)

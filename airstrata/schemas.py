@@ -88,6 +88,7 @@ RAW = _struct(
 )
 
 # What a load stores: accepted documents, and refused ones with their text and the reason.
+# The text is also kept where a document is too large for a variant.
 LANDED = T.StructType(
     [T.StructField(f.name, f.dataType) for f in RAW]
     + [T.StructField("value", T.StringType()), T.StructField("reject_reason", T.StringType())]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
@@ -12,6 +12,10 @@ from airstrata.functions.text import parse_ts
 from airstrata.schemas import AUDIT_COLUMNS
 
 
+# Text size from which a document may exceed what a variant can hold (16 MiB in binary form).
+LARGE_DOCUMENT = 4 << 20
+
+
 def file_inventory(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """Name, modification time and size of every landed file; contents are not read."""
     return (
@@ -76,6 +80,7 @@ def parse_documents(documents: DataFrame, carry: Sequence[str] = ()) -> DataFram
 
     Every document takes the time of its first record. ``reject_reason`` is NULL for rows
     that satisfy the bronze constraints; a missing ``total`` takes the column default 0.
+    A valid document beyond the size of a variant has no ``json_data``: its ``value`` stands in.
     """
     parsed = documents.select(
         "value",
@@ -86,26 +91,35 @@ def parse_documents(documents: DataFrame, carry: Sequence[str] = ()) -> DataFram
         F.current_timestamp().alias("_copy_data_ts"),
         *carry,
     )
-    first_update = F.try_variant_get("json_data", "$.records[0].last_update", "string")
-    total = F.try_variant_get("json_data", "$.total", "bigint")
-    bad_total = total.isNull() & F.try_variant_get("json_data", "$.total", "string").isNotNull()
+    as_text = (
+        F.col("json_data").isNull()
+        & (F.octet_length("value") > LARGE_DOCUMENT)
+        & F.get_json_object("value", "$").isNotNull()
+    )
+
+    def field(path: str) -> Column:
+        from_text = F.when(as_text, F.get_json_object("value", path))
+        return F.coalesce(F.try_variant_get("json_data", path, "string"), from_text)
+
+    total = field("$.total").try_cast("bigint")
     columns = parsed.select(
         "value",
-        parse_ts(first_update).alias("index_record_ts"),
+        parse_ts(field("$.records[0].last_update")).alias("index_record_ts"),
         "json_data",
         F.coalesce(total, F.lit(0)).cast("long").alias("record_count"),
-        F.try_variant_get("json_data", "$.version", "string").alias("json_version"),
+        field("$.version").alias("json_version"),
         *AUDIT_COLUMNS,
         *carry,
-        bad_total.alias("_bad_total"),
+        (total.isNull() & field("$.total").isNotNull()).alias("_bad_total"),
+        (F.col("json_data").isNull() & ~as_text).alias("_malformed"),
     )
     reason = (
-        F.when(F.col("json_data").isNull(), "malformed JSON")
+        F.when(F.col("_malformed"), "malformed JSON")
         .when(F.col("index_record_ts").isNull(), "no readable last_update in the first record")
         .when(F.col("json_version").isNull(), "no version")
         .when(F.col("_bad_total"), "total is no whole number")
     )
-    return columns.withColumn("reject_reason", reason).drop("_bad_total")
+    return columns.withColumn("reject_reason", reason).drop("_bad_total", "_malformed")
 
 
 def with_row_ids(df: DataFrame, after: int = 0) -> DataFrame:

@@ -91,9 +91,9 @@ class Lake:
             return self.spark.createDataFrame([], self._stored_schema(name))
 
     def raw(self, dates: Iterable[dt.date] | None = None) -> DataFrame:
-        """``raw_aqi`` with its partition columns."""
+        """``raw_aqi`` with its partition columns, and the text of very large documents."""
         landed = self.read("landed_documents", dates).filter(F.col(DATE_PARTITION).isNotNull())
-        return landed.select(*schemas.RAW.names, DATE_PARTITION, "load_label")
+        return landed.select(*schemas.RAW.names, "value", DATE_PARTITION, "load_label")
 
     def rejects(self) -> DataFrame:
         """``raw_aqi_rejects``: text, reason and provenance of the refused documents."""

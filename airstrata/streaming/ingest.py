@@ -31,7 +31,8 @@ def load_documents(
     """Append the documents not loaded before under ``label`` and return the dates they touch.
 
     Repeating a label replaces its own rows, so a retried load leaves no duplicates.
-    Documents that break a constraint of bronze are stored without a date, as rejects.
+    Documents that break a constraint of bronze are stored without a date, as rejects. Text
+    is kept for rejects and for documents too large for a variant.
 
     The load history is compared by name and content hash. Equal content has an equal date,
     so ``prune`` may restrict the history to the dates of the documents: worth a pass over a
@@ -41,7 +42,7 @@ def load_documents(
     parsed = parse_documents(documents).withColumns(
         {
             DATE_PARTITION: F.when(~refused, F.to_date("index_record_ts")),
-            "value": F.when(refused, F.col("value")),
+            "value": F.when(refused | F.col("json_data").isNull(), F.col("value")),
         }
     )
     dates = None

@@ -197,6 +197,24 @@ def test_newest_file_replaces_the_hour(spark, landing, lake):
     assert (wide["pm25_avg"], wide["pm10_avg"], wide["so2_avg"], wide["o3_avg"]) == (0, 9, 0, 0)
 
 
+def test_document_beyond_the_variant_size_is_whole(spark, landing, lake):
+    pad = "x" * 2000
+    stations = 10_000
+    big = [record(f"S{i}", "CO", str(i % 500), note=pad) for i in range(stations)]
+    text = json.dumps(document(*big))
+    assert len(text) > 20 << 20
+    land(landing, "big.json", text, 1000)
+    land(landing, "big_broken.json", text[:-2], 1000)
+    assert load_batch(lake, landing) == {DAY}
+    assert [r["reject_reason"] for r in lake.rejects().collect()] == ["malformed JSON"]
+    bronze = lake.table("raw_aqi").first()
+    assert (bronze["record_count"], bronze["json_version"]) == (stations, "1.0")
+    long = lake.table("curated_aqi_dt")
+    assert long.select("station").distinct().count() == stations
+    row = long.filter("station = 'S7'").first()
+    assert (row.pollutant_avg, float(row.latitude), float(row.longitude)) == ("7", 12.5, 77.25)
+
+
 def test_documents_by_line(spark, landing):
     lines = [json.dumps(document(record("A", "CO", "1", hour=h))) for h in ("10", "11", "12")]
     land(landing, "many.json", "\n".join(lines), 1000)

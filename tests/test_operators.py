@@ -197,6 +197,19 @@ def test_drilldown_uses_the_chosen_station_and_day(spark):
     assert consume.map_points(drill).dtypes == [("lat", "double"), ("lon", "double")]
 
 
+def test_top_cities_finds_the_latest_day_itself(spark):
+    day, older = dt.date(2024, 3, 2), dt.date(2024, 3, 1)
+    rows = [(day, "S", "B", 5.0), (day, "S", "A", 5.0), (day, "S", "C", 9.0), (older, "S", "D", 99.0)]
+    df = spark.createDataFrame(
+        [(d, s, c, *[aqi] * 7, "PM25", aqi) for d, s, c, aqi in rows],
+        "measurement_date date, state string, city string, "
+        + ", ".join(f"{m} double" for m in model.MEASURES)
+        + ", prominent_pollutant string, aqi double",
+    )
+    assert [r.city for r in consume.top_cities_latest_day(df).collect()] == ["C", "A", "B"]
+    assert [r.city for r in consume.top_cities_latest_day(df, 2, F.lit(older)).collect()] == ["D"]
+
+
 def test_dimension_parts(spark):
     at = dt.datetime(2024, 12, 31, 23)
     df = spark.createDataFrame([(at,), (at,)], "index_record_ts timestamp_ntz")

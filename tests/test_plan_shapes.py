@@ -97,3 +97,9 @@ def test_top_cities_needs_no_full_sort(spark):
 def test_writes_are_rebalanced_not_hashed_by_date(spark):
     dated = spark.range(10).withColumn("index_date", F.lit("2024-01-01").cast("date"))
     assert "REBALANCE_PARTITIONS_BY_COL" in planned(spread_by_date(dated))
+
+
+def test_a_question_about_one_day_bounds_the_scan(spark):
+    plan = planned(driver.queries()["q_station_drilldown"](spark, SMALL))
+    assert "GreaterThanOrEqual(ts,2024-01-10T00:00" in plan
+    assert "LessThan(ts,2024-01-11T00:00" in plan
