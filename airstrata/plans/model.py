@@ -154,13 +154,53 @@ def city_hour(
     locations: DataFrame,
     keys: Sequence[str] = ("measurement_time", "country", "state", "city"),
 ) -> DataFrame:
-    """Mean of the stations of a city for each hour, with the index of the means."""
-    joined = star_join(
-        fact.select("date_fk", "location_fk", *GOLD_MEASURES),
-        dates.select("date_pk", "measurement_time"),
-        locations.select("location_pk", "country", "state", "city"),
+    """Mean of the stations of a city for each hour, with the index of the means.
+
+    The means are those over the star join, where a fact counts once for every station of its
+    location key. Joining all of them would emit every pair of a fact and a station on a shared
+    coordinate. Here each fact meets one row per key: the city and its station count if all
+    stations of the key lie in one city, else the key itself. Sums of shared keys are given to
+    their cities, weighted by station counts, only after they have been aggregated.
+    """
+    place = [k for k in keys if k != "measurement_time"]
+    cities = locations.groupBy("location_pk", *place).agg(F.count(F.lit(1)).alias("_stations"))
+    only = F.min(F.struct(*place, "_stations"))
+    per_key = cities.groupBy("location_pk").agg(F.count(F.lit(1)).alias("_n"), only.alias("_only"))
+    alone = F.col("_n") == 1
+    labels = per_key.select(
+        "location_pk",
+        F.when(~alone, F.col("location_pk")).alias("_shared"),
+        F.when(alone, F.col("_only._stations")).otherwise(1).alias("_stations"),
+        *[F.when(alone, F.col(f"_only.{p}")).alias(p) for p in place],
+    )
+
+    def totals(df: DataFrame, *by: str) -> DataFrame:
+        sums = [F.sum(F.col(m) * F.col("_stations")).alias(m) for m in GOLD_MEASURES]
+        counts = [F.sum(F.col(f"_n_{m}") * F.col("_stations")).alias(f"_n_{m}") for m in GOLD_MEASURES]
+        return df.groupBy(*by).agg(*sums, *counts)
+
+    counted = fact.select(
+        "date_fk",
+        "location_fk",
+        *GOLD_MEASURES,
+        *[F.col(m).isNotNull().cast("long").alias(f"_n_{m}") for m in GOLD_MEASURES],
     )
-    return rollup_avg(joined, keys, GOLD_MEASURES).select("*", *index_columns())
+    joined = star_join(counted, dates.select("date_pk", "measurement_time"), labels)
+    parts = totals(joined, "measurement_time", "_shared", *place)
+
+    sharing = cities.select(
+        F.col("location_pk").alias("_key"),
+        "_stations",
+        *[F.col(p).alias(f"_{p}") for p in place],
+    )
+    placed = parts.join(sharing, F.col("_shared") == F.col("_key"), "left").withColumns(
+        {p: F.coalesce(p, f"_{p}") for p in place}
+        | {"_stations": F.coalesce("_stations", F.lit(1))}
+    )
+    means = totals(placed, *keys).select(
+        *keys, *[F.try_divide(m, f"_n_{m}").alias(m) for m in GOLD_MEASURES]
+    )
+    return means.select("*", *index_columns())
 
 
 def city_day(hours: DataFrame) -> DataFrame:

@@ -185,6 +185,49 @@ def test_repeated_location_key_fans_out(spark, renamed):
     assert [r.aqi for r in hours.collect()] == [10, 20]
 
 
+def test_city_means_equal_those_over_the_full_join(spark):
+    """Shared, NULL and single coordinates, several cities on one coordinate, NULL measures."""
+    rng = random.Random(9)
+    rows = []
+    for hour in range(4):
+        for i in range(60):
+            lat = rng.choice([None, None, 1.0, float(i)])
+            values = [rng.choice([None, float(rng.randint(0, 300))]) for _ in range(7)]
+            city = None if i == 5 else f"C{rng.randint(0, 3)}"
+            rows.append((dt.datetime(2024, 3, 1, hour), "IN", "S", city, f"st{i}", lat, 2.0, *values))
+    wide = spark.createDataFrame(
+        rows,
+        "index_record_ts timestamp_ntz, country string, state string, city string, station string, "
+        "latitude double, longitude double, " + ", ".join(f"{m} double" for m in model.MEASURES),
+    )
+    for c in ("latitude", "longitude"):
+        wide = wide.withColumn(c, F.col(c).cast("decimal(12,7)"))
+    fact, dates, places = model.fact_air_quality(wide), model.dim_date(wide), model.dim_location(wide)
+    keys = ["measurement_time", "country", "state", "city"]
+    expected = rollup_avg(star_join(fact, dates, places), keys, model.GOLD_MEASURES)
+    got = model.city_hour(fact, dates, places).select(*expected.columns)
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, expected.collect()))
+    draft = consume.city_hour_draft(fact, dates, places)
+    assert draft.columns[:3] == ["measurement_time", "state", "city"]
+
+
+def test_shared_coordinate_emits_no_pairs(spark):
+    """Ten thousand stations on one coordinate: all pairs would be a hundred million rows."""
+    n = 10_000
+    wide = spark.range(n).select(
+        F.expr("timestamp_ntz'2024-03-01 10:00:00'").alias("index_record_ts"),
+        *[F.lit(v).alias(c) for c, v in (("country", "IN"), ("state", "S"))],
+        F.concat(F.lit("C"), F.col("id") % 500).alias("city"),
+        F.concat(F.lit("st"), "id").alias("station"),
+        *[F.lit(None).cast("decimal(12,7)").alias(c) for c in ("latitude", "longitude")],
+        *[(F.col("id") % 7).cast("double").alias(m) for m in model.MEASURES],
+    )
+    hours = model.city_hour(model.fact_air_quality(wide), model.dim_date(wide), model.dim_location(wide))
+    mean = sum(i % 7 for i in range(n)) / n
+    rows = hours.collect()
+    assert len(rows) == 500 and {r.pm10_avg for r in rows} == {mean}
+
+
 def test_drilldown_uses_the_chosen_station_and_day(spark):
     wide = station_rows(spark)
     args = (model.fact_air_quality(wide), model.dim_date(wide), model.dim_location(wide))
