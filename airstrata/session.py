@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,10 +31,10 @@ def build_session(name: str = "airstrata", master: str | None = None, **conf: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for materialized intermediates, as named by ``spark.checkpoint.dir``.
+    """Shared folder for materialized intermediates.
 
-    On a cluster the folder must be shared, so a missing setting is an error there; a local
-    session falls back to a fresh temporary folder.
+    It is what ``spark.checkpoint.dir`` names. Where that is unset, a folder in the warehouse
+    stands in, which every executor reaches as well, on whatever master the session runs.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -43,11 +42,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or None
     if configured is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        configured = tempfile.mkdtemp(prefix="airstrata-checkpoint-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        configured = f"{warehouse}/_intermediate"
     context.setCheckpointDir(configured)
-    return configured
+    return context.getCheckpointDir()
+
+
+def _stored_prefix(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/stored-{spark.sparkContext.applicationId}"
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
@@ -56,6 +58,13 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     Unlike ``checkpoint`` the copy is columnar: later scans prune columns and push filters.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_stored_prefix(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_stored(spark: SparkSession) -> None:
+    """Delete the copies this application made with ``stored``; call it when results are read."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_stored_prefix(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
