@@ -7,6 +7,39 @@ LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 
 ORACLES: dict[str, str] = {}
 
+ORACLES["op1_topk_search"] = """
+with vectors as (
+    select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
+    where embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+    from vectors q join vectors c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id),
+ranked as (
+    select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank,
+           vec_id, score
+    from scored)
+select query_id, rank::integer as rank, vec_id, score from ranked where rank <= 20
+"""
+
+ORACLES["op6_embedding_near_dedup"] = """
+with recursive vectors as (
+    select vec_id, embedding::double[] as v from embeddings
+    where embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+    select a.vec_id as a, b.vec_id as b from vectors a join vectors b
+      on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+     and list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(a, b) as (
+    select vec_id, vec_id from embeddings
+    union select reach.a, links.b from reach join links on reach.b = links.a)
+select e.vec_id, (select count(*) from links where links.a = e.vec_id) as n_links,
+       min(r.b) as component_id, e.vec_id = min(r.b) as kept
+from embeddings e join reach r on r.a = e.vec_id group by e.vec_id
+"""
+
 ORACLES["op5_url_filter"] = f"""
 with rules(verdict, host, path) as (values
     ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),

@@ -8,8 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airstrata.llm import bpe, line_dedup, packing, sharding, simhash, url_filter
-from airstrata.llm.common import read_table
+from airstrata.llm import (
+    bpe,
+    cap_filter,
+    langid,
+    line_dedup,
+    packing,
+    sharding,
+    simhash,
+    topk_search,
+    url_filter,
+)
+from airstrata.llm.common import id_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +32,19 @@ RULES = (
 )
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors.filter("vec_id % 20 = 0"), vectors)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    remainder = id_remainder("doc_id", 4)
+    found = langid.identify(documents.select("doc_id", "text"), documents.filter(remainder != 2))
+    held_out = F.coalesce(remainder == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
@@ -45,6 +68,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.rules_table(spark, RULES))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filter.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, sf_dir, "documents"))
 
