@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from airstrata.llm import (
     bpe,
     cap_filter,
+    class_lm,
     langid,
     line_dedup,
     packing,
@@ -72,6 +73,15 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_filter.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    remainder = id_remainder("doc_id", 10)
+    held_out = F.coalesce(remainder == 0, F.lit(True)).alias("held_out")
+    return class_lm.score_documents(
+        documents.select("doc_id", held_out, "text"), documents.filter(remainder != 0)
+    )
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, sf_dir, "documents"))
 
