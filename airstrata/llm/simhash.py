@@ -210,11 +210,12 @@ def near_duplicates(
     radius: int = RADIUS,
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for every row of ``docs`` (``doc_id``, ``text``).
+    """``(doc_id, fp, component_id, root)`` for every row of ``docs`` (``doc_id``, ``text``).
 
     Documents whose fingerprints differ in at most ``radius`` bits are linked, and
     ``component_id`` is the smallest doc_id reachable by links, itself included. Copies are
-    reduced to their fingerprint before anything is linked. NULL or blank text has fingerprint
+    reduced to their fingerprint before anything is linked; ``root`` is a fingerprint that names
+    the component. NULL or blank text has fingerprint
     0 and links like any other. Rows may repeat; a NULL doc_id keeps its row, never names a
     component, and has a NULL component_id if all of its component is so. An empty table gives
     no rows.
@@ -225,8 +226,41 @@ def near_duplicates(
     links = link_fingerprints(first.select("fp"), radius, shard_rows)
     roots = connected_components(links, "a", "b").withColumnRenamed("node", "fp")
     named = roots.join(first, "fp").groupBy("root").agg(F.min("first_id").alias("component_id"))
-    linked = roots.join(named, "root").select("fp", "component_id")
+    linked = roots.join(named, "root").select("fp", "component_id", "root")
     labels = first.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "first_id").alias("component_id")
+        "fp",
+        F.coalesce("component_id", "first_id").alias("component_id"),
+        F.coalesce("root", "fp").alias("root"),
     )
-    return fps.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(labels, "fp").select("doc_id", "fp", "component_id", "root")
+
+
+def keep_one(
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS
+) -> DataFrame:
+    """``docs`` with one row of each component: that of its smallest doc_id.
+
+    Where that doc_id repeats within the component, or all its ids are NULL, the row with the
+    smallest hash of its columns stays. Ids that stand once are kept by a semi-join; only rows
+    whose id repeats or is NULL are fingerprinted again, to tell their components apart.
+    """
+    found = stored(near_duplicates(docs, shingle_words, radius), "components")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(first).alias("first"))
+    single = (F.col("n") == 1) & F.col("doc_id").isNotNull()
+    named = ids.filter(F.col("first") & single).select("doc_id")
+    plain = docs.join(named, "doc_id", "left_semi").select(docs.columns)
+    unclear = ids.filter(F.col("first") & ~single).select(F.col("doc_id").alias("_id"))
+    groups = found.filter(first).select(F.col("doc_id").alias("_id"), "fp", "root").distinct()
+    same_id = F.col("doc_id").eqNullSafe(F.col("_id"))
+    again = docs.join(unclear, same_id, "left_semi")
+    row = F.struct(*docs.columns)
+    rows = with_fingerprint(again, "_fp", shingle_words).select(
+        "doc_id", row.alias("_row"), "_fp", F.xxhash64(*docs.columns).alias("_hash")
+    )
+    chosen = (
+        rows.join(groups, same_id & (F.col("_fp") == F.col("fp")))
+        .groupBy("root")
+        .agg(F.min_by("_row", "_hash").alias("_row"))
+    )
+    return plain.unionByName(chosen.select("_row.*"))
