@@ -26,7 +26,7 @@ SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACES = regex.compile(f"[{SPACE}]+")
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 # Encoded chunks a worker keeps, and the longest chunk it keeps.
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 900_000
 CACHE_LENGTH = 48
 
 
@@ -41,6 +41,13 @@ def byte_letters() -> list[str]:
     return letters
 
 
+def unsure(text: str) -> bool:
+    """Whether a text holds letters younger than Python's tables, or U+001C to U+001F."""
+    if SEPARATORS.search(text):
+        return True
+    return not text.isascii() and any([unicodedata.category(c) == "Cn" for c in text])
+
+
 class ChunkCache(dict):
     """What a function gave for recent keys; emptied when full, long keys are not kept."""
 
@@ -216,9 +223,7 @@ class WordBpe:
         return part.replace("\u03a3", "\u03c3").lower() if self.lower else part
 
     def _encode_part(self, part: str, plain: str) -> bytes:
-        if not part.isascii() and any(unicodedata.category(c) == "Cn" for c in part) or (
-            SEPARATORS.search(part)
-        ):
+        if unsure(part):
             # Letters younger than Python's tables, and separators that the tokenizers don't
             # take for space: the library's own first steps decide.
             split = self.library.pre_tokenizer.pre_tokenize_str

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import base64
 import json
 import re
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from airstrata.llm.bpe import ChunkCache, byte_letters
+from airstrata.llm.bpe import ChunkCache, byte_letters, unsure
 from airstrata.llm.common import batches
 from airstrata.session import stored
 
@@ -52,6 +52,7 @@ class ByteBpe:
             for token, number in spec["model"]["vocab"].items()
         }
         special = {token["content"]: token["id"] for token in spec["added_tokens"]}
+        self.special = list(special)
         self.library = Tokenizer.from_file(path)
         self.merges = tiktoken.Encoding(
             "file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens=special
@@ -65,11 +66,14 @@ class ByteBpe:
         return self._ids(f" {chunk}")
 
     def _ids(self, text: str) -> bytes:
-        if text.isascii():
-            ids = self.merges.encode(text, allowed_special="all")
+        if text.isascii() or not unsure(text):
+            special = any(mark in text for mark in self.special)
+            ids = self.merges.encode(text, allowed_special="all") if special else (
+                self.merges.encode_ordinary(text)
+            )
         else:
             ids = self.library.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return array("I", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -122,18 +126,21 @@ def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
 def document_points(encoded: list[np.ndarray]) -> np.ndarray:
     """Grid points of documents, given by their ids: hashed counts, projected to a few axes."""
     projection = np.random.default_rng(SEED).normal(size=(BUCKETS, AXES))
-    vectors = np.zeros((len(encoded), BUCKETS))
-    for row, ids in zip(vectors, encoded):
-        hashed = (ids.astype(np.uint64) * np.uint64(2654435761) >> np.uint64(15)) % np.uint64(BUCKETS)
-        row += np.log1p(np.bincount(hashed.astype(np.int64), minlength=BUCKETS))
+    counts = np.array([np.bincount(hashed(ids), minlength=BUCKETS) for ids in encoded])
+    vectors = np.log1p(counts.reshape(-1, BUCKETS))
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     placed = vectors / np.where(norms == 0, 1, norms) @ projection
     side = 1 << AXIS_BITS
     return np.clip(((placed + 4) / 8 * side).astype(np.int64), 0, side - 1)
 
 
+def hashed(ids: np.ndarray) -> np.ndarray:
+    """A bucket for each id, by multiplication."""
+    return (ids.astype(np.uint32) * np.uint32(2654435769) >> np.uint32(32 - 9)).astype(np.int64)
+
+
 def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """``(doc_id, curve, doc_tokens, ids)``: ids with the end id, and the place on the curve."""
+    """``(doc_id, curve, doc_tokens, ids)``: packed ids with the end id, place on the curve."""
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load_byte_bpe(path)
@@ -149,7 +156,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                         pa.array([i.as_py() for i, _ in held], batch.schema.field("doc_id").type),
                         pa.array(hilbert_keys(document_points(ids), AXIS_BITS)),
                         pa.array([len(x) for x in ids], pa.int64()),
-                        pa.array(coded, pa.binary()),
+                        pa.array([packed(x) for x in ids], pa.binary()),
                     ],
                     names=["doc_id", "curve", "doc_tokens", "ids"],
                 )
@@ -200,21 +207,57 @@ def pack_documents(
         .join(totals, "range")
         .select("row", (F.col("base") + F.col("inner")).alias("begin"))
     )
-    size = sequence_tokens
-    cuts = F.explode(
-        F.expr(
-            f"transform(sequence(begin div {size}, (begin + doc_tokens - 1) div {size}), s -> "
-            f"named_struct('sequence_id', s, 'low', greatest(begin, s * {size}), "
-            f"'high', least(begin + doc_tokens, (s + 1) * {size})))"
-        )
-    )
-    pieces = tokens.join(begins, "row").select("doc_id", "doc_tokens", "ids", "begin", cuts.alias("cut"))
-    return pieces.selectExpr(
-        "doc_id",
-        "cut.low - begin as start",
-        "cut.high - cut.low as length",
-        "substring(ids, cast(4 * (cut.low - begin) + 1 as int), cast(4 * (cut.high - cut.low) as int)) as ids",
-        "doc_tokens",
-        "cut.sequence_id",
-        f"cut.low - cut.sequence_id * {size} as offset",
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return tokens.join(begins, "row").select("doc_id", "doc_tokens", "ids", "begin").mapInArrow(
+        partial(_cut, size=sequence_tokens),
+        f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, "
+        "sequence_id long, offset long",
     )
+
+
+def _cut(incoming: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of documents, cut where a sequence ends."""
+    names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+    for batch in incoming:
+        begin = batch.column("begin").to_numpy()
+        total = batch.column("doc_tokens").to_numpy()
+        first, last = begin // size, (begin + total - 1) // size
+        pieces = last - first + 1
+        row = np.repeat(np.arange(len(begin)), pieces)
+        sequence = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces) + first[row]
+        low = np.maximum(begin[row], sequence * size)
+        high = np.minimum(begin[row] + total[row], (sequence + 1) * size)
+        start, length = low - begin[row], high - low
+        codes = batch.column("ids").to_pylist()
+        for at in range(0, len(row), 4096):
+            part = slice(at, at + 4096)
+            ids = [
+                unpacked(codes[i], n)[s : s + k].tobytes()
+                for i, n, s, k in zip(
+                    row[part], total[row[part]], start[part].tolist(), length[part].tolist()
+                )
+            ]
+            where = pa.array(row[part])
+            columns = [start[part], length[part], sequence[part], low[part] - sequence[part] * size]
+            start_, length_, sequence_, offset_ = map(pa.array, columns)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(where),
+                    start_,
+                    length_,
+                    pa.array(ids, pa.binary()),
+                    batch.column("doc_tokens").take(where),
+                    sequence_,
+                    offset_,
+                ],
+                names,
+            )
+
+
+def packed(ids: np.ndarray) -> bytes:
+    """Ids in two bytes each, if all of them fit, else in four."""
+    return ids.astype("<u2").tobytes() if ids.max(initial=0) < 1 << 16 else ids.tobytes()
+
+
+def unpacked(code: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(code, f"<u{len(code) // count}").astype("<u4")
