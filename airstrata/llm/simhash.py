@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from airstrata.llm.common import text_bytes
 from airstrata.llm.components import connected_components
+from airstrata.operators.sizing import broadcast_if_small
 from airstrata.session import stored
 
 SHINGLE_WORDS = 4
@@ -170,14 +171,18 @@ def link_fingerprints(
     into shards by hash, and every two of its shards meet, so no task holds a hot key whole.
     """
     keyed = fingerprints.select(F.explode(F.expr(shard_keys("fp", radius))).alias("key"), "fp")
-    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shards = keyed.join(counts, "key").selectExpr(
-        "key", "fp", f"cast(ceil(n / {shard_rows}) as int) as shards",
-        f"cast(pmod(xxhash64(fp), ceil(n / {shard_rows})) as int) as own",
+    crowds = (
+        keyed.groupBy("key")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > shard_rows)
+        .select("key", F.ceil(F.col("n") / shard_rows).cast("int").alias("shards"))
+    )
+    met = (
+        keyed.join(broadcast_if_small(crowds), "key", "left")
+        .withColumn("own", F.expr("cast(pmod(xxhash64(fp), coalesce(shards, 1)) as int)"))
+        .withColumn("other", F.explode(F.expr("sequence(0, coalesce(shards, 1) - 1)")))
+        .selectExpr("key", "least(own, other) as low", "greatest(own, other) as high", "fp")
     )
-    met = shards.select(
-        "key", "fp", "own", F.explode(F.expr("sequence(0, shards - 1)")).alias("other")
-    ).selectExpr("key", "least(own, other) as low", "greatest(own, other) as high", "fp")
     groups = met.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "fp")
 
     def linked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
