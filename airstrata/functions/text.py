@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LAST_UPDATE_FORMAT = "dd-MM-yyyy HH:mm:ss"
 
@@ -28,11 +29,23 @@ def clean_numeric(
 ) -> Column:
     """Rounded number of a text reading; 0 for a sentinel or NULL.
 
-    Other text that is no number fails the job (``raise``) or becomes NULL (``null``).
+    Other text that is no finite number, ``NaN`` included, fails the job (``raise``) or becomes
+    NULL (``null``), whatever the session's ANSI setting.
     """
     if on_bad not in ("raise", "null"):
         raise ValueError(f"on_bad must be 'raise' or 'null', not {on_bad!r}")
     column = F.col(text) if isinstance(text, str) else text
-    number = column.cast("double") if on_bad == "raise" else column.try_cast("double")
     missing = column.isNull() | column.isin(*sentinels)
-    return F.when(missing, F.lit(0.0)).otherwise(F.round(number))
+    return F.when(missing, F.lit(0.0)).otherwise(F.round(strict_cast(column, "double", on_bad)))
+
+
+def strict_cast(text: Column, kind: str | T.DataType, on_bad: str = "raise") -> Column:
+    """Text as a finite number; text that is none fails the job or becomes NULL."""
+    number = text.try_cast(kind)
+    approximate = number.cast("double")
+    good = ~F.isnan(approximate) & (F.abs(approximate) < F.lit(float("inf")))
+    checked = F.when(good, number)
+    if on_bad == "null":
+        return checked
+    failure = F.raise_error(F.concat(F.lit("not a number: "), text)).cast(kind)
+    return F.when(text.isNotNull() & ~F.coalesce(good, F.lit(False)), failure).otherwise(checked)

@@ -125,10 +125,11 @@ select index_record_ts, 'WORLD' as country, concat('R_', user_id % 10 % 5 % 2) a
 from (select *, unnest(range(n)) as i from {source})"""
 
 
-def _members(kind: str, column: str, source: str, where: str = "true") -> str:
+def _members(kind: str, column: str, source: str, where: str = "true", order: str = "asc") -> str:
     return (
-        f"select distinct '{kind}' as kind, cast({column} as varchar) as member "
-        f"from {source} where {where}"
+        f"select '{kind}' as kind, cast(row_number() over (order by member {order}) as int) as "
+        f"position, member from (select distinct cast({column} as varchar) as member "
+        f"from {source} where {where})"
     )
 
 
@@ -249,11 +250,15 @@ order by aqi desc, state, city limit 3""",
     + " union all ".join(
         [
             _members("states by hour", "state", "hours"),
-            _members("cities of a state by hour", "city", "hours", "state = 'R 0'"),
+            _members("cities of a state by hour", "city", "hours", "state = 'R 0'", "desc"),
             _members(
-                "dates of a city by hour", "cast(measurement_time as date)", "hours", _ONE_CITY
+                "dates of a city by hour",
+                "cast(measurement_time as date)",
+                "hours",
+                _ONE_CITY,
+                "desc",
             ),
-            _members("states", "state", "stations"),
+            _members("states", "state", "stations", order="desc"),
             _members("cities of a state", "city", "stations", "state = 'R 0'"),
             _members("stations of a city", "station", "stations", _ONE_CITY),
             _members("dates", "cast(measurement_time as date)", "times"),
@@ -307,4 +312,22 @@ with {WIDE}
 select distinct index_record_ts as measurement_time, {_PARTS.format(t='index_record_ts')},
        cast(hour(index_record_ts) as int) as aqi_hour
 from wide""",
+    "q_any_rows": f"""
+with {WIDE}
+select least(10, count(*)) as n_rows, cast(0 as bigint) as n_foreign from wide""",
+    "q_lake_city_day": f"with {DAYS} select * from days",
+    "q_lake_loads": f"""
+with {READINGS}
+select folder, count(distinct index_record_ts) as n_documents, count(*) as n_records
+from readings, (values ('draft'), ('complete')) as folders(folder) group by folder
+union all
+select 'broken', count(*), null from nation""",
+    "q_odd_documents": f"""
+with {DOCUMENTS},
+judged as (select *, event_id % 8 in (0, 1, 2, 3, 6) as spoiled from documents_)
+select event_id, case when not spoiled then '1.0' end as json_version,
+       case when not spoiled then cast(n as int) end as n_records,
+       case when spoiled then 'malformed JSON'
+            when n = 0 then 'no readable last_update in the first record' end as reject_reason
+from judged""",
 }

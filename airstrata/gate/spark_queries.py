@@ -7,10 +7,11 @@ the pivot is not computed again for them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airstrata.functions import (
@@ -26,6 +27,8 @@ from airstrata.operators import (
     flatten_records,
     key_uniqueness,
     latest_per_key,
+    member_dates,
+    members,
     not_yet_loaded,
     star_join,
 )
@@ -37,8 +40,10 @@ from airstrata.schemas import (
     READING_KEYS,
     RECORD_FIELDS,
 )
-from airstrata.session import stored
+from airstrata.session import ensure_checkpoint_dir, stored
 from airstrata.sources.documents import parse_documents
+from airstrata.sources.lake import Lake
+from airstrata.streaming import load_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,7 +141,7 @@ def q_flatten_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_silver_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ["id", "index_record_ts", "json_data", *AUDIT_COLUMNS]
+    columns = ["id", "index_record_ts", "records", *AUDIT_COLUMNS]
     long = model.silver_long(bronze(spark, sf_dir, *columns))
     return long.drop("_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts")
 
@@ -153,12 +158,12 @@ def q_file_rank_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_file_rank_audit_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    audit = consume.file_rank_audit(bronze(spark, sf_dir, "id", *consume.FILE_COLUMNS), 10)
+    audit = consume.file_rank_audit(parsed_documents(spark, sf_dir), 10)
     return audit.drop("_stg_file_md5", "_copy_data_ts")
 
 
 def q_bronze_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consume.bronze_ids(bronze(spark, sf_dir, "id", "index_record_ts"))
+    return consume.bronze_ids(parsed_documents(spark, sf_dir))
 
 
 def q_load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,41 +317,31 @@ def q_top_cities_latest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All member lists, each with its kind."""
+    """All member lists, each with its kind and the places of its members in their order."""
     chain = Chain(spark, sf_dir)
-    state, city = F.col("state"), F.col("city")
-    one_state = state == PLACE["state"]
-    one_city = one_state & (city == PLACE["city"])
-    day = F.to_date("measurement_time").cast("string")
-
-    def listed(df: DataFrame, *lists: tuple[str, Column, Column]) -> DataFrame:
-        """Several distinct lists from one pass over ``df``."""
-        entries = F.array(
-            *[
-                F.when(keep, F.struct(F.lit(kind).alias("kind"), member.alias("member")))
-                for kind, member, keep in lists
-            ]
+    hours = stored(chain.hours().select("measurement_time", "state", "city"), "hours")
+    locations, dates = chain.locations, chain.dates
+    one_state, one_city = {"state": PLACE["state"]}, {k: PLACE[k] for k in ("state", "city")}
+
+    def listed(kind: str, found: DataFrame) -> DataFrame:
+        """The list with positions: it comes sorted, and its rows are numbered as they come."""
+        (column,) = found.columns
+        numbered = found.select(
+            F.col(column).cast("string").alias("member"), F.monotonically_increasing_id().alias("at")
         )
-        return df.select(F.inline(F.array_compact(entries))).distinct()
-
-    always = F.lit(True)
-    return (
-        listed(
-            chain.hours(),
-            ("states by hour", state, always),
-            ("cities of a state by hour", city, one_state),
-            ("dates of a city by hour", day, one_city),
-        )
-        .unionByName(
-            listed(
-                chain.locations,
-                ("states", state, always),
-                ("cities of a state", city, one_state),
-                ("stations of a city", F.col("station"), one_city),
-            )
-        )
-        .unionByName(listed(chain.dates, ("dates", day, always)))
-    )
+        place = F.row_number().over(Window.orderBy("at"))
+        return numbered.select(F.lit(kind).alias("kind"), place.alias("position"), "member")
+
+    lists = [
+        listed("states by hour", members(hours, "state")),
+        listed("cities of a state by hour", members(hours, "city", desc=True, **one_state)),
+        listed("dates of a city by hour", member_dates(hours, **one_city)),
+        listed("states", members(locations, "state", desc=True)),
+        listed("cities of a state", members(locations, "city", **one_state)),
+        listed("stations of a city", members(locations, "station", **one_city)),
+        listed("dates", member_dates(dates, desc=False)),
+    ]
+    return reduce(DataFrame.unionByName, lists)
 
 
 def q_city_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,8 +384,99 @@ def q_station_denorm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_any_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A limit without an order; which rows it gives is not defined, so it has no oracle."""
-    return Chain(spark, sf_dir).wide.limit(10)
+    """A limit without an order: which rows it gives is open, but not how many and from where."""
+    wide = Chain(spark, sf_dir).wide
+    some = wide.limit(10)
+    foreign = some.exceptAll(wide).agg(F.count(F.lit(1))).scalar()
+    return some.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_foreign", foreign)
+
+
+def _landed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings as documents, one for each hour with all its records."""
+    columns = [f"cast({c} as string) as {c}" for c in ("latitude", "longitude")]
+    texts = readings(spark, sf_dir).selectExpr(
+        "index_record_ts", "country", "state", "city", "station", *columns, "pollutant_id",
+        "pollutant_avg as pollutant_max", "pollutant_avg as pollutant_min", "pollutant_avg",
+        f"{last_update('index_record_ts')} as last_update",
+    )
+    record = F.struct(*[c for c in texts.columns if c != "index_record_ts"])
+    hours = texts.groupBy("index_record_ts").agg(F.collect_list(record).alias("records"))
+    return hours.select(
+        "index_record_ts",
+        F.to_json(
+            F.struct(F.size("records").alias("total"), F.lit("1.0").alias("version"), "records")
+        ).alias("value"),
+    )
+
+
+def _loaded_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake fed from files: drafts of all hours, refused texts, then every hour complete.
+
+    The drafts hold one record with a foreign station and are replaced by the later files.
+    Each step is a load of its own with a refresh of the dates it touches; the last load finds
+    nothing new.
+    """
+    root = f"{ensure_checkpoint_dir(spark)}/lake-{uuid.uuid4().hex}"
+    landing, lake = f"{root}/landing", Lake(spark, f"{root}/tables")
+    lake.create()
+    complete = stored(_landed_hours(spark, sf_dir), "hours")
+    first = F.regexp_replace("value", r"\},\{.*", "}]}")
+    draft = complete.select(F.regexp_replace(first, '"station":"[^"]*"', '"station":"draft"'))
+    draft.write.text(f"{landing}/draft")
+    broken = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit('{"total": '), F.col("n_nationkey").cast("string"))
+    )
+    broken.write.text(f"{landing}/broken")
+    load_batch(lake, landing, recursive=True, line_delimited=True)
+    complete.select("value").write.text(f"{landing}/complete")
+    load_batch(lake, landing, recursive=True, line_delimited=True)
+    if load_batch(lake, landing, recursive=True, line_delimited=True):
+        raise AssertionError("files were loaded twice")
+    return lake
+
+
+def q_lake_city_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City-day as the lake has it after loads, replaced hours and refreshes."""
+    return _loaded_lake(spark, sf_dir).table("fact_city_agg_day_level")
+
+
+def q_lake_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted and refused documents of the lake by folder."""
+    lake = _loaded_lake(spark, sf_dir)
+    folder = F.substring_index("_stg_file_name", "/", 1).alias("folder")
+    accepted = lake.table("raw_aqi").groupBy(folder).agg(
+        F.count(F.lit(1)).alias("n_documents"), F.sum("record_count").alias("n_records")
+    )
+    refused = lake.rejects().groupBy(folder).agg(
+        F.count(F.lit(1)).alias("n_documents"), F.lit(None).cast("long").alias("n_records")
+    )
+    return accepted.unionByName(refused)
+
+
+def q_odd_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents spoiled in several ways; one rule accepts or refuses them at every size."""
+    text = F.col("value")
+    kind = F.col("event_id") % 8
+    pad = F.repeat(F.lit("x"), 200)
+    spoiled = (
+        F.when(kind == 0, F.concat(text, text))
+        .when(kind == 1, F.concat(text, F.lit(" , "), text))
+        .when(kind == 2, F.replace(text, F.lit('"'), F.lit("'")))
+        .when(kind == 3, F.expr("left(value, length(value) - 1)"))
+        .when(kind == 4, F.concat(F.lit('{"version":"0.9",'), F.expr("substr(value, 2)")))
+        .when(kind == 5, F.concat(F.lit('{"pad":"'), pad, F.lit('",'), F.expr("substr(value, 2)")))
+        .when(kind == 6, F.concat(text, F.lit(" tail")))
+        .otherwise(text)
+    )
+    parsed = parse_documents(
+        documents(spark, sf_dir).withColumn("value", spoiled), carry=["event_id"]
+    )
+    return parsed.select(
+        "event_id",
+        "json_version",
+        F.when(F.col("records").isNotNull(), F.size("records")).alias("n_records"),
+        "reject_reason",
+    )
 
 
 QUERIES: dict[str, Query] = {

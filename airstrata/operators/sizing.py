@@ -14,9 +14,17 @@ BROADCAST_LIMIT = 64 << 20
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows, counted by one aggregation: 16 bytes a value plus its text."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    lengths = [F.coalesce(F.octet_length(name), F.lit(0)).cast("long") for name in texts]
+    """Size of the rows, counted by one aggregation: 16 bytes a value plus its text.
+
+    Nested values and variants count by the length of their JSON.
+    """
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    texts = [
+        F.to_json(F.struct(f.name)) if isinstance(f.dataType, nested) else F.col(f.name)
+        for f in df.schema
+        if isinstance(f.dataType, (T.StringType, T.BinaryType, *nested))
+    ]
+    lengths = [F.coalesce(F.octet_length(text), F.lit(0)).cast("long") for text in texts]
     row = reduce(Column.__add__, lengths, F.lit(16 * len(df.columns)).cast("long"))
     return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("n")).first()["n"]
 

@@ -35,13 +35,23 @@ def _on_date(df: DataFrame, time: str, date: str | dt.date) -> DataFrame:
     return df.filter(F.to_date(time) == day) if time in df.columns else df
 
 
+def _on_day_of(df: DataFrame, ts: str | dt.datetime) -> DataFrame:
+    """A stored table reduced to the partition of a time; other tables as they are."""
+    if DATE_PARTITION not in df.columns:
+        return df
+    return df.filter(F.col(DATE_PARTITION) == _moment(ts).cast("date"))
+
+
 def top_cities_latest_day(day: DataFrame, k: int = 10, latest: Column | None = None) -> DataFrame:
     """The ``k`` cities with the highest index on the latest day, ties by state and city.
 
     ``latest`` supplies the day where the caller has it from a cheaper table.
     """
+    stored = DATE_PARTITION in day.columns
     if latest is None:
-        latest = day.agg(F.max("measurement_date")).scalar()
+        latest = day.agg(F.max(DATE_PARTITION if stored else "measurement_date")).scalar()
+    if stored:
+        day = day.filter(F.col(DATE_PARTITION) == latest)
     return (
         day.filter(F.col("measurement_date") == latest)
         .orderBy(F.desc("aqi"), "state", "city")
@@ -157,7 +167,7 @@ def fact_point_lookup(
     wide: DataFrame, city: str, station: str, ts: str | dt.datetime
 ) -> DataFrame:
     """The fact row of a station at a time."""
-    chosen = wide.filter(
+    chosen = _on_day_of(wide, ts).filter(
         (F.col("city") == city)
         & (F.col("station") == station)
         & (F.col("index_record_ts") == _moment(ts))
@@ -167,13 +177,15 @@ def fact_point_lookup(
 
 def city_hour_lookup(hours: DataFrame, city: str, ts: str | dt.datetime) -> DataFrame:
     """Cities of a name at a time."""
-    chosen = hours.filter((F.col("city") == city) & (F.col("measurement_time") == _moment(ts)))
-    return chosen.orderBy(*CITY_ORDER)
+    chosen = _on_day_of(hours, ts).filter(
+        (F.col("city") == city) & (F.col("measurement_time") == _moment(ts))
+    )
+    return chosen.drop(DATE_PARTITION).orderBy(*CITY_ORDER)
 
 
 def city_hour_head(hours: DataFrame, n: int = 100) -> DataFrame:
     """First ``n`` rows by country, state, city and time."""
-    return hours.orderBy(*CITY_ORDER).limit(n)
+    return hours.drop(DATE_PARTITION).orderBy(*CITY_ORDER).limit(n)
 
 
 def city_hour_draft(fact: DataFrame, dates: DataFrame, locations: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airstrata.functions import aqi_value, clean_numeric, prominent_index, surrogate_key
+from airstrata.functions.text import strict_cast
 from airstrata.operators import (
-    flatten_records,
     keep_latest_rows,
     pivot_long_to_wide,
     rollup_avg,
@@ -41,8 +41,8 @@ def silver_long(
 ) -> DataFrame:
     """One row per hour, station and pollutant, from the newest file of each hour.
 
-    A coordinate that is no number fails the job, or becomes NULL with ``on_bad='null'``. If
-    there is a ``value`` column, it holds the text of documents too large for a variant.
+    ``bronze`` has the ``records`` that the loader found in each document. A coordinate that is
+    no number fails the job, or becomes NULL with ``on_bad='null'``.
     """
     dated = bronze.filter(F.col("index_record_ts").isNotNull())
     newest = keep_latest_rows(
@@ -53,13 +53,10 @@ def silver_long(
         broadcast_limit=broadcast_limit,
     )
     keep = ["index_record_ts", *AUDIT_COLUMNS, *carry]
-    text = "value" if "value" in bronze.columns else None
-    flat = flatten_records(newest, "json_data", RECORD_FIELDS, keep, text=text)
+    flat = newest.select(*keep, F.inline("records"))
 
     def coordinate(name: str) -> Column:
-        text = F.col(name)
-        number = text.cast(COORDINATE) if on_bad == "raise" else text.try_cast(COORDINATE)
-        return number.alias(name)
+        return strict_cast(F.col(name), COORDINATE, on_bad).alias(name)
 
     return flat.select(
         "index_record_ts",
@@ -193,7 +190,11 @@ def city_hour(
         "_stations",
         *[F.col(p).alias(f"_{p}") for p in place],
     )
-    placed = parts.join(sharing, F.col("_shared") == F.col("_key"), "left").withColumns(
+    # Nearly all parts share no key. They would meet in the partition of NULL; a hash of their
+    # own columns spreads them, and the second condition keeps them from matching.
+    parts = parts.withColumn("_met", F.coalesce("_shared", F.xxhash64("measurement_time", *place)))
+    met = (F.col("_met") == F.col("_key")) & F.col("_shared").isNotNull()
+    placed = parts.join(sharing, met, "left").withColumns(
         {p: F.coalesce(p, f"_{p}") for p in place}
         | {"_stations": F.coalesce("_stations", F.lit(1))}
     )

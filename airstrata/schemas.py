@@ -71,9 +71,9 @@ def _doubles(names: tuple[str, ...]) -> list[tuple]:
 
 _AUDIT = [
     ("_stg_file_name", T.StringType()),
-    ("_stg_file_load_ts", T.TimestampType()),
+    ("_stg_file_load_ts", T.TimestampNTZType()),
     ("_stg_file_md5", T.StringType()),
-    ("_copy_data_ts", T.TimestampType()),
+    ("_copy_data_ts", T.TimestampNTZType()),
 ]
 _COORDINATES = [("latitude", COORDINATE), ("longitude", COORDINATE)]
 _INDEX = [("prominent_pollutant", T.StringType()), ("aqi", T.DoubleType())]
@@ -81,17 +81,24 @@ _INDEX = [("prominent_pollutant", T.StringType()), ("aqi", T.DoubleType())]
 RAW = _struct(
     ("id", T.LongType(), False),
     ("index_record_ts", T.TimestampNTZType(), False),
-    ("json_data", T.VariantType(), False),
+    ("json_data", T.VariantType()),
     ("record_count", T.LongType(), False),
     ("json_version", T.StringType(), False),
     *_AUDIT,
 )
 
-# What a load stores: accepted documents, and refused ones with their text and the reason.
-# The text is also kept where a document is too large for a variant.
+RECORDS = T.ArrayType(
+    T.StructType([T.StructField(f, T.StringType()) for f in (*RECORD_FIELDS, "last_update")])
+)
+
+# What a load stores: accepted documents with their records, refused ones with text and reason.
 LANDED = T.StructType(
     [T.StructField(f.name, f.dataType) for f in RAW]
-    + [T.StructField("value", T.StringType()), T.StructField("reject_reason", T.StringType())]
+    + [
+        T.StructField("records", RECORDS),
+        T.StructField("value", T.StringType()),
+        T.StructField("reject_reason", T.StringType()),
+    ]
 )
 
 REFRESHED_LOADS = _struct(("load_label", T.StringType()))

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
+from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from airstrata.functions.text import parse_ts
-from airstrata.schemas import AUDIT_COLUMNS
+from airstrata.schemas import AUDIT_COLUMNS, RECORDS
 
-
-# Text size from which a document may exceed what a variant can hold (16 MiB in binary form).
-LARGE_DOCUMENT = 4 << 20
+# How every document is read, whatever its size: strict JSON, strings of any length.
+STRICT_JSON = {"allowSingleQuotes": "false", "maxStringLen": str((1 << 31) - 1)}
+DOCUMENT = (
+    f"array<struct<total:string,version:string,records:{RECORDS.simpleString()}>>"
+)
 
 
 def file_inventory(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
@@ -36,12 +41,25 @@ def _scan(
         .load(path)
         .select(
             "value",
-            F.col("_metadata.file_name").alias("file_name"),
+            _name_below(path).alias("file_name"),
             F.col("_metadata.file_modification_time").alias("file_modification_time"),
         )
     )
 
 
+def _name_below(path: str) -> Column:
+    """Path of a file below the landing folder; its base name where the folder is a pattern."""
+    if any(mark in path for mark in "*?[{"):
+        return F.col("_metadata.file_name")
+    # Scheme and authority depend on how the folder was named, so they are left aside.
+    folder = urlsplit(path).path if "://" in path else os.path.abspath(path.removeprefix("file:"))
+    folder = f"{folder.rstrip('/')}/"
+    full = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    at = F.locate(folder, full)
+    below = F.substring(full, at + len(folder), F.length(full))
+    return F.when(at > 0, below).otherwise(F.col("_metadata.file_name"))
+
+
 def read_documents(
     spark: SparkSession,
     path: str,
@@ -75,43 +93,51 @@ def stream_documents(
     return _scan(reader, path, recursive, line_delimited)
 
 
+def _zoneless(time: Column, dtype: T.DataType) -> Column:
+    """An instant as its UTC wall clock; zone-less times stay."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return time
+    return F.timestamp_add(
+        "MICROSECOND", F.unix_micros(time), F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    )
+
+
 def parse_documents(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Bronze columns of each document, plus ``value``, ``reject_reason`` and ``carry``.
+    """Bronze columns of each document, plus ``records``, ``value``, ``reject_reason`` and ``carry``.
 
-    Every document takes the time of its first record. ``reject_reason`` is NULL for rows
-    that satisfy the bronze constraints; a missing ``total`` takes the column default 0.
-    A valid document beyond the size of a variant has no ``json_data``: its ``value`` stands in.
+    A text is accepted if it is exactly one object in strict JSON, whatever its size: text
+    before or after it, single quotes or a missing end refuse it. Of a repeated key the last
+    value counts. Every document takes the time of its first record; ``reject_reason`` is NULL
+    for rows that satisfy the bronze constraints; a missing ``total`` takes the default 0.
+    ``json_data`` decides nothing; it is NULL where a variant can't hold the document.
     """
+    alone = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    found = F.from_json(alone, DOCUMENT, STRICT_JSON)
+    loaded = documents.schema["file_modification_time"].dataType
     parsed = documents.select(
         "value",
+        F.when(F.size(found) == 1, F.element_at(found, 1)).alias("_document"),
         F.try_parse_json("value").alias("json_data"),
         F.col("file_name").alias("_stg_file_name"),
-        F.col("file_modification_time").alias("_stg_file_load_ts"),
+        _zoneless(F.col("file_modification_time"), loaded).alias("_stg_file_load_ts"),
         F.md5("value").alias("_stg_file_md5"),
-        F.current_timestamp().alias("_copy_data_ts"),
+        _zoneless(F.current_timestamp(), T.TimestampType()).alias("_copy_data_ts"),
         *carry,
     )
-    as_text = (
-        F.col("json_data").isNull()
-        & (F.octet_length("value") > LARGE_DOCUMENT)
-        & F.get_json_object("value", "$").isNotNull()
-    )
-
-    def field(path: str) -> Column:
-        from_text = F.when(as_text, F.get_json_object("value", path))
-        return F.coalesce(F.try_variant_get("json_data", path, "string"), from_text)
-
-    total = field("$.total").try_cast("bigint")
+    document = F.col("_document")
+    given = document["total"]
+    total = given.try_cast("bigint")
     columns = parsed.select(
         "value",
-        parse_ts(field("$.records[0].last_update")).alias("index_record_ts"),
+        parse_ts(F.get(document["records"], F.lit(0))["last_update"]).alias("index_record_ts"),
         "json_data",
         F.coalesce(total, F.lit(0)).cast("long").alias("record_count"),
-        field("$.version").alias("json_version"),
+        document["version"].alias("json_version"),
         *AUDIT_COLUMNS,
         *carry,
-        (total.isNull() & field("$.total").isNotNull()).alias("_bad_total"),
-        (F.col("json_data").isNull() & ~as_text).alias("_malformed"),
+        document["records"].alias("records"),
+        (total.isNull() & given.isNotNull()).alias("_bad_total"),
+        document.isNull().alias("_malformed"),
     )
     reason = (
         F.when(F.col("_malformed"), "malformed JSON")

@@ -91,9 +91,9 @@ class Lake:
             return self.spark.createDataFrame([], self._stored_schema(name))
 
     def raw(self, dates: Iterable[dt.date] | None = None) -> DataFrame:
-        """``raw_aqi`` with its partition columns, and the text of very large documents."""
+        """``raw_aqi`` with its partition columns and the records of each document."""
         landed = self.read("landed_documents", dates).filter(F.col(DATE_PARTITION).isNotNull())
-        return landed.select(*schemas.RAW.names, "value", DATE_PARTITION, "load_label")
+        return landed.select(*schemas.RAW.names, "records", DATE_PARTITION, "load_label")
 
     def rejects(self) -> DataFrame:
         """``raw_aqi_rejects``: text, reason and provenance of the refused documents."""
@@ -107,6 +107,11 @@ class Lake:
             return self.raw().select(*schemas.RAW.names)
         return self.read(name).select(*TABLES[name].schema.names)
 
+    def dated(self, name: str) -> DataFrame:
+        """As ``table``, with the day partition: questions about a day then read that day only."""
+        partition = [DATE_PARTITION] if DATE_PARTITION in TABLES[name].partitions else []
+        return self.read(name).select(*TABLES[name].schema.names, *partition)
+
     def append(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path(name))
 

@@ -22,7 +22,8 @@ from airstrata.sources.documents import (
 from airstrata.sources.lake import Lake
 from airstrata.streaming.refresh import mark_refreshed, refresh_dates, refresh_pending
 
-FILE_IDENTITY = ["_stg_file_name", "_stg_file_md5"]
+# A file put back to earlier content has another time, so it is loaded and wins again.
+FILE_IDENTITY = ["_stg_file_name", "_stg_file_load_ts", "_stg_file_md5"]
 
 
 def load_documents(
@@ -31,18 +32,19 @@ def load_documents(
     """Append the documents not loaded before under ``label`` and return the dates they touch.
 
     Repeating a label replaces its own rows, so a retried load leaves no duplicates.
-    Documents that break a constraint of bronze are stored without a date, as rejects. Text
-    is kept for rejects and for documents too large for a variant.
+    Documents that break a constraint of bronze are stored without a date, as rejects, and with
+    their text.
 
-    The load history is compared by name and content hash. Equal content has an equal date,
-    so ``prune`` may restrict the history to the dates of the documents: worth a pass over a
+    The load history is compared by the path below the landing folder, the file's time and the
+    content hash, on these columns alone: what they find new then selects the documents, so
+    no payload meets the history in a shuffle. Equal content has an equal date, so ``prune`` may restrict the history to the dates of the documents: worth a pass over a
     small batch, but not over a backfill.
     """
     refused = F.col("reject_reason").isNotNull()
     parsed = parse_documents(documents).withColumns(
         {
             DATE_PARTITION: F.when(~refused, F.to_date("index_record_ts")),
-            "value": F.when(refused | F.col("json_data").isNull(), F.col("value")),
+            "value": F.when(refused, F.col("value")),
         }
     )
     dates = None
@@ -55,7 +57,9 @@ def load_documents(
     ids = lake.read("landed_documents").filter(earlier)
     last_id = ids.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
 
-    fresh = not_yet_loaded(parsed, broadcast_if_small(known, settle=False), FILE_IDENTITY)
+    arrived = parsed.select(*FILE_IDENTITY).distinct()
+    new = not_yet_loaded(arrived, broadcast_if_small(known, settle=False), FILE_IDENTITY)
+    fresh = parsed.join(broadcast_if_small(new), FILE_IDENTITY, "left_semi")
     landed = with_row_ids(fresh, after=last_id).withColumn("load_label", F.lit(label))
     lake.overwrite_partitions(
         "landed_documents", landed.select(*LANDED.names, DATE_PARTITION, "load_label")

@@ -215,6 +215,93 @@ def test_document_beyond_the_variant_size_is_whole(spark, landing, lake):
     assert (row.pollutant_avg, float(row.latitude), float(row.longitude)) == ("7", 12.5, 77.25)
 
 
+@pytest.mark.parametrize("size", [10, 5 << 20, 21 << 20])
+def test_one_rule_decides_for_every_size(spark, landing, lake, size):
+    """Padding changes nothing about what is accepted."""
+    good = json.dumps({"pad": "x" * size, **document(record("A", "CO", "1"))})
+    texts = {
+        "good": good,
+        "twice": good + good,
+        "listed": f"{good},{good}",
+        "cut": good[:-1],
+        "tail": f"{good} x",
+        "quotes": good.replace('"', "'"),
+        "repeated": f'{{"version": "0.9", {good[1:]}',
+    }
+    for name, text in texts.items():
+        land(landing, f"{name}.json", text, 1000)
+    load_batch(lake, landing, refresh=False)
+    accepted = lake.table("raw_aqi").select("_stg_file_name", "json_version").collect()
+    assert sorted(map(tuple, accepted)) == [("good.json", "1.0"), ("repeated.json", "1.0")]
+    refused = {r._stg_file_name: r.reject_reason for r in lake.rejects().drop("value").collect()}
+    assert refused == {
+        f"{name}.json": "malformed JSON" for name in ("twice", "listed", "cut", "tail", "quotes")
+    }
+
+
+def test_a_file_put_back_is_loaded_and_wins(spark, landing, lake):
+    for value, time in (("10", 1000), ("20", 2000), ("10", 3000)):
+        land(landing, "a.json", document(record("A", "CO", value)), time)
+        load_batch(lake, landing)
+        assert load_batch(lake, landing) == set()
+        assert [r.pollutant_avg for r in lake.table("curated_aqi_dt").collect()] == [value]
+    assert lake.table("raw_aqi").count() == 3
+
+
+def test_equal_names_in_two_folders_stay_apart(spark, landing, lake):
+    for folder, hour in (("x", "10"), ("y y+1", "11")):
+        os.mkdir(os.path.join(landing, folder))
+        land(os.path.join(landing, folder), "d.json", document(record("A", "CO", "1", hour=hour)), 1000)
+    load_batch(lake, landing, recursive=True, refresh=False)
+    names = sorted(r[0] for r in lake.table("raw_aqi").select("_stg_file_name").collect())
+    assert names == ["x/d.json", "y y+1/d.json"]
+    assert load_batch(lake, landing, recursive=True, refresh=False) == set()
+
+
+def test_history_meets_identities_not_payloads(spark, landing, lake, monkeypatch):
+    """With broadcasts refused, no text or variant of an arrived document is shuffled for it."""
+    from airstrata.operators import sizing
+    from airstrata.streaming import ingest
+
+    fill(landing)
+    load_batch(lake, landing, refresh=False)
+    seen = []
+    monkeypatch.setattr(
+        ingest, "not_yet_loaded",
+        lambda files, known, identity: seen.append(files.columns) or sizing.F.broadcast(
+            files.join(known.hint("merge"), identity, "left_anti")
+        ),
+    )
+    assert load_batch(lake, landing, refresh=False) == set()
+    assert seen == [ingest.FILE_IDENTITY]
+
+
+def test_questions_read_one_day_of_the_lake(spark, landing, lake):
+    for name, content, mtime in many_files(4):
+        land(landing, name, content, mtime)
+    load_batch(lake, landing)
+    hours, days = lake.dated("fact_city_agg_hour_level"), lake.dated("fact_city_agg_day_level")
+    asked = [
+        consume.city_hourly_trend(hours, "Tamil Nadu", "Chennai", "2024-03-02"),
+        consume.city_hour_lookup(hours, "Chennai", "2024-03-02 10:00:00"),
+        consume.fact_point_lookup(
+            lake.dated("curated_flatten_aqi_dt"), "Chennai", "A", "2024-03-02 10:00:00"
+        ),
+        consume.station_drilldown(
+            lake.dated("fact_air_quality"), lake.dated("dim_date"), lake.table("dim_location"),
+            "Tamil Nadu", "Chennai", "A", "2024-03-02",
+        ),
+    ]
+    for answer in asked:
+        assert answer.count() > 0 and DATE_PARTITION not in answer.columns
+        plan = answer._jdf.queryExecution().executedPlan().toString()
+        filters = [line for line in plan.splitlines() if "FileScan" in line and DATE_PARTITION in line]
+        assert filters and all("2024-03-02" in line.split("PartitionFilters")[1] for line in filters)
+    top = consume.top_cities_latest_day(days)
+    assert {tuple(r) for r in top.select("city").collect()} == {("Chennai",), ("Salem",)}
+    assert DATE_PARTITION not in top.columns
+
+
 def test_documents_by_line(spark, landing):
     lines = [json.dumps(document(record("A", "CO", "1", hour=h))) for h in ("10", "11", "12")]
     land(landing, "many.json", "\n".join(lines), 1000)
@@ -230,7 +317,7 @@ def test_nested_folders_and_modified_after(spark, landing):
     after = read_documents(
         spark, landing, recursive=True, modified_after="1970-01-02T00:00:00"
     )
-    assert [r["file_name"] for r in after.collect()] == ["b.json"]
+    assert [r["file_name"] for r in after.collect()] == ["sub/b.json"]
 
 
 def test_preview_before_loading(spark, landing):

@@ -27,6 +27,7 @@ from airstrata.operators import (
 )
 from airstrata.operators.sizing import measured_bytes
 from airstrata.plans import consume, model
+from airstrata.schemas import RECORDS
 from airstrata.session import build_session, ensure_checkpoint_dir, stored
 
 
@@ -281,7 +282,7 @@ def test_bad_coordinate_fails_or_becomes_null(spark):
     bronze = spark.createDataFrame([row], "id long, index_record_ts timestamp_ntz, t string").select(
         "id",
         "index_record_ts",
-        F.parse_json("t").alias("json_data"),
+        F.from_json("t", T.StructType([T.StructField("records", RECORDS)]))["records"].alias("records"),
         *[F.lit(None).cast("string").alias(c) for c in ("_stg_file_name", "_stg_file_md5")],
         *[F.current_timestamp().alias(c) for c in ("_stg_file_load_ts", "_copy_data_ts")],
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from airstrata.gate import fixtures
-from airstrata.gate.spark_queries import Chain
+from airstrata.gate.spark_queries import QUERIES, Chain
 from airstrata.operators import latest_per_key
 from airstrata.plans import consume, model
 from airstrata.session import stored
@@ -27,9 +27,9 @@ def planned(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_query_leaves_the_jvm_or_multiplies_rows(spark, name):
-    plan = planned(driver.queries()[name](spark, SMALL))
+    plan = planned(QUERIES[name](spark, SMALL))
     for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHashAggregate"):
         assert bad not in plan
 
