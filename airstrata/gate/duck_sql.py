@@ -87,6 +87,21 @@ hour_means as (
 ),
 hours as (select *, {_INDEX} from hour_means)"""
 
+# Readings with shared coordinates, a renamed station and missing values.
+_SPREAD = """,
+spread as (
+  select index_record_ts, country, state, city,
+         case when station = 'S3' and day(index_record_ts) >= 15 then 'S3 new' else station end
+           as station,
+         cast(floor(latitude / 3) as decimal(12,7)) as latitude,
+         cast(7 as decimal(12,7)) as longitude, pollutant_id,
+         case when pollutant_avg <> '5' then pollutant_avg end as pollutant_avg
+  from readings
+)"""
+SHARED_HOURS = READINGS + _SPREAD + HOURS.removeprefix(READINGS).replace(
+    "from readings", "from spread"
+)
+
 DAYS = HOURS + f""",
 day_means as (
   select cast(measurement_time as date) as measurement_date, country, state, city,
@@ -230,6 +245,7 @@ join dim d on n.n_regionkey = d.location_pk""",
 with dim as (select distinct n_regionkey as location_pk, n_name from nation)
 select location_pk, count(*) as occurrences from dim group by 1 having count(*) > 1""",
     "q_city_hour": f"with {HOURS} select * from hours",
+    "q_city_hour_shared": f"with {SHARED_HOURS} select * from hours",
     "q_city_hour_head": f"""
 with {HOURS}
 select * from hours order by country, state, city, measurement_time limit 100""",

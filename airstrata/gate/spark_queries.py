@@ -35,6 +35,7 @@ from airstrata.operators import (
 from airstrata.plans import consume, model
 from airstrata.schemas import (
     AUDIT_COLUMNS,
+    COORDINATE,
     GOLD_MEASURES,
     MEASURES,
     READING_KEYS,
@@ -361,6 +362,28 @@ def q_hourly_pollutants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consume.hourly_pollutants(Chain(spark, sf_dir, F.lit(DAY).cast("date")).drilldown())
 
 
+def q_city_hour_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City means where coordinates are shared, stations are renamed and readings are missing.
+
+    Three stations share a coordinate, also across cities; from the 15th of a month on station
+    S3 has another name. A fact then counts once for every station of its coordinate.
+    """
+    renamed = (F.col("station") == "S3") & (F.dayofmonth("index_record_ts") >= 15)
+    spread = readings(spark, sf_dir).withColumns(
+        {
+            "latitude": F.floor(F.col("latitude") / 3).cast(COORDINATE),
+            "longitude": F.lit(7).cast(COORDINATE),
+            "station": F.when(renamed, "S3 new").otherwise(F.col("station")),
+            "pollutant_avg": F.when(F.col("pollutant_avg") == "5", None).otherwise(
+                F.col("pollutant_avg")
+            ),
+        }
+    )
+    wide = model.wide_clean(spread)
+    locations = model.dim_location(model.spaced_states(spread))
+    return model.city_hour(model.fact_air_quality(wide), model.dim_date(spread), locations)
+
+
 def q_map_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consume.map_points(Chain(spark, sf_dir).locations)
 

@@ -83,8 +83,17 @@ def wide_clean(
     numeric: bool = False,
     carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per hour and station with whole-number readings, 0 where missing."""
-    cleaned = {m: clean_numeric(m, on_bad=on_bad) for m in MEASURES}
+    """One row per hour and station with whole-number readings, 0 where missing.
+
+    With ``numeric``, text that is neither a number nor ``NA`` fails the job, or counts as
+    missing with ``on_bad='null'``.
+    """
+    if numeric:
+        reading = F.nullif("pollutant_avg", F.lit("NA"))
+        long = long.withColumn("pollutant_avg", strict_cast(reading, "double", on_bad))
+        cleaned = {m: F.round(F.coalesce(m, F.lit(0.0))) for m in MEASURES}
+    else:
+        cleaned = {m: clean_numeric(m, on_bad=on_bad) for m in MEASURES}
     return (
         spaced_states(wide_text(long, numeric, carry))
         .withColumns(cleaned)

@@ -101,7 +101,10 @@ LANDED = T.StructType(
     ]
 )
 
-REFRESHED_LOADS = _struct(("load_label", T.StringType()))
+# Steps of a load, in the partition of its number. A loaded step stands for one touched date.
+LOADS = _struct(
+    ("load_label", T.StringType()), ("step", T.StringType()), ("touched_date", T.DateType())
+)
 
 LONG = _struct(
     ("index_record_ts", T.TimestampNTZType()),

@@ -148,6 +148,19 @@ def parse_documents(documents: DataFrame, carry: Sequence[str] = ()) -> DataFram
     return columns.withColumn("reject_reason", reason).drop("_bad_total", "_malformed")
 
 
-def with_row_ids(df: DataFrame, after: int = 0) -> DataFrame:
-    """Unique, increasing ``id`` above ``after``; gaps occur."""
-    return df.select((F.monotonically_increasing_id() + F.lit(after + 1)).alias("id"), "*")
+# Bits of a row id for the partition and for the row in it; the load number lies above them.
+PARTITION_BITS, ROW_BITS = 20, 22
+
+
+def with_row_ids(df: DataFrame, load_number: int = 0) -> DataFrame:
+    """Unique, increasing ``id``, above those of all lower load numbers; gaps occur.
+
+    An id holds the load number, the partition and the row. A load beyond a million partitions
+    or four million rows in one of them fails instead of repeating an id.
+    """
+    place = F.monotonically_increasing_id()
+    partition, row = F.shiftrightunsigned(place, 33), place.bitwiseAND(F.lit((1 << 33) - 1))
+    fits = (partition < 1 << PARTITION_BITS) & (row < 1 << ROW_BITS)
+    packed = F.lit(load_number << (PARTITION_BITS + ROW_BITS)) + F.shiftleft(partition, ROW_BITS) + row
+    too_many = F.raise_error(F.lit("too many rows in one load")).cast("long")
+    return df.select(F.when(fits, packed + 1).otherwise(too_many).alias("id"), "*")

@@ -28,10 +28,11 @@ class Table:
     partitions: tuple[str, ...] = (DATE_PARTITION,)
 
 
-# Fixed table names of the model, except for the first two and location_by_day.
+# Fixed table names of the model, except for the first two and location_by_day. ``loads`` holds
+# the newest load and those no refresh has covered, so it stays small however long the history.
 TABLES = {
     "landed_documents": Table("bronze", schemas.LANDED, (DATE_PARTITION, "load_label")),
-    "refreshed_loads": Table("bronze", schemas.REFRESHED_LOADS, ()),
+    "loads": Table("bronze", schemas.LOADS, ("load_number",)),
     "curated_aqi_dt": Table("silver", schemas.LONG),
     "curated_flatten_aqi_dt": Table("silver", schemas.WIDE),
     "dim_date": Table("gold", schemas.DIM_DATE),
@@ -44,7 +45,7 @@ TABLES = {
 
 
 def _partition_type(name: str) -> T.DataType:
-    return T.DateType() if name == DATE_PARTITION else T.StringType()
+    return {DATE_PARTITION: T.DateType(), "load_number": T.LongType()}.get(name, T.StringType())
 
 
 class Lake:
@@ -52,11 +53,18 @@ class Lake:
 
     ``landed_documents`` holds accepted and refused documents, so that a load scans the files
     once; ``raw_aqi`` and ``raw_aqi_rejects`` are its dated and undated partitions.
+
+    ``on_bad='null'`` lets refreshes turn unreadable numbers into NULL instead of failing, and
+    ``numeric`` compares readings as numbers.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(
+        self, spark: SparkSession, root: str, on_bad: str = "raise", numeric: bool = False
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.on_bad = on_bad
+        self.numeric = numeric
 
     def path(self, name: str) -> str:
         return f"{self.root}/{TABLES[name].layer}/{name}"
@@ -113,7 +121,7 @@ class Lake:
         return self.read(name).select(*TABLES[name].schema.names, *partition)
 
     def append(self, name: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(self.path(name))
+        df.write.mode("append").partitionBy(*TABLES[name].partitions).parquet(self.path(name))
 
     def overwrite(self, name: str, df: DataFrame) -> None:
         """Replace the whole table."""
@@ -135,6 +143,14 @@ class Lake:
         empty = self.spark.createDataFrame([], TABLES[name].schema)
         empty.write.mode("overwrite").parquet(f"{self.path(name)}/{DATE_PARTITION}={date}")
 
+    def drop_loads(self, numbers: Iterable[int]) -> None:
+        """Delete the steps of loads from ``loads``."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for number in numbers:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.path('loads')}/load_number={number}")
+            path.getFileSystem(conf).delete(path, True)
+
     def register(self) -> None:
         """Expose layers as schemas and tables as external tables to SQL users."""
         for layer in LAYERS:

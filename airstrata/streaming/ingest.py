@@ -20,7 +20,8 @@ from airstrata.sources.documents import (
     with_row_ids,
 )
 from airstrata.sources.lake import Lake
-from airstrata.streaming.refresh import mark_refreshed, refresh_dates, refresh_pending
+from airstrata.streaming.loads import begin_load, finish_load, mark_refreshed
+from airstrata.streaming.refresh import refresh_dates, refresh_pending
 
 # A file put back to earlier content has another time, so it is loaded and wins again.
 FILE_IDENTITY = ["_stg_file_name", "_stg_file_load_ts", "_stg_file_md5"]
@@ -37,8 +38,9 @@ def load_documents(
 
     The load history is compared by the path below the landing folder, the file's time and the
     content hash, on these columns alone: what they find new then selects the documents, so
-    no payload meets the history in a shuffle. Equal content has an equal date, so ``prune`` may restrict the history to the dates of the documents: worth a pass over a
-    small batch, but not over a backfill.
+    no payload meets the history in a shuffle. Equal content has an equal date, so ``prune``
+    may restrict the history to the dates of the documents: worth a pass over a small batch,
+    but not over a backfill. Ids come from the number of the load, so no earlier one is read.
     """
     refused = F.col("reject_reason").isNotNull()
     parsed = parse_documents(documents).withColumns(
@@ -54,19 +56,20 @@ def load_documents(
             return set()
     earlier = F.col("load_label") != label
     known = lake.read("landed_documents", dates).filter(earlier).select(*FILE_IDENTITY)
-    ids = lake.read("landed_documents").filter(earlier)
-    last_id = ids.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
 
     arrived = parsed.select(*FILE_IDENTITY).distinct()
     new = not_yet_loaded(arrived, broadcast_if_small(known, settle=False), FILE_IDENTITY)
     fresh = parsed.join(broadcast_if_small(new), FILE_IDENTITY, "left_semi")
-    landed = with_row_ids(fresh, after=last_id).withColumn("load_label", F.lit(label))
+    number = begin_load(lake, label)
+    landed = with_row_ids(fresh, number).withColumn("load_label", F.lit(label))
     lake.overwrite_partitions(
         "landed_documents", landed.select(*LANDED.names, DATE_PARTITION, "load_label")
     )
     stored = lake.raw(None if dates is None else [d for d in dates if d is not None])
     stored = stored.filter(~earlier).select(DATE_PARTITION).distinct()
-    return {row[0] for row in stored.collect()}
+    touched = {row[0] for row in stored.collect()}
+    finish_load(lake, number, label, touched)
+    return touched
 
 
 def load_batch(
@@ -104,8 +107,11 @@ def start_ingest(
     """Load files as they arrive, each once, and refresh the dates they touch.
 
     ``every`` is the freshness target, such as ``'30 minutes'``; without it the query takes
-    what is there and stops. A file rewritten under its old name is not seen again.
+    what is there and stops. A file rewritten under its old name is not seen again. Loads whose
+    refresh is pending are refreshed at the start, whether or not files arrive.
     """
+    if refresh:
+        refresh_pending(lake)
     started = threading.Event()
     query_id: list[str] = []
 
@@ -116,7 +122,7 @@ def start_ingest(
         dates = load_documents(lake, batch, label, prune=True)
         if refresh:
             refresh_dates(lake, dates)
-            mark_refreshed(lake, [label] if dates else [])
+            mark_refreshed(lake, [label])
 
     documents = stream_documents(lake.spark, landing, recursive, line_delimited, max_files)
     writer = documents.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)

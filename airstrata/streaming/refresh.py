@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from airstrata.operators.sizing import broadcast_if_small
 from airstrata.plans import model
-from airstrata.schemas import DATE_PARTITION, REFRESHED_LOADS
+from airstrata.schemas import DATE_PARTITION
 from airstrata.session import ensure_checkpoint_dir
 from airstrata.sources.lake import Lake, spread_by_date
+from airstrata.streaming.loads import mark_refreshed, pending_loads
 
 # Each derived table with the tables it is computed from, parents first.
 PARENTS = {
@@ -54,9 +55,11 @@ def derive(
     """Definition of a table over its stored parents, restricted to dates if given."""
     carry = [DATE_PARTITION]
     if name == "curated_aqi_dt":
-        return model.silver_long(lake.raw(dates), carry=carry)
+        return model.silver_long(lake.raw(dates), lake.on_bad, carry)
     if name == "curated_flatten_aqi_dt":
-        return model.wide_clean(lake.read("curated_aqi_dt", dates), carry=carry)
+        return model.wide_clean(
+            lake.read("curated_aqi_dt", dates), lake.on_bad, lake.numeric, carry
+        )
     if name == "dim_date":
         return model.dim_date(lake.read("curated_flatten_aqi_dt", dates), carry)
     if name == "location_by_day":
@@ -82,7 +85,7 @@ def derive(
 
 def refresh_all(lake: Lake, *targets: str) -> None:
     """Recompute the targets and their parents from bronze."""
-    labels = {label for _, label in _pending(lake)}
+    labels, _ = pending_loads(lake)
     for name in refresh_order(*targets):
         df = derive(lake, name)
         lake.overwrite(name, spread_by_date(df) if DATE_PARTITION in df.columns else df)
@@ -90,26 +93,11 @@ def refresh_all(lake: Lake, *targets: str) -> None:
         mark_refreshed(lake, labels)
 
 
-def _pending(lake: Lake) -> set[tuple[dt.date, str]]:
-    """Date and label of the loads no refresh has covered; reads partition names only."""
-    loads = lake.raw().select(DATE_PARTITION, "load_label").distinct()
-    pending = loads.join(lake.table("refreshed_loads"), "load_label", "left_anti")
-    return {(row[DATE_PARTITION], row["load_label"]) for row in pending.collect()}
-
-
-def mark_refreshed(lake: Lake, labels: Iterable[str]) -> None:
-    rows = [(label,) for label in sorted(labels)]
-    if rows:
-        log = lake.spark.createDataFrame(rows, REFRESHED_LOADS).coalesce(1)
-        lake.append("refreshed_loads", log)
-
-
 def refresh_pending(lake: Lake) -> set[dt.date]:
     """Refresh the dates of all loads that none has covered yet, also of an aborted run."""
-    pending = _pending(lake)
-    dates = {date for date, _ in pending}
+    labels, dates = pending_loads(lake)
     refresh_dates(lake, dates)
-    mark_refreshed(lake, {label for _, label in pending})
+    mark_refreshed(lake, labels)
     return dates
 
 

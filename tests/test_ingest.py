@@ -183,6 +183,49 @@ def test_repeating_a_label_replaces_its_rows(spark, landing, lake):
     assert snapshot(lake, "raw_aqi") == before
 
 
+def test_ledger_numbers_loads_and_stays_small(spark, landing, lake):
+    for hour in range(4):
+        land(landing, f"h{hour}.json", document(record("A", "CO", "6", hour=f"0{hour}")), 1000)
+        load_batch(lake, landing)
+        assert lake.read("loads").select("load_number").distinct().collect() == [(hour + 1,)]
+    ids = [r[0] for r in lake.table("raw_aqi").orderBy("index_record_ts").select("id").collect()]
+    assert ids == sorted(set(ids)) and len(ids) == 4
+    assert refresh_pending(lake) == set() and refresh_pending(lake) == set()
+    assert lake.read("loads").count() == 3
+
+
+def test_refresh_covers_a_load_that_was_cut_short(spark, landing, lake, monkeypatch):
+    fill(landing)
+    with monkeypatch.context() as cut:
+        cut.setattr("airstrata.streaming.ingest.finish_load", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load_batch(lake, landing)
+    assert lake.table("fact_air_quality").count() == 0
+    assert load_batch(lake, landing) == set()
+    assert lake.table("fact_air_quality").count() > 0
+    assert refresh_pending(lake) == set()
+
+
+def test_start_of_a_stream_refreshes_pending_loads(spark, tmp_path, landing, lake):
+    fill(landing)
+    load_batch(lake, landing, refresh=False)
+    empty = tmp_path / "nothing"
+    empty.mkdir()
+    start_ingest(lake, str(empty), str(tmp_path / "stream")).awaitTermination(300)
+    assert lake.table("fact_city_agg_day_level").count() > 0
+
+
+def test_lenient_lake_reads_bad_numbers_as_null(spark, tmp_path, landing):
+    lenient = Lake(spark, str(tmp_path / "lenient"), on_bad="null", numeric=True)
+    lenient.create()
+    values = [("PM2.5", "9"), ("PM2.5", "10"), ("CO", "oops"), ("SO2", "4")]
+    land(landing, "a.json", document(*[record("A", c, v, lat="x") for c, v in values]), 1000)
+    load_batch(lenient, landing)
+    wide = lenient.table("curated_flatten_aqi_dt").first()
+    found = (wide["latitude"], wide["pm25_avg"], wide["so2_avg"], wide["co_avg"])
+    assert found == (None, 10.0, 4.0, 0.0)
+
+
 def test_newest_file_replaces_the_hour(spark, landing, lake):
     fill(landing)
     load_batch(lake, landing)
