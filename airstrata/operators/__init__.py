@@ -4,11 +4,14 @@ from airstrata.operators.rank import rank_within_key
 from airstrata.operators.reshape import flatten_records, pivot_long_to_wide
 from airstrata.operators.rollup import member_dates, members, rollup_avg
 from airstrata.operators.sizing import broadcast_if_small
+from airstrata.operators.skew import HeavyKeys, heavy_keys, spread_join
 from airstrata.operators.star import star_join
 
 __all__ = [
+    "HeavyKeys",
     "broadcast_if_small",
     "flatten_records",
+    "heavy_keys",
     "keep_latest_rows",
     "key_uniqueness",
     "latest_per_key",
@@ -18,5 +21,6 @@ __all__ = [
     "pivot_long_to_wide",
     "rank_within_key",
     "rollup_avg",
+    "spread_join",
     "star_join",
 ]
