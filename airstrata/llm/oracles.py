@@ -104,3 +104,9 @@ select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
            as kept_sha256
 from marked group by doc_id
 """
+
+ORACLES["op13_exact_dedup"] = """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+       doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
+from documents window same as (partition by coalesce(text, ''))
+"""

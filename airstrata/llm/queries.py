@@ -12,6 +12,7 @@ from airstrata.llm import (
     bpe,
     cap_filter,
     class_lm,
+    exact_dedup,
     langid,
     line_dedup,
     packing,
@@ -107,6 +108,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
