@@ -62,18 +62,21 @@ def spread_join(
     right_key: str,
     heavy: HeavyKeys,
     how: str = "inner",
+    also: Column | None = None,
 ) -> DataFrame:
     """``left`` joined to ``right`` on their keys, the rows of heavy keys dealt into pieces.
 
     A left row of a heavy key takes one piece by a hash of the row, so a repeated task deals it
     the same way; the right rows of that key are copied to every piece. Other keys have a
     single piece. Each left row still meets each of its right rows once, so every join kind
-    works that keeps no right rows without a partner. Broadcast joins drop the pieces' use but
-    stay right. Both sides must have different column names.
+    works that keeps no right rows without a partner. ``also`` is a further condition, for keys
+    that are hashes of what has to agree. Both sides must have different column names.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"no spread join of kind {how!r}")
     on = F.col(left_key) == F.col(right_key)
+    if also is not None:
+        on = on & also
     if not heavy.pieces:
         return left.join(right, on, how)
     plain = [f.name for f in left.schema if isinstance(f.dataType, T.AtomicType)]
