@@ -105,6 +105,63 @@ select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
 from marked group by doc_id
 """
 
+# CRC-32 of the decimal text of a whole number: eight steps for each byte.
+CRC32 = """xor(list_reduce(
+    list_concat([4294967295::bigint],
+                list_transform(string_split({0}::varchar, ''), lambda c: ord(c)::bigint)),
+    lambda a, x: list_reduce(list_concat([xor(a, x)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+                             lambda p, q: xor(p >> 1, 3988292384::bigint * (p & 1)))),
+    4294967295)"""
+
+ORACLES["op12_conversation_trie"] = f"""
+with turns as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+           row_number() over (partition by conv_id order by turn nulls first) as pos
+    from conversations where conv_id is not null),
+convs as (
+    select conv_id, count(*) as n, {CRC32.format("conv_id")} % 4 as h,
+           conv_id - conv_id % 20 as base
+    from turns group by conv_id),
+rebuilt as (
+    select c.conv_id, t.pos as depth, t.role, t.text
+    from convs c join turns t on t.conv_id = c.base and t.pos <= c.h
+    union all
+    select c.conv_id, t.pos - c.h + least(c.h, coalesce(b.n, 0)), t.role, t.text
+    from convs c join turns t on t.conv_id = c.conv_id and t.pos > c.h
+    left join convs b on b.conv_id = c.base),
+paths as (
+    select conv_id, 0 as depth, '' as path, 0 as words from convs
+    union all
+    select conv_id, depth,
+           string_agg(sha256(length(role)::varchar || ':' || role || text), '')
+               over (partition by conv_id order by depth),
+           len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))
+    from rebuilt),
+lengths as (select conv_id, max(depth) as length from paths group by conv_id),
+nodes as (
+    select depth, path, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words
+    from paths group by depth, path),
+children as (
+    select depth - 1 as depth, left(path, length(path) - 64) as path, count(*) as n_children
+    from nodes where depth > 0 group by all),
+sized as (
+    select n.*, coalesce(c.n_children, 0) as n_children
+    from nodes n left join children c on c.depth = n.depth and c.path = n.path),
+totals as (
+    select a.depth, a.path, count(*) filter (b.n_children = 0) as n_leaves,
+           sum((b.n_convs - 1) * b.words)::bigint as saved_tokens
+    from sized a join sized b on starts_with(b.path, a.path) group by a.depth, a.path),
+ends as (
+    select p.depth, p.path, sha256(string_agg(p.conv_id::varchar, ',' order by p.conv_id)) as sha
+    from paths p join lengths l on l.conv_id = p.conv_id and l.length = p.depth
+    group by p.depth, p.path)
+select n.conv_id, n.depth::bigint as depth, u.conv_id as parent_conv_id, n.n_convs, n.n_children,
+       t.n_leaves, t.saved_tokens, coalesce(e.sha, sha256('')) as ends_sha256
+from sized n join totals t on t.depth = n.depth and t.path = n.path
+left join nodes u on u.depth = n.depth - 1 and u.path = left(n.path, length(n.path) - 64)
+left join ends e on e.depth = n.depth and e.path = n.path
+"""
+
 ORACLES["op13_exact_dedup"] = """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
        doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256

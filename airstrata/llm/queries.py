@@ -12,6 +12,7 @@ from airstrata.llm import (
     bpe,
     cap_filter,
     class_lm,
+    conversation_trie,
     exact_dedup,
     langid,
     line_dedup,
@@ -108,6 +109,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    return conversation_trie.conversation_trie(conversations, rebuilt=True)
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
