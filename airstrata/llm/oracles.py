@@ -105,6 +105,32 @@ select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
 from marked group by doc_id
 """
 
+TERMS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')".format(
+    LOWER.format("coalesce(text, '')")
+)
+
+ORACLES["op11_ranked_search"] = f"""
+with words as (select doc_id, unnest({TERMS}) as term from documents),
+counts as (select doc_id, term, count(*) as tf from words group by all),
+sizes as (select doc_id, sum(tf)::bigint as n from counts group by doc_id),
+totals as (select count(*) as n_docs, sum(n)::bigint as n_terms from sizes),
+asked as (select distinct item_id, unnest({TERMS}) as term from benchmark),
+weights as (
+    select a.term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(c.doc_id) + 1)))::bigint as w
+    from (select distinct term from asked) a left join counts c using (term), totals
+    group by a.term, n_docs),
+scores as (
+    select a.item_id, c.doc_id,
+           sum(w.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::bigint
+               as score
+    from asked a join weights w using (term) join counts c using (term) join sizes using (doc_id), totals
+    group by a.item_id, c.doc_id),
+ranked as (
+    select *, row_number() over (partition by item_id order by score desc, doc_id) as rank
+    from scores where score > 0)
+select item_id, rank::integer as rank, doc_id, score from ranked where rank <= 10
+"""
+
 # CRC-32 of the decimal text of a whole number: eight steps for each byte.
 CRC32 = """xor(list_reduce(
     list_concat([4294967295::bigint],

@@ -18,6 +18,7 @@ from airstrata.llm import (
     line_dedup,
     packing,
     sharding,
+    signature_search,
     simhash,
     topk_search,
     url_filter,
@@ -109,6 +110,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = read_table(spark, sf_dir, "benchmark")
+    return signature_search.search(items, read_table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = read_table(spark, sf_dir, "conversations")
     return conversation_trie.conversation_trie(conversations, rebuilt=True)
