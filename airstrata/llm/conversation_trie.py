@@ -52,7 +52,9 @@ def number_turns(conversations: DataFrame) -> DataFrame:
         _name(size.cast("binary"), F.lit(b":"), role.cast("binary"), text.cast("binary")).alias("name"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"),
     )
-    placed = rank_within_key(turns, ["conv_id"], ["unnumbered", "falling", "name"], "position")
+    # Ranking reads its input twice, so the texts are hashed and counted before.
+    order = ["unnumbered", "falling", "name"]
+    placed = rank_within_key(stored(turns, "turns"), ["conv_id"], order, "position")
     return placed.select("conv_id", F.col("position").cast("long"), "name", "n_words")
 
 
