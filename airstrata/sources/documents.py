@@ -110,42 +110,53 @@ def parse_documents(documents: DataFrame, carry: Sequence[str] = ()) -> DataFram
     value counts. Every document takes the time of its first record; ``reject_reason`` is NULL
     for rows that satisfy the bronze constraints; a missing ``total`` takes the default 0.
     ``json_data`` decides nothing; it is NULL where a variant can't hold the document.
+
+    The values come out of a generator, which the optimizer does not copy into the filters and
+    projections above, so a plan parses each document once.
     """
     alone = F.concat(F.lit("["), F.col("value"), F.lit("]"))
-    found = F.from_json(alone, DOCUMENT, STRICT_JSON)
     loaded = documents.schema["file_modification_time"].dataType
+
+    def values(found: Column) -> Column:
+        whole = F.coalesce(F.size(found) == 1, F.lit(False))
+        document = F.when(whole, F.get(found, F.lit(0)))
+        first = F.get(document["records"], F.lit(0))
+        return F.struct(
+            whole.alias("_whole"),
+            parse_ts(first["last_update"]).alias("index_record_ts"),
+            document["total"].alias("_total"),
+            document["total"].try_cast("bigint").alias("_count"),
+            document["version"].alias("json_version"),
+            document["records"].alias("records"),
+        )
+
     parsed = documents.select(
         "value",
-        F.when(F.size(found) == 1, F.element_at(found, 1)).alias("_document"),
-        F.try_parse_json("value").alias("json_data"),
+        F.inline(F.transform(F.array(F.from_json(alone, DOCUMENT, STRICT_JSON)), values)),
         F.col("file_name").alias("_stg_file_name"),
         _zoneless(F.col("file_modification_time"), loaded).alias("_stg_file_load_ts"),
         F.md5("value").alias("_stg_file_md5"),
         _zoneless(F.current_timestamp(), T.TimestampType()).alias("_copy_data_ts"),
         *carry,
     )
-    document = F.col("_document")
-    given = document["total"]
-    total = given.try_cast("bigint")
-    columns = parsed.select(
-        "value",
-        parse_ts(F.get(document["records"], F.lit(0))["last_update"]).alias("index_record_ts"),
-        "json_data",
-        F.coalesce(total, F.lit(0)).cast("long").alias("record_count"),
-        document["version"].alias("json_version"),
-        *AUDIT_COLUMNS,
-        *carry,
-        document["records"].alias("records"),
-        (total.isNull() & given.isNotNull()).alias("_bad_total"),
-        document.isNull().alias("_malformed"),
-    )
+    bad_total = F.col("_count").isNull() & F.col("_total").isNotNull()
     reason = (
-        F.when(F.col("_malformed"), "malformed JSON")
+        F.when(~F.col("_whole"), "malformed JSON")
         .when(F.col("index_record_ts").isNull(), "no readable last_update in the first record")
         .when(F.col("json_version").isNull(), "no version")
-        .when(F.col("_bad_total"), "total is no whole number")
+        .when(bad_total, "total is no whole number")
+    )
+    return parsed.select(
+        "value",
+        "index_record_ts",
+        F.try_parse_json("value").alias("json_data"),
+        F.coalesce("_count", F.lit(0)).cast("long").alias("record_count"),
+        "json_version",
+        *AUDIT_COLUMNS,
+        *carry,
+        "records",
+        reason.alias("reject_reason"),
     )
-    return columns.withColumn("reject_reason", reason).drop("_bad_total", "_malformed")
 
 
 # Bits of a row id for the partition and for the row in it; the load number lies above them.

@@ -106,3 +106,9 @@ def test_a_question_about_one_day_bounds_the_scan(spark):
     plan = planned(driver.queries()["q_station_drilldown"](spark, SMALL))
     assert "GreaterThanOrEqual(ts,2024-01-10T00:00" in plan
     assert "LessThan(ts,2024-01-11T00:00" in plan
+
+
+@pytest.mark.parametrize("name", ["q_bronze_ids", "q_bronze_documents", "q_file_rank_audit_top", "q_flatten_records"])
+def test_a_document_is_parsed_once_in_a_plan(spark, name):
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
