@@ -101,6 +101,13 @@ LANDED = T.StructType(
     ]
 )
 
+# Versions of the files that loads have read; what is listed here is not opened again.
+LANDED_FILES = _struct(
+    ("_stg_file_name", T.StringType()),
+    ("_stg_file_load_ts", T.TimestampNTZType()),
+    ("_stg_file_length", T.LongType()),
+)
+
 # Steps of a load, in the partition of its number. A loaded step stands for one touched date.
 LOADS = _struct(
     ("load_label", T.StringType()), ("step", T.StringType()), ("touched_date", T.DateType())

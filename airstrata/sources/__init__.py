@@ -2,7 +2,6 @@ from airstrata.sources.documents import (
     file_inventory,
     parse_documents,
     read_documents,
-    stream_documents,
     with_row_ids,
 )
 from airstrata.sources.lake import Lake
@@ -12,6 +11,5 @@ __all__ = [
     "file_inventory",
     "parse_documents",
     "read_documents",
-    "stream_documents",
     "with_row_ids",
 ]

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 from urllib.parse import urlsplit
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamReader
 
 from airstrata.functions.text import parse_ts
 from airstrata.schemas import AUDIT_COLUMNS, RECORDS
 
+# Characters that make a path a pattern.
+GLOB_MARKS = "*?[]{}\\"
+
 # How every document is read, whatever its size: strict JSON, strings of any length.
 STRICT_JSON = {"allowSingleQuotes": "false", "maxStringLen": str((1 << 31) - 1)}
 DOCUMENT = (
@@ -21,39 +22,54 @@ DOCUMENT = (
 )
 
 
-def file_inventory(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+def landing_root(spark: SparkSession, path: str) -> str:
+    """Qualified name of the folder that holds the landed files of ``path``.
+
+    For a pattern it is the folder above the first part with a mark, for a file its folder; a
+    relative name counts from the file system's working folder, whichever that is.
+    """
+    parts = path.rstrip("/").split("/")
+    marked = next((i for i, part in enumerate(parts) if set(part) & set(GLOB_MARKS)), len(parts))
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path("/".join(parts[:marked]) or ("/" if path[0] == "/" else "."))
+    files = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base = files.makeQualified(base)
+    if files.exists(base) and files.getFileStatus(base).isFile():
+        base = base.getParent()
+    return base.toString().rstrip("/")
+
+
+def escaped(path: str) -> str:
+    """A file's own name where a pattern is expected."""
+    return "".join(f"\\{c}" if c in GLOB_MARKS else c for c in path)
+
+
+def file_inventory(
+    spark: SparkSession, path: str, recursive: bool = False, modified_after: str | None = None
+) -> DataFrame:
     """Name, modification time and size of every landed file; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", recursive)
-        .load(path)
-        .select("path", "modificationTime", "length")
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
+    return reader.load(path).select("path", "modificationTime", "length")
 
 
-def _scan(
-    reader: DataFrameReader | DataStreamReader, path: str, recursive: bool, line_delimited: bool
+def landed_files(
+    spark: SparkSession, path: str, recursive: bool = False, modified_after: str | None = None
 ) -> DataFrame:
-    return (
-        reader.format("text")
-        .option("wholetext", not line_delimited)
-        .option("recursiveFileLookup", recursive)
-        .load(path)
-        .select(
-            "value",
-            _name_below(path).alias("file_name"),
-            F.col("_metadata.file_modification_time").alias("file_modification_time"),
-        )
+    """Versions of landed files: name below ``landing_root``, time and size, by listing alone."""
+    found = file_inventory(spark, path, recursive, modified_after)
+    start = len(landing_root(spark, path)) + 2
+    return found.select(
+        F.expr(f"substr(path, {start})").alias("_stg_file_name"),
+        _zoneless(F.col("modificationTime"), T.TimestampType()).alias("_stg_file_load_ts"),
+        F.col("length").alias("_stg_file_length"),
     )
 
 
-def _name_below(path: str) -> Column:
-    """Path of a file below the landing folder; its base name where the folder is a pattern."""
-    if any(mark in path for mark in "*?[{"):
-        return F.col("_metadata.file_name")
-    # Scheme and authority depend on how the folder was named, so they are left aside.
-    folder = urlsplit(path).path if "://" in path else os.path.abspath(path.removeprefix("file:"))
-    folder = f"{folder.rstrip('/')}/"
+def _name_below(root: str) -> Column:
+    """Path of a file below the landing folder; scheme and authority are left aside."""
+    folder = f"{urlsplit(root).path}/"
     full = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     at = F.locate(folder, full)
     below = F.substring(full, at + len(folder), F.length(full))
@@ -66,31 +82,31 @@ def read_documents(
     recursive: bool = False,
     line_delimited: bool = False,
     modified_after: str | None = None,
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
     """Text of each document with the name and time of its file.
 
     A file is one document, or one per line with ``line_delimited`` (such files are split
-    among tasks). Compression follows the file extension. ``modified_after`` drops older
-    files while listing, before anything is read.
+    among tasks). Compression follows the file extension. Names are paths below
+    ``landing_root``. ``modified_after`` drops older files while listing, before anything is
+    read; ``files`` names those to read, and nothing else is listed or opened.
     """
     reader = spark.read
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
-    return _scan(reader, path, recursive, line_delimited)
-
-
-def stream_documents(
-    spark: SparkSession,
-    path: str,
-    recursive: bool = False,
-    line_delimited: bool = False,
-    max_files: int | None = None,
-) -> DataFrame:
-    """As ``read_documents``, for files that keep arriving; ``max_files`` bounds one batch."""
-    reader = spark.readStream
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return _scan(reader, path, recursive, line_delimited)
+    root = landing_root(spark, path)
+    chosen = path if files is None else [escaped(f"{root}/{name}") for name in files]
+    return (
+        reader.format("text")
+        .option("wholetext", not line_delimited)
+        .option("recursiveFileLookup", recursive)
+        .load(chosen)
+        .select(
+            "value",
+            _name_below(root).alias("file_name"),
+            F.col("_metadata.file_modification_time").alias("file_modification_time"),
+        )
+    )
 
 
 def _zoneless(time: Column, dtype: T.DataType) -> Column:

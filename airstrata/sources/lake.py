@@ -28,10 +28,11 @@ class Table:
     partitions: tuple[str, ...] = (DATE_PARTITION,)
 
 
-# Fixed table names of the model, except for the first two and location_by_day. ``loads`` holds
+# Fixed table names of the model, except for the first three and location_by_day. ``loads`` holds
 # the newest load and those no refresh has covered, so it stays small however long the history.
 TABLES = {
     "landed_documents": Table("bronze", schemas.LANDED, (DATE_PARTITION, "load_label")),
+    "landed_files": Table("bronze", schemas.LANDED_FILES, ()),
     "loads": Table("bronze", schemas.LOADS, ("load_number",)),
     "curated_aqi_dt": Table("silver", schemas.LONG),
     "curated_flatten_aqi_dt": Table("silver", schemas.WIDE),

@@ -3,75 +3,109 @@
 from __future__ import annotations
 
 import datetime as dt
-import threading
 import uuid
+from itertools import batched
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from airstrata.operators.dedup import not_yet_loaded
 from airstrata.operators.sizing import broadcast_if_small
-from airstrata.schemas import DATE_PARTITION, LANDED
+from airstrata.schemas import DATE_PARTITION, LANDED, LANDED_FILES
+from airstrata.sources import listing
 from airstrata.sources.documents import (
+    landed_files,
+    landing_root,
     parse_documents,
     read_documents,
-    stream_documents,
     with_row_ids,
 )
 from airstrata.sources.lake import Lake
-from airstrata.streaming.loads import begin_load, finish_load, mark_refreshed
-from airstrata.streaming.refresh import refresh_dates, refresh_pending
+from airstrata.streaming.loads import begin_load, close_cut_loads, cut_loads, finish_load
+from airstrata.streaming.refresh import refresh_pending
 
-# A file put back to earlier content has another time, so it is loaded and wins again.
-FILE_IDENTITY = ["_stg_file_name", "_stg_file_load_ts", "_stg_file_md5"]
+# A version of a file. One put back to earlier content has another time, so it is loaded again
+# and wins.
+FILE_IDENTITY = LANDED_FILES.names
+DOCUMENT_IDENTITY = ["_stg_file_name", "_stg_file_load_ts", "_stg_file_md5"]
+# Files of one load, whose names the driver holds.
+FILES_PER_LOAD = 10_000
 
 
-def load_documents(
-    lake: Lake, documents: DataFrame, label: str, prune: bool = False
-) -> set[dt.date]:
-    """Append the documents not loaded before under ``label`` and return the dates they touch.
-
-    Repeating a label replaces its own rows, so a retried load leaves no duplicates.
-    Documents that break a constraint of bronze are stored without a date, as rejects, and with
-    their text.
+def load_documents(lake: Lake, documents: DataFrame, label: str) -> set[dt.date]:
+    """Append documents under ``label`` and return the dates they touch.
 
-    The load history is compared by the path below the landing folder, the file's time and the
-    content hash, on these columns alone: what they find new then selects the documents, so
-    no payload meets the history in a shuffle. Equal content has an equal date, so ``prune``
-    may restrict the history to the dates of the documents: worth a pass over a small batch,
-    but not over a backfill. Ids come from the number of the load, so no earlier one is read.
+    The documents are those of files no load has recorded. Repeating a label replaces its own
+    rows, and documents that a load has left behind which was cut short are not written again,
+    so a retried load leaves no duplicates. Documents that break a constraint of bronze are
+    stored without a date, as rejects, and with their text. Ids come from the number of the
+    load, so no earlier one is read; the dates are counted by the write itself.
     """
     refused = F.col("reject_reason").isNotNull()
-    parsed = parse_documents(documents).withColumns(
+    fresh = parse_documents(documents).withColumns(
         {
             DATE_PARTITION: F.when(~refused, F.to_date("index_record_ts")),
             "value": F.when(refused, F.col("value")),
         }
     )
-    dates = None
-    if prune:
-        dates = [row[0] for row in parsed.select(DATE_PARTITION).distinct().collect()]
-        if not dates:
-            return set()
-    earlier = F.col("load_label") != label
-    known = lake.read("landed_documents", dates).filter(earlier).select(*FILE_IDENTITY)
-
-    arrived = parsed.select(*FILE_IDENTITY).distinct()
-    new = not_yet_loaded(arrived, broadcast_if_small(known, settle=False), FILE_IDENTITY)
-    fresh = parsed.join(broadcast_if_small(new), FILE_IDENTITY, "left_semi")
+    left_behind = set(cut_loads(lake).values()) - {label}
+    if left_behind:
+        written = lake.read("landed_documents").filter(F.col("load_label").isin(sorted(left_behind)))
+        known = broadcast_if_small(written.select(*DOCUMENT_IDENTITY).distinct())
+        fresh = fresh.join(known, DOCUMENT_IDENTITY, "left_anti")
     number = begin_load(lake, label)
     landed = with_row_ids(fresh, number).withColumn("load_label", F.lit(label))
-    lake.overwrite_partitions(
-        "landed_documents", landed.select(*LANDED.names, DATE_PARTITION, "load_label")
+    seen = Observation()
+    landed = landed.select(*LANDED.names, DATE_PARTITION, "load_label").observe(
+        seen, F.collect_set(DATE_PARTITION).alias("dates")
     )
-    stored = lake.raw(None if dates is None else [d for d in dates if d is not None])
-    stored = stored.filter(~earlier).select(DATE_PARTITION).distinct()
-    touched = {row[0] for row in stored.collect()}
+    lake.overwrite_partitions("landed_documents", landed)
+    touched = set(seen.get["dates"])
     finish_load(lake, number, label, touched)
     return touched
 
 
+def new_files(
+    lake: Lake, landing: str, recursive: bool = False, modified_after: str | None = None
+) -> DataFrame:
+    """Versions of landed files that no load has recorded: a difference of listings.
+
+    No file is opened. A file is new if its name below the landing folder, its time or its size
+    is; a file that was renamed is new as well.
+    """
+    arrived = landed_files(lake.spark, landing, recursive, modified_after)
+    known = lake.table("landed_files").select(*FILE_IDENTITY)
+    arrived = arrived.select(*FILE_IDENTITY)
+    return not_yet_loaded(arrived, broadcast_if_small(known, settle=False), FILE_IDENTITY)
+
+
+def load_new_files(
+    lake: Lake,
+    landing: str,
+    recursive: bool = False,
+    line_delimited: bool = False,
+    modified_after: str | None = None,
+    max_files: int = FILES_PER_LOAD,
+) -> set[dt.date]:
+    """Load the new files, oldest first, in loads of at most ``max_files``.
+
+    A load records its files when their documents are written, so one that dies is repeated.
+    """
+    cut = cut_loads(lake)
+    new = new_files(lake, landing, recursive, modified_after)
+    dates: set[dt.date] = set()
+    for files in batched(new.orderBy("_stg_file_load_ts", "_stg_file_name").toLocalIterator(), max_files):
+        names = [row["_stg_file_name"] for row in files]
+        documents = read_documents(
+            lake.spark, landing, line_delimited=line_delimited, files=names
+        )
+        dates |= load_documents(lake, documents, f"load-{uuid.uuid4().hex}")
+        lake.append("landed_files", lake.spark.createDataFrame(files, LANDED_FILES).coalesce(1))
+    close_cut_loads(lake, cut)
+    return dates
+
+
 def load_batch(
     lake: Lake,
     landing: str,
@@ -79,16 +113,15 @@ def load_batch(
     line_delimited: bool = False,
     modified_after: str | None = None,
     refresh: bool = True,
+    max_files: int = FILES_PER_LOAD,
 ) -> set[dt.date]:
     """Load what the landing folder holds beyond the files already loaded.
 
     Also serves as backfill. Returns the touched dates; with ``refresh`` the derived tables
-    are brought up to date, also for loads whose refresh was skipped or cut short. Every call
-    reads the landing folder: for steady arrivals prefer ``start_ingest``, which keeps track
-    of the files, or pass ``modified_after``.
+    are brought up to date, also for loads whose refresh was skipped or cut short. A call
+    lists the folder and opens new files only; ``modified_after`` shortens the listing.
     """
-    documents = read_documents(lake.spark, landing, recursive, line_delimited, modified_after)
-    dates = load_documents(lake, documents, f"batch-{uuid.uuid4().hex}")
+    dates = load_new_files(lake, landing, recursive, line_delimited, modified_after, max_files)
     if refresh:
         refresh_pending(lake)
     return dates
@@ -101,33 +134,28 @@ def start_ingest(
     every: str | None = None,
     recursive: bool = False,
     line_delimited: bool = False,
-    max_files: int | None = None,
+    max_files: int = FILES_PER_LOAD,
     refresh: bool = True,
 ) -> StreamingQuery:
-    """Load files as they arrive, each once, and refresh the dates they touch.
+    """Load files as they arrive or are rewritten, each version once, and refresh their dates.
 
     ``every`` is the freshness target, such as ``'30 minutes'``; without it the query takes
-    what is there and stops. A file rewritten under its old name is not seen again. Loads whose
+    what is there and stops. A micro-batch runs when the listing below the landing folder has
+    changed (``LandingListing``) and loads what is new by the history, as ``load_batch`` does;
+    so a repeated batch, a restart or a new checkpoint loads nothing twice. Loads whose
     refresh is pending are refreshed at the start, whether or not files arrive.
     """
+    spark = lake.spark
     if refresh:
         refresh_pending(lake)
-    started = threading.Event()
-    query_id: list[str] = []
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        # The query id survives restarts from the checkpoint and differs for a new one.
-        started.wait()
-        label = f"stream-{query_id[0]}-{batch_id}"
-        dates = load_documents(lake, batch, label, prune=True)
+        load_new_files(lake, landing, recursive, line_delimited, max_files=max_files)
         if refresh:
-            refresh_dates(lake, dates)
-            mark_refreshed(lake, [label])
+            refresh_pending(lake)
 
-    documents = stream_documents(lake.spark, landing, recursive, line_delimited, max_files)
-    writer = documents.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    spark.dataSource.register(listing.LandingListing)
+    changes = spark.readStream.format(listing.NAME).load(landing_root(spark, landing))
+    writer = changes.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    query = writer.trigger(**trigger).start()
-    query_id.append(query.id)
-    started.set()
-    return query
+    return writer.trigger(**trigger).start()

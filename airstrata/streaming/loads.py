@@ -35,6 +35,24 @@ def finish_load(lake: Lake, number: int, label: str, dates: Iterable[dt.date]) -
     _enter(lake, number, [(label, LOADED, date) for date in sorted(dates)] or [(label, LOADED, None)])
 
 
+def cut_loads(lake: Lake) -> dict[int, str]:
+    """Numbers and labels of loads that began and have not written all their documents."""
+    done = F.max(F.col("step").isin(LOADED, REFRESHED)).alias("done")
+    steps = lake.read("loads").groupBy("load_number", "load_label").agg(done)
+    found = steps.filter(~F.col("done")).select("load_number", "load_label").collect()
+    return {row["load_number"]: row["load_label"] for row in found}
+
+
+def close_cut_loads(lake: Lake, cut: dict[int, str]) -> None:
+    """Enter what loads have left behind that were cut short, once their files are loaded."""
+    if not cut:
+        return
+    written = lake.raw().filter(F.col("load_label").isin(sorted(set(cut.values()))))
+    found = written.select("load_label", DATE_PARTITION).distinct().collect()
+    for number, label in cut.items():
+        finish_load(lake, number, label, {row[1] for row in found if row[0] == label})
+
+
 def pending_loads(lake: Lake) -> tuple[set[str], set[dt.date]]:
     """Labels of the loads that no refresh has covered, and the dates they touch.
 
@@ -57,12 +75,18 @@ def pending_loads(lake: Lake) -> tuple[set[str], set[dt.date]]:
 
 
 def mark_refreshed(lake: Lake, labels: Iterable[str]) -> None:
-    """Take loads from the ledger; the newest one's entry stays, marked."""
+    """Take loads from the ledger; the newest one's entry stays, marked.
+
+    A load that was cut short stays too, since its documents must not be written again.
+    """
     loads = lake.read("loads")
     newest = loads.agg(F.max("load_number")).first()[0]
-    covered = F.max(F.col("step") == REFRESHED).alias("covered")
-    over = F.col("load_label").isin(sorted(labels)) | F.col("covered")
-    entries = loads.groupBy("load_number", "load_label").agg(covered).filter(over).collect()
+    steps = loads.groupBy("load_number", "load_label").agg(
+        F.max(F.col("step") == LOADED).alias("done"),
+        F.max(F.col("step") == REFRESHED).alias("covered"),
+    )
+    over = (F.col("load_label").isin(sorted(labels)) & F.col("done")) | F.col("covered")
+    entries = steps.filter(over).collect()
     for row in entries:
         if row["load_number"] == newest and not row["covered"]:
             _enter(lake, newest, [(row["load_label"], REFRESHED, None)])

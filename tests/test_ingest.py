@@ -319,6 +319,100 @@ def test_history_meets_identities_not_payloads(spark, landing, lake, monkeypatch
     assert seen == [ingest.FILE_IDENTITY]
 
 
+def values_of(lake):
+    return sorted((r._stg_file_name, r.pollutant_avg) for r in lake.table("curated_aqi_dt").collect())
+
+
+def test_known_files_are_not_opened(spark, landing, lake, monkeypatch):
+    """A file is known by name, time and size; renamed and rewritten ones are new."""
+    from airstrata.streaming import ingest
+
+    for hour in ("10", "11", "12"):
+        land(landing, f"h{hour}.json", document(record("A", "CO", "1", hour=hour)), 1000)
+    load_batch(lake, landing, refresh=False)
+    opened = []
+    read = ingest.read_documents
+    monkeypatch.setattr(
+        ingest, "read_documents", lambda *a, **k: opened.append(sorted(k["files"])) or read(*a, **k)
+    )
+    assert load_batch(lake, landing, refresh=False) == set() and opened == []
+    plan = ingest.new_files(lake, landing)._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan binaryFile" in line)
+    assert "content" not in scan.split("ReadSchema")[1]
+
+    land(landing, "h10.json", document(record("A", "CO", "2", hour="10")), 2000)
+    os.rename(os.path.join(landing, "h11.json"), os.path.join(landing, "renamed.json"))
+    load_batch(lake, landing)
+    assert opened == [["h10.json", "renamed.json"]]
+    assert values_of(lake) == [("h10.json", "2"), ("h12.json", "1"), ("renamed.json", "1")]
+    assert lake.table("raw_aqi").count() == lake.table("landed_files").count() == 5
+
+
+def test_loads_hold_a_bounded_number_of_files(spark, landing, lake):
+    for hour in range(5):
+        land(landing, f"h{hour}.json", document(record("A", "CO", "1", hour=f"0{hour}")), 1000 + hour)
+    assert load_batch(lake, landing, refresh=False, max_files=2) == {DAY}
+    labels = lake.raw().groupBy("load_label").count().select("count").collect()
+    assert sorted(r[0] for r in labels) == [1, 2, 2]
+    assert load_batch(lake, landing, refresh=False, max_files=2) == set()
+
+
+@pytest.mark.parametrize("refreshed", [False, True])
+def test_load_cut_before_its_files_are_recorded_leaves_no_copies(spark, landing, lake, monkeypatch, refreshed):
+    fill(landing)
+    with monkeypatch.context() as cut:
+        cut.setattr(Lake, "append", lambda *_: 1 / 0)
+        cut.setattr("airstrata.streaming.ingest.begin_load", lambda lake, label: 1)
+        with pytest.raises(ZeroDivisionError):
+            load_batch(lake, landing)
+    begun = lake.raw().select("load_label").first()[0]
+    from airstrata.streaming import loads
+
+    loads._enter(lake, 1, [(begun, loads.STARTED, None)])
+    if refreshed:
+        refresh_pending(lake)
+    land(landing, "h16.json", document(record("A", "CO", "6", hour="16")), 1000)
+    load_batch(lake, landing)
+    assert lake.table("raw_aqi").count() == 7 and lake.rejects().count() == 5
+    assert loads.cut_loads(lake) == {} and refresh_pending(lake) == set()
+    assert lake.table("landed_files").count() == 12
+
+
+def test_patterns_and_odd_names_keep_files_apart(spark, landing, lake):
+    for folder, hour in (("2024-01", "10"), ("2024-02", "11")):
+        os.mkdir(os.path.join(landing, folder))
+        for name in ("d.json", "odd [1]{x}.json"):
+            land(os.path.join(landing, folder), name, document(record("A", "CO", name[0], hour=hour)), 1000)
+    pattern = os.path.join(landing, "2024-*", "*.json")
+    load_batch(lake, pattern, refresh=False)
+    names = {r[0] for r in lake.table("raw_aqi").select("_stg_file_name").collect()}
+    assert names == {f"2024-0{m}/{n}" for m in (1, 2) for n in ("d.json", "odd [1]{x}.json")}
+    assert load_batch(lake, pattern, refresh=False) == set()
+    named = {r[0] for r in read_documents(spark, pattern).select("file_name").collect()}
+    assert named == names
+
+
+def test_stream_sees_files_rewritten_under_their_name(spark, tmp_path, landing, lake):
+    """Between two micro-batches, with an older time, and after a restart; each version once."""
+    checkpoint = str(tmp_path / "stream")
+    land(landing, "a.json", document(record("A", "CO", "1")), 2000)
+    query = start_ingest(lake, landing, checkpoint, every="1 second")
+    try:
+        query.processAllAvailable()
+        assert values_of(lake) == [("a.json", "1")]
+        land(landing, "a.json", document(record("A", "CO", "2")), 3000)
+        land(landing, "late.json", document(record("A", "CO", "9", hour="08")), 500)
+        query.processAllAvailable()
+        assert values_of(lake) == [("a.json", "2"), ("late.json", "9")]
+    finally:
+        query.stop()
+    land(landing, "a.json", document(record("A", "CO", "33")), 4000)
+    for _ in range(2):
+        start_ingest(lake, landing, checkpoint).awaitTermination(300)
+        assert values_of(lake) == [("a.json", "33"), ("late.json", "9")]
+    assert lake.table("raw_aqi").count() == lake.table("landed_files").count() == 4
+
+
 def test_questions_read_one_day_of_the_lake(spark, landing, lake):
     for name, content, mtime in many_files(4):
         land(landing, name, content, mtime)
