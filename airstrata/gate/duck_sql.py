@@ -338,6 +338,18 @@ select folder, count(distinct index_record_ts) as n_documents, count(*) as n_rec
 from readings, (values ('draft'), ('complete')) as folders(folder) group by folder
 union all
 select 'broken', count(*), null from nation""",
+    "q_lake_files": f"""
+with {READINGS},
+days as (
+  select cast(index_record_ts as date) as day, count(*) as n_complete,
+         count(distinct index_record_ts) as n_hours
+  from readings group by all)
+select day,
+       case when day(day) % 3 <> 0 and day(day) % 2 = 1 then 'renamed-' else 'day-' end || day || '.txt'
+         as _stg_file_name,
+       case when day(day) % 3 <> 0 and day(day) % 2 = 0 then n_complete else n_hours end as n_records,
+       case when day(day) % 3 = 0 then 3 else 2 end::bigint as n_versions
+from days""",
     "q_odd_documents": f"""
 with {DOCUMENTS},
 judged as (select *, event_id % 8 in (0, 1, 2, 3, 6) as spoiled from documents_)

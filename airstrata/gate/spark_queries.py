@@ -36,6 +36,7 @@ from airstrata.plans import consume, model
 from airstrata.schemas import (
     AUDIT_COLUMNS,
     COORDINATE,
+    DATE_PARTITION,
     GOLD_MEASURES,
     MEASURES,
     READING_KEYS,
@@ -432,12 +433,12 @@ def _landed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _loaded_lake(spark: SparkSession, sf_dir: str) -> Lake:
+def _loaded_lake(spark: SparkSession, sf_dir: str, refresh: bool = True) -> Lake:
     """A lake fed from files: drafts of all hours, refused texts, then every hour complete.
 
     The drafts hold one record with a foreign station and are replaced by the later files.
-    Each step is a load of its own with a refresh of the dates it touches; the last load finds
-    nothing new.
+    Each step is a load of its own, with a refresh of the dates it touches unless only bronze is
+    asked for; the last load finds nothing new.
     """
     root = f"{ensure_checkpoint_dir(spark)}/lake-{uuid.uuid4().hex}"
     landing, lake = f"{root}/landing", Lake(spark, f"{root}/tables")
@@ -450,10 +451,10 @@ def _loaded_lake(spark: SparkSession, sf_dir: str) -> Lake:
         F.concat(F.lit('{"total": '), F.col("n_nationkey").cast("string"))
     )
     broken.write.text(f"{landing}/broken")
-    load_batch(lake, landing, recursive=True, line_delimited=True)
+    load_batch(lake, landing, recursive=True, line_delimited=True, refresh=refresh)
     complete.select("value").write.text(f"{landing}/complete")
-    load_batch(lake, landing, recursive=True, line_delimited=True)
-    if load_batch(lake, landing, recursive=True, line_delimited=True):
+    load_batch(lake, landing, recursive=True, line_delimited=True, refresh=refresh)
+    if load_batch(lake, landing, recursive=True, line_delimited=True, refresh=refresh):
         raise AssertionError("files were loaded twice")
     return lake
 
@@ -465,7 +466,7 @@ def q_lake_city_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_lake_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted and refused documents of the lake by folder."""
-    lake = _loaded_lake(spark, sf_dir)
+    lake = _loaded_lake(spark, sf_dir, refresh=False)
     folder = F.substring_index("_stg_file_name", "/", 1).alias("folder")
     accepted = lake.table("raw_aqi").groupBy(folder).agg(
         F.count(F.lit(1)).alias("n_documents"), F.sum("record_count").alias("n_records")
@@ -476,6 +477,60 @@ def q_lake_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted.unionByName(refused)
 
 
+def _place_days(spark: SparkSession, days: DataFrame, folder: str, prefix: str) -> None:
+    """Write ``(day, value)`` as one file a day, named by the day, over what bears that name."""
+    jvm = spark.sparkContext._jvm
+    staged = f"{folder}-{uuid.uuid4().hex}"
+    days.repartition("day").write.partitionBy("day").text(staged)
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(folder))
+    for found in files.globStatus(path(f"{staged}/day=*/part-*")):
+        day = found.getPath().getParent().getName().removeprefix("day=")
+        target = path(f"{folder}/{prefix}-{day}.txt")
+        files.delete(target, False)
+        files.rename(found.getPath(), target)
+
+
+def q_lake_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which version of each day's file counts, and how many were loaded, known ones unopened.
+
+    Every day comes as a draft with one record an hour. Then a third of the days (by number)
+    are replaced under their name by complete files and get their draft put back; of the
+    others, the even ones are replaced and the odd ones renamed. Each step is a load.
+    """
+    root = f"{ensure_checkpoint_dir(spark)}/lake-{uuid.uuid4().hex}"
+    landing, lake = f"{root}/landing", Lake(spark, f"{root}/tables")
+    lake.create("landed_documents", "landed_files", "loads")
+    hours = stored(_landed_hours(spark, sf_dir), "hours")
+    day = F.to_date("index_record_ts")
+    complete = hours.select(day.alias("day"), "value")
+    draft = complete.withColumn("value", F.regexp_replace("value", r"\},\{.*", "}]}"))
+    third, even = F.dayofmonth("day") % 3 == 0, F.dayofmonth("day") % 2 == 0
+
+    def load() -> None:
+        load_batch(lake, landing, line_delimited=True, refresh=False)
+
+    _place_days(spark, draft, landing, "day")
+    load()
+    _place_days(spark, complete.filter(third | even), landing, "day")
+    renamed = draft.filter(~third & ~even)
+    _place_days(spark, renamed, landing, "renamed")
+    load()
+    _place_days(spark, draft.filter(third), landing, "day")
+    load()
+    if load_batch(lake, landing, line_delimited=True, refresh=False):
+        raise AssertionError("files were loaded twice")
+    long = model.silver_long(lake.raw(), carry=[DATE_PARTITION])
+    counted = long.groupBy(F.col(DATE_PARTITION).alias("day"), "_stg_file_name").agg(
+        F.count(F.lit(1)).alias("n_records")
+    )
+    versions = lake.table("landed_files").groupBy(
+        F.to_date(F.regexp_extract("_stg_file_name", r"-(.*)\.txt", 1)).alias("day")
+    ).agg(F.count(F.lit(1)).alias("n_versions"))
+    return counted.join(versions, "day").select("day", "_stg_file_name", "n_records", "n_versions")
+
+
 def q_odd_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents spoiled in several ways; one rule accepts or refuses them at every size."""
     text = F.col("value")

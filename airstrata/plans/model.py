@@ -22,14 +22,18 @@ from airstrata.operators.sizing import BROADCAST_LIMIT
 from airstrata.schemas import (
     AUDIT_COLUMNS,
     COORDINATE,
+    COUNTS,
     GOLD_MEASURES,
     LOCATION_COLUMNS,
     MEASURES,
     POLLUTANTS,
     READING_KEYS,
     RECORD_FIELDS,
+    SUMS,
 )
 
+PLACE = ("country", "state", "city")
+PARTS = ("n_rows", *SUMS, *COUNTS)
 PIVOT = {p.code: p.column for p in POLLUTANTS}
 
 
@@ -213,6 +217,50 @@ def city_hour(
     return means.select("*", *index_columns())
 
 
+def location_hour(wide: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Sums and counts of the readings of each coordinate and hour, from which means are merged.
+
+    Readings are whole numbers, so their sums are exact and can be subtracted again.
+    """
+    keyed = wide.withColumns(
+        {"location_fk": surrogate_key("latitude", "longitude"), "measurement_time": F.col("index_record_ts")}
+    )
+    return keyed.groupBy("location_fk", "measurement_time", *carry).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.coalesce(F.sum(m), F.lit(0.0)).alias(s) for m, s in zip(GOLD_MEASURES, SUMS)],
+        *[F.count(m).alias(n) for m, n in zip(GOLD_MEASURES, COUNTS)],
+    )
+
+
+def city_parts(parts: DataFrame, locations: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The partial means of coordinates as those of their cities, not yet merged.
+
+    A city counts a coordinate once for each of its stations there. Parts are one row for a
+    coordinate and hour, so what a shared coordinate gives is bounded by the cities' hours.
+    """
+    places = locations.groupBy("location_pk", *PLACE).agg(F.count(F.lit(1)).alias("_stations"))
+    placed = parts.join(places, F.col("location_fk") == F.col("location_pk"))
+    return placed.select(
+        "measurement_time", *PLACE, *[(F.col(c) * F.col("_stations")).alias(c) for c in PARTS], *carry
+    )
+
+
+def merge_parts(parts: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Partial means of each city and hour; a city without rows at an hour has none."""
+    merged = parts.groupBy("measurement_time", *PLACE, *carry).agg(*[F.sum(c).alias(c) for c in PARTS])
+    return merged.filter("n_rows > 0")
+
+
+def city_means(sums: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``city_hour`` from merged partial means."""
+    means = sums.select(
+        "measurement_time", *PLACE,
+        *[F.try_divide(s, n).alias(m) for m, s, n in zip(GOLD_MEASURES, SUMS, COUNTS)],
+        *carry,
+    )
+    return means.select("measurement_time", *PLACE, *GOLD_MEASURES, *index_columns(), *carry)
+
+
 def city_day(hours: DataFrame) -> DataFrame:
     """Rounded mean of the hourly means of a city for each day, with the index of the means."""
     day = F.to_date("measurement_time").alias("measurement_date")

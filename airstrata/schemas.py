@@ -138,6 +138,21 @@ DIM_LOCATION = _struct(
     ("location_pk", T.LongType()), *_COORDINATES, *_strings("country", "state", "city", "station")
 )
 
+# On how many days a station is on record.
+LOCATION_COUNTS = T.StructType([*DIM_LOCATION.fields, T.StructField("n_days", T.LongType())])
+
+# Mergeable means: rows, and for each measure the sum and the number of its values.
+SUMS = tuple(f"sum_{m}" for m in GOLD_MEASURES)
+COUNTS = tuple(f"n_{m}" for m in GOLD_MEASURES)
+_PARTIAL = [("n_rows", T.LongType()), *_doubles(SUMS), *[(n, T.LongType()) for n in COUNTS]]
+
+LOCATION_HOUR = _struct(
+    ("location_fk", T.LongType()), ("measurement_time", T.TimestampNTZType()), *_PARTIAL
+)
+CITY_HOUR_SUMS = _struct(
+    ("measurement_time", T.TimestampNTZType()), *_strings("country", "state", "city"), *_PARTIAL
+)
+
 FACT = _struct(
     ("aqi_pk", T.LongType()),
     ("date_fk", T.LongType()),

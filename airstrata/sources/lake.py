@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from airstrata import schemas
 from airstrata.schemas import DATE_PARTITION
 
+# Small jobs that run side by side.
+AT_ONCE = 4
+
 LAYERS = ("bronze", "silver", "gold", "consumption")
 
 
@@ -28,8 +32,9 @@ class Table:
     partitions: tuple[str, ...] = (DATE_PARTITION,)
 
 
-# Fixed table names of the model, except for the first three and location_by_day. ``loads`` holds
-# the newest load and those no refresh has covered, so it stays small however long the history.
+# Fixed table names of the model, except for the first three and those that make refreshes cheap:
+# location_by_day, location_counts, location_hour and city_hour_sums. ``loads`` holds the newest
+# load and those no refresh has covered, so it stays small however long the history.
 TABLES = {
     "landed_documents": Table("bronze", schemas.LANDED, (DATE_PARTITION, "load_label")),
     "landed_files": Table("bronze", schemas.LANDED_FILES, ()),
@@ -38,8 +43,11 @@ TABLES = {
     "curated_flatten_aqi_dt": Table("silver", schemas.WIDE),
     "dim_date": Table("gold", schemas.DIM_DATE),
     "location_by_day": Table("gold", schemas.DIM_LOCATION),
+    "location_counts": Table("gold", schemas.LOCATION_COUNTS, ()),
     "dim_location": Table("gold", schemas.DIM_LOCATION, ()),
     "fact_air_quality": Table("gold", schemas.FACT),
+    "location_hour": Table("gold", schemas.LOCATION_HOUR),
+    "city_hour_sums": Table("gold", schemas.CITY_HOUR_SUMS),
     "fact_city_agg_hour_level": Table("gold", schemas.CITY_HOUR),
     "fact_city_agg_day_level": Table("gold", schemas.CITY_DAY),
 }
@@ -72,10 +80,13 @@ class Lake:
 
     def create(self, *names: str) -> None:
         """Create the named tables empty (all by default), replacing what is there."""
-        for name in names or TABLES:
-            self.overwrite(name, self.spark.createDataFrame([], self._stored_schema(name)))
+        in_parallel(
+            self.spark,
+            lambda name: self.overwrite(name, self.spark.createDataFrame([], self.stored_schema(name))),
+            names or TABLES,
+        )
 
-    def _stored_schema(self, name: str) -> T.StructType:
+    def stored_schema(self, name: str) -> T.StructType:
         table = TABLES[name]
         extra = [T.StructField(p, _partition_type(p)) for p in table.partitions]
         return T.StructType(table.schema.fields + extra)
@@ -85,19 +96,15 @@ class Lake:
 
         With dates only their folders are listed, so the cost does not grow with the history.
         """
-        reader = self.spark.read.schema(self._stored_schema(name))
+        reader = self.spark.read.schema(self.stored_schema(name))
         path = self.path(name)
         if dates is None:
             return reader.parquet(path)
         folders = ",".join(sorted({NO_DATE if d is None else str(d) for d in dates}))
-        try:
-            return reader.option("basePath", path).parquet(
-                f"{path}/{DATE_PARTITION}={{{folders}}}"
-            )
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], self._stored_schema(name))
+        pattern = f"{path}/{DATE_PARTITION}={{{folders}}}"
+        if not self._matches(pattern):
+            return self.spark.createDataFrame([], self.stored_schema(name))
+        return reader.option("basePath", path).parquet(pattern)
 
     def raw(self, dates: Iterable[dt.date] | None = None) -> DataFrame:
         """``raw_aqi`` with its partition columns and the records of each document."""
@@ -144,13 +151,27 @@ class Lake:
         empty = self.spark.createDataFrame([], TABLES[name].schema)
         empty.write.mode("overwrite").parquet(f"{self.path(name)}/{DATE_PARTITION}={date}")
 
+    def _folder(self, path: str) -> tuple:
+        context = self.spark.sparkContext
+        named = context._jvm.org.apache.hadoop.fs.Path(path)
+        return named.getFileSystem(context._jsc.hadoopConfiguration()), named
+
+    def _matches(self, pattern: str) -> bool:
+        files, named = self._folder(pattern)
+        return len(files.globStatus(named) or []) > 0
+
+    def exists(self, path: str) -> bool:
+        files, named = self._folder(path)
+        return files.exists(named)
+
+    def delete(self, path: str) -> None:
+        files, named = self._folder(path)
+        files.delete(named, True)
+
     def drop_loads(self, numbers: Iterable[int]) -> None:
         """Delete the steps of loads from ``loads``."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for number in numbers:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.path('loads')}/load_number={number}")
-            path.getFileSystem(conf).delete(path, True)
+            self.delete(f"{self.path('loads')}/load_number={number}")
 
     def register(self) -> None:
         """Expose layers as schemas and tables as external tables to SQL users."""
@@ -159,7 +180,7 @@ class Lake:
         for name, table in TABLES.items():
             full = f"{table.layer}.{name}"
             columns = ", ".join(
-                f"`{f.name}` {f.dataType.simpleString()}" for f in self._stored_schema(name)
+                f"`{f.name}` {f.dataType.simpleString()}" for f in self.stored_schema(name)
             )
             partitioned = f"PARTITIONED BY ({', '.join(table.partitions)})"
             self.spark.sql(f"DROP TABLE IF EXISTS {full}")
@@ -179,6 +200,13 @@ class Lake:
             )
 
 
+def in_parallel(spark: SparkSession, job: Callable[[str], None], names: Iterable[str]) -> None:
+    """Run a job for each name at once; each is small, and most of its time is not in tasks."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        for _ in pool.map(inheritable_thread_target(spark)(job), names):
+            pass
+
+
 def spread_by_date(df: DataFrame) -> DataFrame:
     """Even write tasks: AQE merges small dates into one task and splits a large one.
 

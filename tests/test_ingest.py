@@ -612,3 +612,58 @@ def test_tables_for_sql_users(spark, landing, lake):
     )
     assert top.count() == 1
     assert spark.sql("show schemas like 'consumption'").count() == 1
+
+
+def test_refresh_of_a_day_reads_no_other(spark, landing, lake, monkeypatch):
+    """Unless a coordinate's stations change; then means move and no fact is read for it."""
+    from airstrata.streaming import refresh
+
+    for name, content, mtime in many_files(6):
+        if not name.startswith("d3"):
+            land(landing, name, content, mtime)
+    load_batch(lake, landing)
+    asked, found = [], []
+    read, keys = Lake.read, refresh._moved_keys
+
+    def listened(self, name, dates=None):
+        asked.append((name, dates))
+        return read(self, name, dates)
+
+    monkeypatch.setattr(Lake, "read", listened)
+    monkeypatch.setattr(refresh, "_moved_keys", lambda counts: found.append(keys(counts)) or found[-1])
+    days = [dt.date(2024, 3, day) for day in (1, 2, 3)]
+    refresh_dates(lake, days[1:2])
+    assert found == [None]
+    assert {name for name, dates in asked if dates is None} == {"location_counts"}
+    assert all(set(dates) == {days[1]} for _, dates in asked if dates is not None)
+
+    for name, content, mtime in many_files(6):
+        if name.startswith("d3"):
+            land(landing, name, content, mtime)
+    load_batch(lake, landing, refresh=False)
+    asked.clear()
+    refresh_dates(lake, days[2:])
+    assert found[1] is not None
+    reached = {name for name, dates in asked if dates is not None and days[0] in dates}
+    assert reached == {"location_hour", "city_hour_sums", "fact_city_agg_hour_level"}
+    moved = {name: snapshot(lake, name) for name in DERIVED}
+    refresh_all(lake)
+    assert moved == {name: snapshot(lake, name) for name in DERIVED}
+
+
+def test_merged_means_equal_the_star_join(spark, landing, lake):
+    """Also where stations share coordinates across cities."""
+    from airstrata.plans import model
+
+    stations = [("A", "1", "Chennai"), ("B", "1", "Chennai"), ("C", "1", "Salem"), ("D", "2", "Salem")]
+    for hour in ("09", "10"):
+        records = [
+            record(n, code, str(i * 7 % 11), hour, lat=lat, city=city)
+            for i, (n, lat, city) in enumerate(stations * 2)
+            for code in FULL[: 3 + i % 5]
+        ]
+        land(landing, f"{hour}.json", document(*records), 1000)
+    load_batch(lake, landing)
+    star = model.city_hour(*[lake.table(n) for n in ("fact_air_quality", "dim_date", "dim_location")])
+    merged = lake.table("fact_city_agg_hour_level")
+    assert sorted(map(repr, star.select(merged.columns).collect())) == sorted(map(repr, merged.collect()))
