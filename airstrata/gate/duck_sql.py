@@ -102,6 +102,17 @@ SHARED_HOURS = READINGS + _SPREAD + HOURS.removeprefix(READINGS).replace(
     "from readings", "from spread"
 )
 
+# Readings with the stations of even number on one coordinate.
+_HOT = """,
+hot as (
+  select index_record_ts, country, state, city, station,
+         case when latitude % 2 = 0 then cast(0 as decimal(12,7)) else latitude end as latitude,
+         case when latitude % 2 = 0 then cast(0 as decimal(12,7)) else longitude end as longitude,
+         pollutant_id, pollutant_avg
+  from readings
+)"""
+HOT_HOURS = READINGS + _HOT + HOURS.removeprefix(READINGS).replace("from readings", "from hot")
+
 DAYS = HOURS + f""",
 day_means as (
   select cast(measurement_time as date) as measurement_date, country, state, city,
@@ -246,6 +257,11 @@ with dim as (select distinct n_regionkey as location_pk, n_name from nation)
 select location_pk, count(*) as occurrences from dim group by 1 having count(*) > 1""",
     "q_city_hour": f"with {HOURS} select * from hours",
     "q_city_hour_shared": f"with {SHARED_HOURS} select * from hours",
+    "q_city_hour_hot": f"with {HOT_HOURS} select * from hours",
+    "q_star_join_hot": f"""
+with {HOT_HOURS}
+select d.measurement_time, f.station as fact_station, l.country, l.state, l.city, l.station,
+       {_MEASURES} {_FROM_STAR}""",
     "q_city_hour_head": f"""
 with {HOURS}
 select * from hours order by country, state, city, measurement_time limit 100""",

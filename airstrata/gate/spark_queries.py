@@ -25,6 +25,7 @@ from airstrata.functions import (
 from airstrata.gate.fixtures import documents, last_update, readings, table
 from airstrata.operators import (
     flatten_records,
+    heavy_keys,
     key_uniqueness,
     latest_per_key,
     member_dates,
@@ -265,6 +266,35 @@ def q_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _hot_chain(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fact and dimensions where one coordinate has five of the ten stations, on two cities."""
+    hot = F.col("latitude") % 2 == 0
+    spread = readings(spark, sf_dir).withColumns(
+        {c: F.when(hot, F.lit(0).cast(COORDINATE)).otherwise(F.col(c)) for c in ("latitude", "longitude")}
+    )
+    wide = model.wide_clean(spread)
+    locations = model.dim_location(model.spaced_states(spread))
+    return model.fact_air_quality(wide, carry=["station"]), model.dim_date(spread), locations
+
+
+def q_star_join_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Star join by shuffles with half of all facts on one coordinate, dealt into pieces."""
+    fact, dates, locations = _hot_chain(spark, sf_dir)
+    fact = stored(fact.withColumnRenamed("station", "fact_station"), "fact")
+    heavy = heavy_keys(fact, "location_fk")
+    joined = star_join(fact, dates.hint("merge"), locations.hint("merge"), heavy)
+    return joined.select(
+        "measurement_time", "fact_station", "country", "state", "city", "station", *GOLD_MEASURES
+    )
+
+
+def q_city_hour_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City means with half of all facts on one coordinate."""
+    fact, dates, locations = _hot_chain(spark, sf_dir)
+    fact = stored(fact.drop("station"), "fact")
+    return model.city_hour(fact, dates, locations, heavy=heavy_keys(fact, "location_fk"))
+
+
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dimension whose key repeats: nations keyed by their region."""
     nation = table(spark, sf_dir, "nation")

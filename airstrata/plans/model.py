@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from airstrata.functions import aqi_value, clean_numeric, prominent_index, surrogate_key
 from airstrata.functions.text import strict_cast
 from airstrata.operators import (
+    HeavyKeys,
     keep_latest_rows,
     pivot_long_to_wide,
     rollup_avg,
@@ -163,6 +164,7 @@ def city_hour(
     dates: DataFrame,
     locations: DataFrame,
     keys: Sequence[str] = ("measurement_time", "country", "state", "city"),
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Mean of the stations of a city for each hour, with the index of the means.
 
@@ -170,7 +172,8 @@ def city_hour(
     location key. Joining all of them would emit every pair of a fact and a station on a shared
     coordinate. Here each fact meets one row per key: the city and its station count if all
     stations of the key lie in one city, else the key itself. Sums of shared keys are given to
-    their cities, weighted by station counts, only after they have been aggregated.
+    their cities, weighted by station counts, only after they have been aggregated. ``heavy``
+    names coordinates with a large part of the facts, as for ``star_join``.
     """
     place = [k for k in keys if k != "measurement_time"]
     cities = locations.groupBy("location_pk", *place).agg(F.count(F.lit(1)).alias("_stations"))
@@ -195,7 +198,7 @@ def city_hour(
         *GOLD_MEASURES,
         *[F.col(m).isNotNull().cast("long").alias(f"_n_{m}") for m in GOLD_MEASURES],
     )
-    joined = star_join(counted, dates.select("date_pk", "measurement_time"), labels)
+    joined = star_join(counted, dates.select("date_pk", "measurement_time"), labels, heavy)
     parts = totals(joined, "measurement_time", "_shared", *place)
 
     sharing = cities.select(

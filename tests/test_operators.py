@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from airstrata.functions import surrogate_key
 from airstrata.operators import (
+    heavy_keys,
+    spread_join,
     broadcast_if_small,
     flatten_records,
     keep_latest_rows,
@@ -306,3 +308,54 @@ def test_working_folder_comes_from_the_session(spark):
     copy = stored(spark.range(3).toDF("n"), "numbers")
     assert copy.inputFiles()[0].startswith(("file:" + configured, configured, "file://" + configured))
     assert build_session() is spark
+
+
+def test_heavy_keys_are_those_above_an_even_share(spark):
+    rows = spark.range(10_000).selectExpr("if(id % 2 = 0, 7L, if(id % 5 = 0, 9L, id)) as k", "id as v")
+    heavy = heavy_keys(rows.unionByName(spark.range(500).selectExpr("cast(null as long) as k", "id as v")), "k", 8)
+    assert heavy.pieces == {7: 5}
+    assert heavy_keys(rows, "k", 16).pieces == {7: 9, 9: 2}
+    assert heavy_keys(rows.filter("k < 0"), "k").pieces == {}
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_spread_join_equals_join(spark, how):
+    left = spark.range(2000).selectExpr("if(id % 2 = 0, 7L, if(id % 11 = 0, null, id % 50)) as k", "id as v")
+    right = spark.createDataFrame([(7, "a"), (7, "b"), (3, "c"), (60, "d"), (None, "e")], "j long, w string")
+    heavy = heavy_keys(left, "k", 8)
+    spread = spread_join(left, right, "k", "j", heavy, how, also=F.col("w") != "b" if how == "inner" else None)
+    plain = left.join(right, (F.col("k") == F.col("j")) & ((F.col("w") != "b") if how == "inner" else F.lit(True)), how)
+    assert spread.columns == plain.columns
+    assert sorted(map(repr, spread.collect())) == sorted(map(repr, plain.collect()))
+    with pytest.raises(ValueError):
+        spread_join(left, right, "k", "j", heavy, "full")
+
+
+def test_half_of_all_facts_on_one_coordinate_are_spread(spark):
+    """With shuffles only, no task of the star join holds more than a few times the median."""
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        fact = spark.range(64_000).selectExpr(
+            "id % 24 as date_fk", "if(id % 2 = 0, 7L, xxhash64(id % 1000)) as location_fk", "id as v"
+        )
+        dates = spark.range(24).selectExpr("id as date_pk")
+        places = fact.select(F.col("location_fk").alias("location_pk")).distinct()
+
+        def sizes(heavy):
+            joined = star_join(fact, dates, places, heavy)
+            counts = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            return sorted(r["count"] for r in counts)
+
+        plain, spread = sizes(None), sizes(heavy_keys(fact, "location_fk"))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(plain) == sum(spread) == 64_000
+    assert plain[-1] > 32_000 and spread[-1] < 4 * spread[len(spread) // 2]
