@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airstrata.llm.common import text_bytes
+from airstrata.llm.common import others, text_bytes
 from airstrata.session import stored
 
 # Words that exchange clustering sorts into classes, and their classes. All other words are
@@ -294,11 +294,15 @@ def _scored(incoming: Iterator[pa.RecordBatch], scorer) -> Iterator[pa.RecordBat
         yield frame(numbers, own, np.zeros(len(own), np.int64), zip(*sums), kept)
 
 
+SCORES = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def score_documents(docs: DataFrame, training: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``docs``' rows with the log10 probability of their text under a class bigram model.
 
     Both tables have ``text``; NULL counts as empty. Tokens are ``words_of`` and one end.
-    Columns: those of ``docs`` but ``text``, ``n_tokens``, ``n_known`` (tokens seen in training),
+    Columns: those of ``docs`` but ``text`` and such that bear a name of the following,
+    ``n_tokens``, ``n_known`` (tokens seen in training),
     ``train_tokens``, ``base_score`` (unigrams with 0.1 added to every count) and ``score``: the
     sum over tokens of a class's probability after the class before it, and of the token's
     share of its class. Transitions are smoothed by the classes' own shares; the class of words
@@ -321,7 +325,8 @@ def score_documents(docs: DataFrame, training: DataFrame, rounds: int = ROUNDS)
     classes = exchange_classes(pairs, len(numbers), rounds)
     scorer = Scorer(head, classes, class_matrix(pairs, classes), tokens, types)
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
-    kept = {f"kept{i}": docs.schema[c] for i, c in enumerate(c for c in docs.columns if c != "text")}
+    stay = others(docs.columns, "text", *SCORES)
+    kept = {f"kept{i}": docs.schema[c] for i, c in enumerate(stay)}
     # A row's number only ties together what one job makes of it.
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),

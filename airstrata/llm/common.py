@@ -26,6 +26,24 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+def unused(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, with underscores appended to those that a column bears, in any case."""
+    taken = {c.lower() for c in columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def others(columns: Iterable[str], *names: str) -> list[str]:
+    """The columns that bear none of the names, in any case."""
+    gone = {name.lower() for name in names}
+    return [c for c in columns if c.lower() not in gone]
+
+
 def id_remainder(name: str, divisor: int) -> Column:
     """crc32 of an id's text, modulo ``divisor``; NULL for a NULL id."""
     return F.crc32(F.col(name).cast("string").cast("binary")) % divisor

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airstrata.llm.common import text_bytes
+from airstrata.llm.common import others, text_bytes, unused
 
 PROFILE_SIZE = 300
 UNDETERMINED = "und"
@@ -145,16 +145,23 @@ def predict(profiles: dict[str, list[int]], text: Column, size: int = PROFILE_SI
     return of(text)
 
 
-def identify(docs: DataFrame, examples: DataFrame, size: int = PROFILE_SIZE) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; only ``text`` decides.
+def identify(
+    docs: DataFrame,
+    examples: DataFrame,
+    size: int = PROFILE_SIZE,
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """``docs`` with the language and its score, called ``names``; only ``text`` decides.
 
     Profiles are learned from all of ``examples`` (``text``, ``lang``). A text that is NULL or
     has no letter is ``und`` with score 0, as is every text if nothing was learned. Repeated
-    rows fare alike, an empty table gives no rows; other columns stay as they are.
+    rows fare alike, an empty table gives no rows; other columns stay as they are, whatever
+    their names, but for columns called ``names``, which the new ones replace.
     """
     found = predict(learn_profiles(examples, size), text_bytes(), size)
-    return docs.withColumn("_language", found).select(
-        *[docs[c] for c in docs.columns],
-        F.col("_language.lang").alias("lang_pred"),
-        F.col("_language.score").alias("score"),
+    (language,) = unused([*docs.columns, *names], "language")
+    return docs.withColumn(language, found).select(
+        *others(docs.columns, *names),
+        F.col(f"{language}.lang").alias(names[0]),
+        F.col(f"{language}.score").alias(names[1]),
     )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airstrata.llm.common import BLANKS, lower_ascii
+from airstrata.llm.common import BLANKS, lower_ascii, others, unused
 from airstrata.session import ensure_checkpoint_dir
 
 MIN_LENGTH = 20
@@ -79,15 +79,17 @@ def dedup_lines(
     min_documents: int = MIN_DOCUMENTS,
     batches: int = BATCHES,
     fanout: int = FANOUT,
+    names: tuple[str, str] = ("n_lines", "n_dropped"),
 ) -> DataFrame:
-    """``docs`` with ``text`` rid of shared lines, and ``n_lines``, ``n_dropped`` appended.
+    """``docs`` with ``text`` rid of shared lines, and the numbers of lines and of dropped ones.
 
     A line whose key (``line_key``) has at least ``min_length`` code points and stands in at
     least ``min_documents`` rows goes from all of them but those with the largest doc_id that
     holds it; where only rows without a doc_id hold it, it stays. Other lines stay, blank ones
     too, and are joined by ``\\n``. NULL text is one empty line and becomes an empty text.
     Repeated rows count each and fare alike. An empty table gives no rows. Further columns of
-    ``docs`` stay as they are.
+    ``docs`` stay as they are, whatever their names, but for columns called ``names``, as the
+    new ones are, which these replace.
 
     The narrow lines are dealt into batches, and each batch adds its sorted run (``LineRuns``).
     The runs are then merged with the lines; what is to go is gathered for each document and
@@ -112,26 +114,27 @@ def dedup_lines(
         runs.add(lines.filter(F.col("batch") == number))
     shared = runs.merged().filter(F.col("n_docs") >= min_documents).drop("n_docs")
     goes = F.col("last_doc").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("last_doc"))
+    id_name, gone_name, kept_name = unused([*docs.columns, *names], "dropped_id", "dropped", "kept")
     dropped = (
         lines.join(shared, HASH)
         .filter(goes)
-        .groupBy(F.col("doc_id").alias("_dropped_id"))
-        .agg(F.collect_set(F.struct(*HASH)).alias("_dropped"))
+        .groupBy(F.col("doc_id").alias(id_name))
+        .agg(F.collect_set(F.struct(*HASH)).alias(gone_name))
     )
-    joined = docs.join(dropped, docs["doc_id"].eqNullSafe(F.col("_dropped_id")), "left")
+    joined = docs.join(dropped, docs["doc_id"].eqNullSafe(F.col(id_name)), "left")
     rows = lines_of(F.col("text"))
 
     def stays(line: Column) -> Column:
         key = line_key(line)
-        gone = F.array_contains("_dropped", line_hash(key))
+        gone = F.array_contains(gone_name, line_hash(key))
         return (F.char_length(key) < min_length) | ~gone
 
-    kept = F.when(F.col("_dropped").isNull(), rows).otherwise(F.filter(rows, stays))
-    return joined.withColumn("_kept", kept).select(
+    kept = F.when(F.col(gone_name).isNull(), rows).otherwise(F.filter(rows, stays))
+    return joined.withColumn(kept_name, kept).select(
         *[
-            F.array_join("_kept", "\n").alias("text") if c == "text" else docs[c]
-            for c in docs.columns
+            F.array_join(kept_name, "\n").alias("text") if c == "text" else docs[c]
+            for c in others(docs.columns, *names)
         ],
-        F.size(rows).cast("long").alias("n_lines"),
-        (F.size(rows) - F.size("_kept")).cast("long").alias("n_dropped"),
+        F.size(rows).cast("long").alias(names[0]),
+        (F.size(rows) - F.size(kept_name)).cast("long").alias(names[1]),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airstrata.llm.common import unused
 from airstrata.session import stored
 
 SHARD_BYTES = 1 << 20
@@ -107,20 +108,22 @@ def _find_buckets(rows: DataFrame, directory: DataFrame, columns: list[str]) ->
 def write_shards(docs: DataFrame, path: str, shard_bytes: int = SHARD_BYTES) -> None:
     """Write ``docs`` below ``path``, one folder ``shard=b<bits>`` for each shard.
 
-    The texts are shuffled twice: to meet their shard, and to be written with it.
+    All columns are kept; if one of them is called ``shard``, the folders' name gets an
+    underscore. NULL texts and ids, empty and repeated rows are sharded as ``assign_shards``
+    says; an empty table writes no shard. The texts are shuffled twice: to meet their shard,
+    and to be written with it.
     """
     hashes = docs.select(row_hash().alias("hash"), _text_bytes().alias("n_bytes"))
     hashes = stored(hashes, "sized")
     directory = stored(build_directory(hashes, shard_bytes), "directory")
     found = _find_buckets(hashes.select("hash").distinct(), directory, ["hash"])
-    shard_of = found.select(
-        F.col("hash").alias("_shard_hash"), F.concat(F.lit("b"), "shard").alias("shard")
-    )
+    shard, hashed = unused(docs.columns, "shard", "hash")
+    shard_of = found.select(F.col("hash").alias(hashed), F.concat(F.lit("b"), "shard").alias(shard))
     (
-        docs.withColumn("_shard_hash", row_hash())
-        .join(shard_of, "_shard_hash")
-        .drop("_shard_hash")
-        .repartition("shard")
-        .write.partitionBy("shard")
+        docs.withColumn(hashed, row_hash())
+        .join(shard_of, hashed)
+        .drop(hashed)
+        .repartition(shard)
+        .write.partitionBy(shard)
         .parquet(path)
     )

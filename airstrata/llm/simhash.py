@@ -247,7 +247,8 @@ def keep_one(
 
     Where that doc_id repeats within the component, or all its ids are NULL, the row with the
     smallest hash of its columns stays. Ids that stand once are kept by a semi-join; only rows
-    whose id repeats or is NULL are fingerprinted again, to tell their components apart.
+    whose id repeats or is NULL are fingerprinted again, to tell their components apart. Other
+    columns stay as they are, whatever their names.
     """
     found = stored(near_duplicates(docs, shingle_words, radius), "components")
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
@@ -258,11 +259,12 @@ def keep_one(
     unclear = ids.filter(F.col("first") & ~single).select(F.col("doc_id").alias("_id"))
     groups = found.filter(first).select(F.col("doc_id").alias("_id"), "fp", "root").distinct()
     same_id = F.col("doc_id").eqNullSafe(F.col("_id"))
-    again = docs.join(unclear, same_id, "left_semi")
-    row = F.struct(*docs.columns)
-    rows = with_fingerprint(again, "_fp", shingle_words).select(
-        "doc_id", row.alias("_row"), "_fp", F.xxhash64(*docs.columns).alias("_hash")
+    # Rows are packed, so that no name of theirs meets one used here.
+    packed = docs.select(
+        "doc_id", "text", F.struct(*docs.columns).alias("_row"), F.xxhash64(*docs.columns).alias("_hash")
     )
+    again = packed.join(unclear, same_id, "left_semi")
+    rows = with_fingerprint(again, "_fp", shingle_words).select("doc_id", "_row", "_fp", "_hash")
     chosen = (
         rows.join(groups, same_id & (F.col("_fp") == F.col("fp")))
         .groupBy("root")

@@ -61,7 +61,8 @@ def judge_urls(
     ``rules`` has ``verdict``, ``host`` and ``path``. Of the rules that fit, the one with the
     longest host and path wins; of two equal rules ``block``; without one, ``rule`` is NULL and
     the verdict is ``default``. NULL URLs and such without ``://`` have an empty host and path,
-    which no rule fits; rules with a NULL or an empty host are left out.
+    which no rule fits; rules with a NULL verdict, host or path or an empty host are left out.
+    Other columns of either table play no part.
 
     Both sides are sorted by reversed host. A rule's host is an interval of that order; it is
     copied to the ranges it overlaps, and a sweep through a range keeps the stack of nested
@@ -78,7 +79,8 @@ def judge_urls(
         host_key(F.col("host")).alias("key"),
         F.xxhash64("page_id", "path").alias("salt"),
     )
-    known = rules.filter("host is not null and host != '' and path is not null").select(
+    whole = "verdict is not null and host is not null and host != '' and path is not null"
+    known = rules.filter(whole).select(
         "verdict", lower_ascii(F.col("host")).alias("host"), "path"
     )
     borders = _borders(urls, range_rows)
