@@ -7,7 +7,7 @@ from airstrata.functions.index import (
     qualified_max,
 )
 from airstrata.functions.keys import surrogate_key
-from airstrata.functions.sql import register_sql
+from airstrata.functions.sql import register_questions, register_sql
 from airstrata.functions.text import clean_numeric, parse_ts
 
 __all__ = [
@@ -19,6 +19,7 @@ __all__ = [
     "parse_ts",
     "prominent_index",
     "qualified_max",
+    "register_questions",
     "register_sql",
     "surrogate_key",
 ]

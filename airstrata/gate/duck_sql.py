@@ -354,6 +354,22 @@ select folder, count(distinct index_record_ts) as n_documents, count(*) as n_rec
 from readings, (values ('draft'), ('complete')) as folders(folder) group by folder
 union all
 select 'broken', count(*), null from nation""",
+    "q_sql_questions": f"""
+with {DAYS}
+(select 'top' as question, state, city, null::varchar as station, null::int as hour, pm25_avg, o3_avg, aqi
+ from days where measurement_date = (select max(measurement_date) from days)
+ order by aqi desc, state, city limit 3)
+union all
+select 'trend', state, city, null, hour(measurement_time)::int, pm25_avg, o3_avg, null from hours
+where state = 'R 0' and city = 'C2' and cast(measurement_time as date) = date '2024-01-10'
+union all
+select 'at', state, city, null, hour(measurement_time)::int, pm25_avg, o3_avg, aqi from hours
+where city = 'C2' and measurement_time = timestamp '2024-01-10 12:00:00'
+union all
+select 'station', l.state, l.city, l.station, hour(d.measurement_time)::int, f.pm25_avg, f.o3_avg, f.aqi
+{_FROM_STAR}
+where l.state = 'R 0' and l.city = 'C2' and l.station = 'S7'
+  and cast(d.measurement_time as date) = date '2024-01-10'""",
     "q_lake_files": f"""
 with {READINGS},
 days as (

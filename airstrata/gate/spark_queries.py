@@ -20,6 +20,7 @@ from airstrata.functions import (
     criteria,
     parse_ts,
     prominent_index,
+    register_questions,
     register_sql,
 )
 from airstrata.gate.fixtures import documents, last_update, readings, table
@@ -445,6 +446,41 @@ def q_any_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return some.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_foreign", foreign)
 
 
+def q_sql_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The questions as SQL table functions over tables partitioned by day, in one list."""
+    chain = Chain(spark, sf_dir)
+    hours = stored(chain.hours(), "hours")
+    root = f"{ensure_checkpoint_dir(spark)}/stored-questions-{uuid.uuid4().hex}"
+    carry = [F.to_date("index_record_ts").alias(DATE_PARTITION)]
+    tables = {
+        "hours": hours.withColumn(DATE_PARTITION, F.to_date("measurement_time")),
+        "days": model.city_day(hours).withColumn(DATE_PARTITION, F.col("measurement_date")),
+        "fact": model.fact_air_quality(chain.wide, carry=carry),
+        "dates": model.dim_date(chain.everything, carry=carry),
+    }
+    for name, df in tables.items():
+        df.write.partitionBy(DATE_PARTITION).parquet(f"{root}/{name}")
+        spark.read.schema(df.schema).parquet(f"{root}/{name}").createOrReplaceTempView(f"asked_{name}")
+    stored(chain.locations, "locations").createOrReplaceTempView("asked_locations")
+    register_questions(spark, **{name: f"asked_{name}" for name in (*tables, "locations")})
+    return spark.sql(
+        """
+        SELECT 'top' AS question, state, city, CAST(NULL AS STRING) AS station,
+               CAST(NULL AS INT) AS hour, pm25_avg, o3_avg, aqi
+        FROM top_cities_latest_day(3)
+        UNION ALL
+        SELECT 'trend', 'R 0', 'C2', NULL, hour, pm25_avg, o3_avg, NULL
+        FROM city_hourly_trend('R 0', 'C2', DATE'2024-01-10')
+        UNION ALL
+        SELECT 'at', state, city, NULL, hour(measurement_time), pm25_avg, o3_avg, aqi
+        FROM city_hour_at('C2', TIMESTAMP_NTZ'2024-01-10 12:00:00')
+        UNION ALL
+        SELECT 'station', state, city, station, hour, pm25_avg, o3_avg, aqi
+        FROM station_drilldown('R 0', 'C2', 'S7', DATE'2024-01-10')
+        """
+    )
+
+
 def _landed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The readings as documents, one for each hour with all its records."""
     columns = [f"cast({c} as string) as {c}" for c in ("latitude", "longitude")]

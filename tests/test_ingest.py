@@ -667,3 +667,34 @@ def test_merged_means_equal_the_star_join(spark, landing, lake):
     star = model.city_hour(*[lake.table(n) for n in ("fact_air_quality", "dim_date", "dim_location")])
     merged = lake.table("fact_city_agg_hour_level")
     assert sorted(map(repr, star.select(merged.columns).collect())) == sorted(map(repr, merged.collect()))
+
+
+def test_questions_for_sql_users_read_one_day(spark, landing, lake):
+    from airstrata.functions import register_questions
+
+    for name, content, mtime in many_files(4):
+        land(landing, name, content, mtime)
+    load_batch(lake, landing)
+    lake.register()
+    register_questions(spark)
+    day, at = "2024-03-02", "2024-03-02 10:00:00"
+    hours = lake.dated("fact_city_agg_hour_level")
+    tables = (lake.dated("fact_air_quality"), lake.dated("dim_date"), lake.table("dim_location"))
+    asked = {
+        f"city_hourly_trend('Tamil Nadu', 'Chennai', DATE'{day}')":
+            consume.city_hourly_trend(hours, "Tamil Nadu", "Chennai", day),
+        f"city_hour_at('Chennai', TIMESTAMP_NTZ'{at}')": consume.city_hour_lookup(hours, "Chennai", at),
+        f"station_drilldown('Tamil Nadu', 'Chennai', 'A', DATE'{day}')":
+            consume.station_drilldown(*tables, "Tamil Nadu", "Chennai", "A", day),
+    }
+    for call, expected in asked.items():
+        found = spark.sql(f"SELECT * FROM {call}")
+        assert sorted(found.columns) == sorted(expected.columns) and expected.count() > 0
+        same = expected.select(found.columns).collect()
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, same))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.splitlines() if "FileScan" in line and DATE_PARTITION in line]
+        assert scans and all(day in line.split("PartitionFilters")[1] for line in scans), plan
+    top = spark.sql("SELECT * FROM top_cities_latest_day(1)")
+    expected = consume.top_cities_latest_day(lake.dated("fact_city_agg_day_level"), 1)
+    assert top.columns == expected.columns and top.collect() == expected.collect()
