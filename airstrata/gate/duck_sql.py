@@ -380,7 +380,9 @@ select day,
        case when day(day) % 3 <> 0 and day(day) % 2 = 1 then 'renamed-' else 'day-' end || day || '.txt'
          as _stg_file_name,
        case when day(day) % 3 <> 0 and day(day) % 2 = 0 then n_complete else n_hours end as n_records,
-       case when day(day) % 3 = 0 then 3 else 2 end::bigint as n_versions
+       case when day(day) % 3 = 0 then 3 else 2 end::bigint as n_versions,
+       case when n_complete > n_hours and (day(day) % 3 = 0 or day(day) % 2 = 0) then 2 else 1 end::bigint
+         as n_checksums
 from days""",
     "q_odd_documents": f"""
 with {DOCUMENTS},

@@ -563,7 +563,8 @@ def q_lake_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every day comes as a draft with one record an hour. Then a third of the days (by number)
     are replaced under their name by complete files and get their draft put back; of the
-    others, the even ones are replaced and the odd ones renamed. Each step is a load.
+    others, the even ones are replaced and the odd ones renamed. Each step is a load. All lines of
+    a file bear its checksum, so a day has one for each content its files had.
     """
     root = f"{ensure_checkpoint_dir(spark)}/lake-{uuid.uuid4().hex}"
     landing, lake = f"{root}/landing", Lake(spark, f"{root}/tables")
@@ -594,7 +595,12 @@ def q_lake_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = lake.table("landed_files").groupBy(
         F.to_date(F.regexp_extract("_stg_file_name", r"-(.*)\.txt", 1)).alias("day")
     ).agg(F.count(F.lit(1)).alias("n_versions"))
-    return counted.join(versions, "day").select("day", "_stg_file_name", "n_records", "n_versions")
+    checksums = lake.raw().groupBy(F.col(DATE_PARTITION).alias("day")).agg(
+        F.count_distinct("_stg_file_md5").alias("n_checksums")
+    )
+    return counted.join(versions, "day").join(checksums, "day").select(
+        "day", "_stg_file_name", "n_records", "n_versions", "n_checksums"
+    )
 
 
 def q_odd_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

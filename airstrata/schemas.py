@@ -96,6 +96,7 @@ LANDED = T.StructType(
     [T.StructField(f.name, f.dataType) for f in RAW]
     + [
         T.StructField("records", RECORDS),
+        T.StructField("document_md5", T.StringType()),
         T.StructField("value", T.StringType()),
         T.StructField("reject_reason", T.StringType()),
     ]

@@ -1,15 +1,19 @@
 from airstrata.sources.documents import (
+    file_checksums,
     file_inventory,
     parse_documents,
     read_documents,
+    with_file_checksums,
     with_row_ids,
 )
 from airstrata.sources.lake import Lake
 
 __all__ = [
     "Lake",
+    "file_checksums",
     "file_inventory",
     "parse_documents",
     "read_documents",
+    "with_file_checksums",
     "with_row_ids",
 ]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airstrata.functions.text import parse_ts
+from airstrata.operators.sizing import broadcast_if_small
 from airstrata.schemas import AUDIT_COLUMNS, RECORDS
 
 # Characters that make a path a pattern.
@@ -109,6 +110,29 @@ def read_documents(
     )
 
 
+def file_checksums(documents: DataFrame) -> DataFrame:
+    """``(file_name, file_md5)``: one checksum for each file of ``documents`` by line.
+
+    It is an MD5 over the number of lines and four sums of parts of their MD5s. Sums merge over
+    the splits of a file, in tasks and between them, so a file of any size is read by many
+    tasks. The value changes with any line, also with how often it stands there, but not with the
+    order of the lines, which are documents of their own.
+    """
+    digest = F.md5("value")
+    parts = [
+        F.sum(F.conv(F.substring(digest, at, 8), 16, 10).cast("long")).cast("string")
+        for at in (1, 9, 17, 25)
+    ]
+    merged = F.concat_ws(",", F.count(F.lit(1)).cast("string"), *parts)
+    return documents.groupBy("file_name").agg(F.md5(merged).alias("file_md5"))
+
+
+def with_file_checksums(documents: DataFrame) -> DataFrame:
+    """Documents by line with the checksum of their file, for which the files are read twice."""
+    sums = broadcast_if_small(file_checksums(documents))
+    return documents.join(sums, "file_name")
+
+
 def _zoneless(time: Column, dtype: T.DataType) -> Column:
     """An instant as its UTC wall clock; zone-less times stay."""
     if isinstance(dtype, T.TimestampNTZType):
@@ -119,12 +143,15 @@ def _zoneless(time: Column, dtype: T.DataType) -> Column:
 
 
 def parse_documents(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Bronze columns of each document, plus ``records``, ``value``, ``reject_reason`` and ``carry``.
+    """Bronze columns of each document, plus ``records``, ``document_md5``, ``value``,
+    ``reject_reason`` and ``carry``.
 
     A text is accepted if it is exactly one object in strict JSON, whatever its size: text
     before or after it, single quotes or a missing end refuse it. Of a repeated key the last
     value counts. Every document takes the time of its first record; ``reject_reason`` is NULL
     for rows that satisfy the bronze constraints; a missing ``total`` takes the default 0.
+    ``_stg_file_md5`` is the ``file_md5`` that documents by line bring along
+    (``with_file_checksums``); else a document is its file, and has its checksum.
     ``json_data`` decides nothing; it is NULL where a variant can't hold the document.
 
     The values come out of a generator, which the optimizer does not copy into the filters and
@@ -151,7 +178,10 @@ def parse_documents(documents: DataFrame, carry: Sequence[str] = ()) -> DataFram
         F.inline(F.transform(F.array(F.from_json(alone, DOCUMENT, STRICT_JSON)), values)),
         F.col("file_name").alias("_stg_file_name"),
         _zoneless(F.col("file_modification_time"), loaded).alias("_stg_file_load_ts"),
-        F.md5("value").alias("_stg_file_md5"),
+        (F.col("file_md5") if "file_md5" in documents.columns else F.md5("value")).alias(
+            "_stg_file_md5"
+        ),
+        F.md5("value").alias("document_md5"),
         _zoneless(F.current_timestamp(), T.TimestampType()).alias("_copy_data_ts"),
         *carry,
     )
@@ -171,6 +201,7 @@ def parse_documents(documents: DataFrame, carry: Sequence[str] = ()) -> DataFram
         *AUDIT_COLUMNS,
         *carry,
         "records",
+        "document_md5",
         reason.alias("reject_reason"),
     )
 

@@ -19,6 +19,7 @@ from airstrata.sources.documents import (
     landing_root,
     parse_documents,
     read_documents,
+    with_file_checksums,
     with_row_ids,
 )
 from airstrata.sources.lake import Lake
@@ -28,7 +29,7 @@ from airstrata.streaming.refresh import refresh_pending
 # A version of a file. One put back to earlier content has another time, so it is loaded again
 # and wins.
 FILE_IDENTITY = LANDED_FILES.names
-DOCUMENT_IDENTITY = ["_stg_file_name", "_stg_file_load_ts", "_stg_file_md5"]
+DOCUMENT_IDENTITY = ["_stg_file_name", "_stg_file_load_ts", "document_md5"]
 # Files of one load, whose names the driver holds.
 FILES_PER_LOAD = 10_000
 
@@ -100,6 +101,8 @@ def load_new_files(
         documents = read_documents(
             lake.spark, landing, line_delimited=line_delimited, files=names
         )
+        if line_delimited:
+            documents = with_file_checksums(documents)
         dates |= load_documents(lake, documents, f"load-{uuid.uuid4().hex}")
         lake.append("landed_files", lake.spark.createDataFrame(files, LANDED_FILES).coalesce(1))
     close_cut_loads(lake, cut)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from airstrata.operators import key_uniqueness
 from airstrata.plans import consume
 from airstrata.schemas import DATE_PARTITION
-from airstrata.sources import Lake, file_inventory, parse_documents, read_documents
+from airstrata.sources import Lake, file_checksums, file_inventory, parse_documents, read_documents
 from airstrata.sources.lake import TABLES
 from airstrata.streaming import (
     load_batch,
@@ -446,6 +446,34 @@ def test_documents_by_line(spark, landing):
     assert parsed.filter("reject_reason is null").count() == 3
 
 
+def test_checksum_of_a_file_read_by_line(spark, tmp_path, landing, lake):
+    """One for all lines, whatever the splits and the compression; it changes with any line."""
+    lines = [json.dumps(document(record("A", "CO", str(h), hour=f"{h:02}"))) for h in range(20)]
+    contents = {
+        "a.json": lines, "same.json.gz": lines, "turned.json": lines[::-1], "less.json": lines[1:],
+        "twice.json": [*lines, lines[0]], "other.json": [*lines[:-1], lines[0]],
+    }
+    for name, content in contents.items():
+        land(landing, name, "\n".join(content), 1000)
+
+    def sums():
+        found = file_checksums(read_documents(spark, landing, line_delimited=True))
+        return {r.file_name: r.file_md5 for r in found.collect()}
+
+    whole = sums()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        assert sums() == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert whole["a.json"] == whole["same.json.gz"] == whole["turned.json"]
+    assert len(set(whole.values())) == 4
+    load_batch(lake, landing, line_delimited=True, refresh=False)
+    kept = lake.raw().select("_stg_file_name", "_stg_file_md5").distinct().collect()
+    assert {r[0]: r[1] for r in kept} == whole and len(kept) == len(whole)
+
+
 def test_nested_folders_and_modified_after(spark, landing):
     os.mkdir(os.path.join(landing, "sub"))
     land(landing, "a.json", document(record("A", "CO", "1")), 1000)
