@@ -109,9 +109,21 @@ LANDED_FILES = _struct(
     ("_stg_file_length", T.LongType()),
 )
 
-# Steps of a load, in the partition of its number. A loaded step stands for one touched date.
+# Steps of a load, in the partition of its number. A loaded step stands for one touched date. The
+# arrivals are the times of the load's oldest and newest file.
 LOADS = _struct(
-    ("load_label", T.StringType()), ("step", T.StringType()), ("touched_date", T.DateType())
+    ("load_label", T.StringType()),
+    ("step", T.StringType()),
+    ("touched_date", T.DateType()),
+    ("first_arrival", T.TimestampNTZType()),
+    ("last_arrival", T.TimestampNTZType()),
+)
+
+# For each derived table the newest load it covers and the newest arrival among these loads.
+COVERAGE = _struct(
+    ("table_name", T.StringType()),
+    ("load_number", T.LongType()),
+    ("covered_until", T.TimestampNTZType()),
 )
 
 LONG = _struct(

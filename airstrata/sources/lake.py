@@ -32,13 +32,14 @@ class Table:
     partitions: tuple[str, ...] = (DATE_PARTITION,)
 
 
-# Fixed table names of the model, except for the first three and those that make refreshes cheap:
+# Fixed table names of the model, except for the first four and those that make refreshes cheap:
 # location_by_day, location_counts, location_hour and city_hour_sums. ``loads`` holds the newest
 # load and those no refresh has covered, so it stays small however long the history.
 TABLES = {
     "landed_documents": Table("bronze", schemas.LANDED, (DATE_PARTITION, "load_label")),
     "landed_files": Table("bronze", schemas.LANDED_FILES, ()),
     "loads": Table("bronze", schemas.LOADS, ("load_number",)),
+    "coverage": Table("bronze", schemas.COVERAGE, ()),
     "curated_aqi_dt": Table("silver", schemas.LONG),
     "curated_flatten_aqi_dt": Table("silver", schemas.WIDE),
     "dim_date": Table("gold", schemas.DIM_DATE),

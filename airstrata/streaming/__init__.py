@@ -1,7 +1,9 @@
+from airstrata.streaming.freshness import freshness
 from airstrata.streaming.ingest import load_batch, start_ingest
 from airstrata.streaming.refresh import refresh_all, refresh_dates, refresh_order, refresh_pending
 
 __all__ = [
+    "freshness",
     "load_batch",
     "refresh_all",
     "refresh_dates",

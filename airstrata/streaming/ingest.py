@@ -41,7 +41,7 @@ def load_documents(lake: Lake, documents: DataFrame, label: str) -> set[dt.date]
     rows, and documents that a load has left behind which was cut short are not written again,
     so a retried load leaves no duplicates. Documents that break a constraint of bronze are
     stored without a date, as rejects, and with their text. Ids come from the number of the
-    load, so no earlier one is read; the dates are counted by the write itself.
+    load, so no earlier one is read; dates and arrivals are observed by the write itself.
     """
     refused = F.col("reject_reason").isNotNull()
     fresh = parse_documents(documents).withColumns(
@@ -59,11 +59,14 @@ def load_documents(lake: Lake, documents: DataFrame, label: str) -> set[dt.date]
     landed = with_row_ids(fresh, number).withColumn("load_label", F.lit(label))
     seen = Observation()
     landed = landed.select(*LANDED.names, DATE_PARTITION, "load_label").observe(
-        seen, F.collect_set(DATE_PARTITION).alias("dates")
+        seen,
+        F.collect_set(DATE_PARTITION).alias("dates"),
+        F.min("_stg_file_load_ts").alias("first"),
+        F.max("_stg_file_load_ts").alias("last"),
     )
     lake.overwrite_partitions("landed_documents", landed)
     touched = set(seen.get["dates"])
-    finish_load(lake, number, label, touched)
+    finish_load(lake, number, label, touched, (seen.get["first"], seen.get["last"]))
     return touched
 
 

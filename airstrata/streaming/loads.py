@@ -10,16 +10,25 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airstrata.schemas import DATE_PARTITION, LOADS
+from airstrata.schemas import COVERAGE, DATE_PARTITION, LOADS
 from airstrata.sources.lake import Lake
 
 STARTED, LOADED, REFRESHED = "started", "loaded", "refreshed"
 
 
-def _enter(lake: Lake, number: int, rows: list[tuple[str, str, dt.date | None]]) -> None:
-    steps = lake.spark.createDataFrame(rows, LOADS).coalesce(1)
+Arrivals = tuple[dt.datetime | None, dt.datetime | None]
+
+
+def _enter(
+    lake: Lake,
+    number: int,
+    rows: list[tuple[str, str, dt.date | None]],
+    arrivals: Arrivals = (None, None),
+) -> None:
+    steps = lake.spark.createDataFrame([(*row, *arrivals) for row in rows], LOADS).coalesce(1)
     lake.append("loads", steps.withColumn("load_number", F.lit(number).cast("long")))
 
 
@@ -30,9 +39,16 @@ def begin_load(lake: Lake, label: str) -> int:
     return last + 1
 
 
-def finish_load(lake: Lake, number: int, label: str, dates: Iterable[dt.date]) -> None:
-    """Enter the dates of a load whose documents are written."""
-    _enter(lake, number, [(label, LOADED, date) for date in sorted(dates)] or [(label, LOADED, None)])
+def finish_load(
+    lake: Lake,
+    number: int,
+    label: str,
+    dates: Iterable[dt.date],
+    arrivals: Arrivals = (None, None),
+) -> None:
+    """Enter the dates of a load whose documents are written, and when its files arrived."""
+    rows = [(label, LOADED, date) for date in sorted(dates)] or [(label, LOADED, None)]
+    _enter(lake, number, rows, arrivals)
 
 
 def cut_loads(lake: Lake) -> dict[int, str]:
@@ -74,6 +90,21 @@ def pending_loads(lake: Lake) -> tuple[set[str], set[dt.date]]:
     return {row["load_label"] for row in found}, dates
 
 
+def mark_covered(lake: Lake, tables: Iterable[str], loads: DataFrame) -> None:
+    """Note that the tables cover ``loads``, rows of the ledger as it was before the refresh."""
+    now = loads.agg(F.max("load_number"), F.max("last_arrival")).first()
+    known = {row["table_name"]: row for row in lake.table("coverage").collect()}
+    rows = {name: (name, row["load_number"], row["covered_until"]) for name, row in known.items()}
+    for name in tables:
+        _, number, until = rows.get(name, (name, None, None))
+        number, until = (
+            max((v for v in pair if v is not None), default=None)
+            for pair in ((number, now[0]), (until, now[1]))
+        )
+        rows[name] = (name, number, until)
+    lake.overwrite("coverage", lake.spark.createDataFrame(sorted(rows.values()), COVERAGE).coalesce(1))
+
+
 def mark_refreshed(lake: Lake, labels: Iterable[str]) -> None:
     """Take loads from the ledger; the newest one's entry stays, marked.
 

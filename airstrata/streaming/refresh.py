@@ -19,7 +19,7 @@ from airstrata.plans import model
 from airstrata.schemas import DATE_PARTITION, DIM_LOCATION
 from airstrata.session import stored
 from airstrata.sources.lake import Lake, in_parallel, spread_by_date
-from airstrata.streaming.loads import mark_refreshed, pending_loads
+from airstrata.streaming.loads import mark_covered, mark_refreshed, pending_loads
 
 # Each derived table with the tables it is computed from, parents first.
 PARENTS = {
@@ -91,10 +91,12 @@ def derive(lake: Lake, name: str, dates: Dates = None) -> DataFrame:
 def refresh_all(lake: Lake, *targets: str) -> None:
     """Recompute the targets and their parents from bronze."""
     labels, _ = pending_loads(lake)
+    loads = stored(lake.read("loads"), "loads")
     lake.delete(_staging(lake))
     for name in refresh_order(*targets):
         df = derive(lake, name)
         lake.overwrite(name, spread_by_date(df) if DATE_PARTITION in df.columns else df)
+    mark_covered(lake, refresh_order(*targets), loads)
     if not targets:
         mark_refreshed(lake, labels)
 
@@ -103,8 +105,11 @@ def refresh_pending(lake: Lake) -> set[dt.date]:
     """Refresh the dates of all loads that none has covered yet, also of an aborted run."""
     finish_refresh(lake)
     labels, dates = pending_loads(lake)
-    refresh_dates(lake, dates)
-    mark_refreshed(lake, labels)
+    if labels:
+        loads = stored(lake.read("loads"), "loads")
+        refresh_dates(lake, dates)
+        mark_covered(lake, PARENTS, loads)
+        mark_refreshed(lake, labels)
     return dates
 
 

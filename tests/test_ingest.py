@@ -17,6 +17,7 @@ from airstrata.schemas import DATE_PARTITION
 from airstrata.sources import Lake, file_checksums, file_inventory, parse_documents, read_documents
 from airstrata.sources.lake import TABLES
 from airstrata.streaming import (
+    freshness,
     load_batch,
     refresh_all,
     refresh_dates,
@@ -206,6 +207,35 @@ def test_refresh_covers_a_load_that_was_cut_short(spark, landing, lake, monkeypa
     assert refresh_pending(lake) == set()
 
 
+def test_freshness_by_table(spark, landing, lake):
+    """With files not loaded, loads not refreshed, a late file, a partial refresh and idle times."""
+    def second(time):
+        return None if time is None else int((time - dt.datetime(1970, 1, 1)).total_seconds())
+
+    def lags(now):
+        found = freshness(lake, landing, now=dt.datetime(1970, 1, 1) + dt.timedelta(seconds=now)).collect()
+        return {r.table_name: (second(r.covered_until), second(r.waiting_since), r.lag_seconds) for r in found}
+
+    assert set(lags(50)) == {"raw_aqi", *DERIVED} and set(lags(50).values()) == {(None, None, 0)}
+    land(landing, "a.json", document(record("A", "CO", "1", hour="10")), 1000)
+    assert set(lags(1600).values()) == {(None, 1000, 600)}
+    load_batch(lake, landing, refresh=False)
+    assert lags(1700) == {"raw_aqi": (1000, None, 0)} | {n: (None, 1000, 700) for n in DERIVED}
+    refresh_pending(lake)
+    # Nothing arrives for long.
+    assert set(lags(10**6).values()) == {(1000, None, 0)}
+    land(landing, "b.json", document(record("A", "CO", "1", hour="11")), 5000)
+    load_batch(lake, landing, refresh=False)
+    land(landing, "late.json", document(record("A", "CO", "1", hour="12")), 900)
+    load_batch(lake, landing, refresh=False)
+    assert lags(6000) == {"raw_aqi": (5000, None, 0)} | {n: (1000, 900, 5100) for n in DERIVED}
+    refresh_all(lake, "dim_date")
+    fresh = {n: (5000, None, 0) for n in refresh_order("dim_date")}
+    assert lags(6000) == {"raw_aqi": (5000, None, 0)} | {n: (1000, 900, 5100) for n in DERIVED} | fresh
+    refresh_pending(lake)
+    assert set(lags(6000).values()) == {(5000, None, 0)}
+
+
 def test_start_of_a_stream_refreshes_pending_loads(spark, tmp_path, landing, lake):
     fill(landing)
     load_batch(lake, landing, refresh=False)
