@@ -31,10 +31,11 @@ def build_session(name: str = "airstrata", master: str | None = None, **conf: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for materialized intermediates.
+    """Shared folder for materialized intermediates, one of this application's own.
 
-    It is what ``spark.checkpoint.dir`` names. Where that is unset, a folder in the warehouse
-    stands in, which every executor reaches as well, on whatever master the session runs.
+    It lies in what ``spark.checkpoint.dir`` names. Where that is unset, a folder in the
+    warehouse stands in, which every executor reaches as well; a warehouse on the driver's own
+    disk is refused on a cluster.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -43,13 +44,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or None
     if configured is None:
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        check_shared(warehouse, context.master)
         configured = f"{warehouse}/_intermediate"
     context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
 
-def _stored_prefix(spark: SparkSession) -> str:
-    return f"{ensure_checkpoint_dir(spark)}/stored-{spark.sparkContext.applicationId}"
+def check_shared(warehouse: str, master: str) -> None:
+    """Fail if the warehouse is a folder that other machines of this master do not have."""
+    here = warehouse.startswith(("file:", "/"))
+    if here and not master.startswith("local"):
+        raise ValueError(
+            f"set spark.checkpoint.dir to a folder that all executors share; {warehouse} is local"
+        )
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
@@ -58,13 +65,19 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     Unlike ``checkpoint`` the copy is columnar: later scans prune columns and push filters.
     """
     spark = df.sparkSession
-    path = f"{_stored_prefix(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/stored-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def clear_stored(spark: SparkSession) -> None:
-    """Delete the copies this application made with ``stored``; call it when results are read."""
+    """Delete all intermediates of this application; call it when results are read.
+
+    These are the copies made by ``stored``, the tables and files of operators, and
+    checkpoints, which all lie in the application's working folder.
+    """
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_stored_prefix(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    path = jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(path, True)
+    files.mkdirs(path)

@@ -359,3 +359,23 @@ def test_half_of_all_facts_on_one_coordinate_are_spread(spark):
             spark.conf.set(name, value)
     assert sum(plain) == sum(spread) == 64_000
     assert plain[-1] > 32_000 and spread[-1] < 4 * spread[len(spread) // 2]
+
+
+def test_all_intermediates_can_be_cleared(spark):
+    from pathlib import Path
+    from urllib.parse import urlsplit
+
+    from airstrata.session import check_shared, clear_stored
+
+    folder = Path(urlsplit(ensure_checkpoint_dir(spark)).path)
+    kept = stored(spark.range(10), "copy")
+    spark.range(10).checkpoint()
+    (folder / "lake-x").mkdir()
+    assert kept.count() == 10 and len(list(folder.iterdir())) >= 3
+    clear_stored(spark)
+    assert folder.is_dir() and not list(folder.iterdir())
+    assert stored(spark.range(3)).count() == 3
+    with pytest.raises(ValueError):
+        check_shared("file:/home/me/warehouse", "spark://host:7077")
+    check_shared("s3a://bucket/warehouse", "yarn")
+    check_shared("file:/home/me/warehouse", "local[4]")
