@@ -261,9 +261,9 @@ def keep_one(
     same_id = F.col("doc_id").eqNullSafe(F.col("_id"))
     # Rows are packed, so that no name of theirs meets one used here.
     packed = docs.select(
-        "doc_id", "text", F.struct(*docs.columns).alias("_row"), F.xxhash64(*docs.columns).alias("_hash")
+        "doc_id", F.struct(*docs.columns).alias("_row"), F.xxhash64(*docs.columns).alias("_hash")
     )
-    again = packed.join(unclear, same_id, "left_semi")
+    again = packed.join(unclear, same_id, "left_semi").withColumn("text", F.col("_row.text"))
     rows = with_fingerprint(again, "_fp", shingle_words).select("doc_id", "_row", "_fp", "_hash")
     chosen = (
         rows.join(groups, same_id & (F.col("_fp") == F.col("fp")))
