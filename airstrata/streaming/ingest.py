@@ -23,6 +23,7 @@ from airstrata.sources.documents import (
     with_row_ids,
 )
 from airstrata.sources.lake import Lake
+from airstrata.streaming.compaction import finish_compaction
 from airstrata.streaming.loads import begin_load, close_cut_loads, cut_loads, finish_load
 from airstrata.streaming.refresh import refresh_pending
 
@@ -96,6 +97,7 @@ def load_new_files(
 
     A load records its files when their documents are written, so one that dies is repeated.
     """
+    finish_compaction(lake)
     cut = cut_loads(lake)
     new = new_files(lake, landing, recursive, modified_after)
     dates: set[dt.date] = set()

@@ -17,6 +17,7 @@ from airstrata.schemas import DATE_PARTITION
 from airstrata.sources import Lake, file_checksums, file_inventory, parse_documents, read_documents
 from airstrata.sources.lake import TABLES
 from airstrata.streaming import (
+    compact,
     freshness,
     load_batch,
     refresh_all,
@@ -236,6 +237,44 @@ def test_freshness_by_table(spark, landing, lake):
     assert set(lags(6000).values()) == {(5000, None, 0)}
 
 
+def test_compaction_bounds_the_files_of_a_day(spark, landing, lake, monkeypatch):
+    """However many loads: readers see the same rows, and known files stay known."""
+    from airstrata.streaming import compaction as module
+
+    def files():
+        return {(r.day, r.label): r.n_files for r in module.parts_of_days(lake).collect()}
+
+    for hour in range(6):
+        land(landing, f"h{hour}.json", document(record("A", "CO", "1", hour=f"0{hour}")), 1000)
+        land(landing, f"broken{hour}.json", "{oops", 1000)
+        load_batch(lake, landing, refresh=False)
+    refresh_pending(lake)
+    land(landing, "open.json", document(record("A", "CO", "1", hour="09")), 1000)
+    load_batch(lake, landing, refresh=False)
+    assert len(files()) == 13
+
+    def rows():
+        landed = lake.read("landed_documents").drop("json_data", "load_label")
+        return sorted(map(repr, landed.collect())), lake.table("landed_files").count()
+
+    before = rows()
+    assert compact(lake, most_parts=6) == 0
+    with monkeypatch.context() as cut:
+        cut.setattr(module, "finish_compaction", lambda lake: None)
+        assert compact(lake, most_parts=5) == 12
+    assert rows() == before and len(files()) == 13
+    assert load_batch(lake, landing) == set()
+    after = files()
+    assert len(after) == 3 and max(after.values()) <= 2 and rows() == before
+    assert lake.exists(f"{lake.root}/_compaction") is False
+    assert compact(lake, target_bytes=1, most_parts=0) == 0
+    assert compact(lake, most_parts=1) == 2 and rows() == before
+    assert sorted(day for day, _ in files()) == [str(DAY), "__HIVE_DEFAULT_PARTITION__"]
+    incremental = {name: snapshot(lake, name) for name in DERIVED}
+    refresh_all(lake)
+    assert incremental == {name: snapshot(lake, name) for name in DERIVED}
+
+
 def test_start_of_a_stream_refreshes_pending_loads(spark, tmp_path, landing, lake):
     fill(landing)
     load_batch(lake, landing, refresh=False)
