@@ -182,6 +182,8 @@ select event_id as id, case when n > 0 then index_record_ts end as index_record_
 from documents_""",
     "q_flatten_records": f"with {DOCUMENTS} select * exclude (index_record_ts, latitude, longitude)"
     f" from ({_flat('documents_')})",
+    "q_flatten_parsed": f"with {DOCUMENTS} select * exclude (index_record_ts, latitude, longitude)"
+    f" from ({_flat('documents_')})",
     "q_silver_long": f"""
 with {DOCUMENTS},
 newest as (
@@ -370,6 +372,14 @@ select 'station', l.state, l.city, l.station, hour(d.measurement_time)::int, f.p
 {_FROM_STAR}
 where l.state = 'R 0' and l.city = 'C2' and l.station = 'S7'
   and cast(d.measurement_time as date) = date '2024-01-10'""",
+    "q_staged_preview": """
+select least(count(*), 10) as n_rows, true as just_loaded, 0::bigint as n_foreign from events""",
+    "q_row_ids": """
+select load::int as load, count(*) as n, count(distinct event_id) as n_ids, true as rises
+from events, range(1, 4) loads(load) group by load""",
+    "q_file_inventory": """
+select 'region-' || n_regionkey || '.txt' as name, sum(strlen(n_name) + 1)::bigint as length, true as dated
+from nation group by n_regionkey""",
     "q_lake_files": f"""
 with {READINGS},
 days as (

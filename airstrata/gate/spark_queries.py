@@ -45,7 +45,7 @@ from airstrata.schemas import (
     RECORD_FIELDS,
 )
 from airstrata.session import ensure_checkpoint_dir, stored
-from airstrata.sources.documents import parse_documents
+from airstrata.sources.documents import file_inventory, parse_documents, with_row_ids
 from airstrata.sources.lake import Lake
 from airstrata.streaming import load_batch
 
@@ -144,6 +144,38 @@ def q_flatten_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.drop("latitude", "longitude")
 
 
+def q_flatten_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``q_flatten_records``, from the records that parsing found, which have no largest size."""
+    parsed = parsed_documents(spark, sf_dir)
+    flat = flatten_records(parsed, "records", RECORD_FIELDS, ["_stg_file_name"])
+    return flat.drop("latitude", "longitude")
+
+
+def q_staged_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten documents before they are loaded: any of them, but whole, and with their load time."""
+    begun = F.expr("cast(current_timestamp() as timestamp_ntz)")
+    parsed = parsed_documents(spark, sf_dir)
+    some = consume.staged_preview(parsed, 10)
+    known = parsed.select("_stg_file_name", "_stg_file_md5").distinct()
+    foreign = some.join(known, ["_stg_file_name", "_stg_file_md5"], "left_anti")
+    loaded = F.max(F.abs(F.timestamp_diff("MINUTE", F.col("_copy_data_ts"), begun))) < 60
+    return some.agg(F.count(F.lit(1)).alias("n_rows"), loaded.alias("just_loaded")).withColumn(
+        "n_foreign", foreign.agg(F.count(F.lit(1))).scalar()
+    )
+
+
+def q_row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of three loads: their number, how many differ, and whether they rise with the loads."""
+    events = table(spark, sf_dir, "events").select("event_id")
+    loads = [with_row_ids(events, number).withColumn("load", F.lit(number)) for number in (1, 2, 3)]
+    of_load = stored(reduce(DataFrame.unionByName, loads), "ids").groupBy("load").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_ids"),
+        F.min("id").alias("least"), F.max("id").alias("most"),
+    )
+    rises = F.col("least") > F.coalesce(F.lag("most").over(Window.orderBy("load")), F.lit(0))
+    return of_load.select("load", "n", "n_ids", rises.alias("rises"))
+
+
 def q_silver_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["id", "index_record_ts", "records", *AUDIT_COLUMNS]
     long = model.silver_long(bronze(spark, sf_dir, *columns))
@@ -603,6 +635,17 @@ def q_lake_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and sizes of landed files, the nations of a region being a file of their names."""
+    landing = f"{ensure_checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
+    nations = table(spark, sf_dir, "nation")
+    _place_days(spark, nations.select(F.col("n_regionkey").alias("day"), "n_name"), landing, "region")
+    return file_inventory(spark, landing).select(
+        F.substring_index("path", "/", -1).alias("name"), "length",
+        F.col("modificationTime").isNotNull().alias("dated"),
+    )
+
+
 def q_odd_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents spoiled in several ways; one rule accepts or refuses them at every size."""
     text = F.col("value")

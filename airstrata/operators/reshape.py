@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def flatten_records(
@@ -17,9 +18,22 @@ def flatten_records(
 ) -> DataFrame:
     """One row per element of the array field, its ``fields`` as text, after ``keep``.
 
-    The array is extracted in one typed step. A missing field, or an element that is no
-    object, yields NULLs; a document without elements yields no row.
+    ``document`` is a variant, from which the array is extracted in one typed step, or the
+    array of structs that parsing has found already. A variant has a largest size, and a document
+    beyond it is NULL there and has no rows: where documents may be that large, pass the parsed
+    array. A missing field, or an element that is no object, yields NULLs; a document without
+    elements yields no row.
     """
+    kind = df.schema[document].dataType
+    if isinstance(kind, T.ArrayType):
+        found = kind.elementType.names
+
+        def record(r: Column) -> Column:
+            return F.struct(
+                *[(r[f] if f in found else F.lit(None)).cast("string").alias(f) for f in fields]
+            )
+
+        return df.select(*keep, F.inline(F.transform(document, record)))
     leaves = ",".join(f"`{f}`:string" for f in fields)
     records = F.try_variant_get(document, f"$.{array}", f"array<struct<{leaves}>>")
     return df.select(*keep, F.inline(records))

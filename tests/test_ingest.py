@@ -11,7 +11,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from airstrata.operators import key_uniqueness
+from airstrata.operators import flatten_records, key_uniqueness
 from airstrata.plans import consume
 from airstrata.schemas import DATE_PARTITION
 from airstrata.sources import Lake, file_checksums, file_inventory, parse_documents, read_documents
@@ -321,6 +321,8 @@ def test_document_beyond_the_variant_size_is_whole(spark, landing, lake):
     assert [r["reject_reason"] for r in lake.rejects().collect()] == ["malformed JSON"]
     bronze = lake.table("raw_aqi").first()
     assert (bronze["record_count"], bronze["json_version"]) == (stations, "1.0")
+    parsed = parse_documents(read_documents(lake.spark, landing))
+    assert flatten_records(parsed, "records", ["station", "none"]).filter("none is null").count() == stations
     long = lake.table("curated_aqi_dt")
     assert long.select("station").distinct().count() == stations
     row = long.filter("station = 'S7'").first()

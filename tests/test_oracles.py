@@ -22,6 +22,7 @@ DUCK_TYPES = {
     T.LongType(): "BIGINT",
     T.DoubleType(): "DOUBLE",
     T.StringType(): "VARCHAR",
+    T.BooleanType(): "BOOLEAN",
     T.DateType(): "DATE",
     T.TimestampNTZType(): "TIMESTAMP",
 }
