@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airstrata.llm.common import BLANKS, lower_ascii, others, unused
+from airstrata.operators.skew import heavy_keys, spread_join
 from airstrata.session import ensure_checkpoint_dir
 
 MIN_LENGTH = 20
@@ -94,7 +95,7 @@ def dedup_lines(
     The narrow lines are dealt into batches, and each batch adds its sorted run (``LineRuns``).
     The runs are then merged with the lines; what is to go is gathered for each document and
     meets the texts in one join. A line in a third of all documents is one row in each run and
-    is spread over documents again by the skew join.
+    is spread over documents again by a join in pieces.
     """
     spark = docs.sparkSession
     folder = f"{ensure_checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
@@ -115,8 +116,12 @@ def dedup_lines(
     shared = runs.merged().filter(F.col("n_docs") >= min_documents).drop("n_docs")
     goes = F.col("last_doc").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("last_doc"))
     id_name, gone_name, kept_name = unused([*docs.columns, *names], "dropped_id", "dropped", "kept")
+    # A common line stands in many documents: its rows are dealt into pieces before the shuffle.
+    shared = shared.withColumnsRenamed({name: f"shared_{name}" for name in HASH})
+    agree = F.col(HASH[1]) == F.col(f"shared_{HASH[1]}")
+    heavy = heavy_keys(lines, HASH[0])
     dropped = (
-        lines.join(shared, HASH)
+        spread_join(lines, shared, HASH[0], f"shared_{HASH[0]}", heavy, also=agree)
         .filter(goes)
         .groupBy(F.col("doc_id").alias(id_name))
         .agg(F.collect_set(F.struct(*HASH)).alias(gone_name))
