@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from airstrata.llm.common import text_bytes
 from airstrata.llm.components import connected_components
 from airstrata.operators.sizing import broadcast_if_small
+from airstrata.operators.skew import heavy_keys, spread_join
 from airstrata.session import stored
 
 SHINGLE_WORDS = 4
@@ -233,11 +234,13 @@ def near_duplicates(
     named = roots.join(first, "fp").groupBy("root").agg(F.min("first_id").alias("component_id"))
     linked = roots.join(named, "root").select("fp", "component_id", "root")
     labels = first.join(linked, "fp", "left").select(
-        "fp",
+        F.col("fp").alias("label_fp"),
         F.coalesce("component_id", "first_id").alias("component_id"),
         F.coalesce("root", "fp").alias("root"),
     )
-    return fps.join(labels, "fp").select("doc_id", "fp", "component_id", "root")
+    # Copies share a fingerprint, so one may be that of many documents.
+    named = spread_join(fps, labels, "fp", "label_fp", heavy_keys(fps, "fp"))
+    return named.select("doc_id", "fp", "component_id", "root")
 
 
 def keep_one(
