@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from airstrata.llm.common import BLANKS, lower_ascii, others, unused
 from airstrata.operators.skew import heavy_keys, spread_join
-from airstrata.session import ensure_checkpoint_dir
+from airstrata.session import ensure_checkpoint_dir, stored
 
 MIN_LENGTH = 20
 MIN_DOCUMENTS = 3
@@ -40,38 +40,100 @@ class LineRuns:
     ids. Every batch adds a run to level 0; as soon as a level has ``fanout`` runs, they are
     merged into one run of the next level. So each hash is rewritten once a level, and what
     a lookup reads is a few runs.
+
+    The runs are partitions of one table, bucketed by hash into the session's number of shuffle
+    partitions and sorted within. A bucket of a batch meets the same bucket of every run, so
+    neither a lookup nor a merge moves the runs' rows again. With ``enough`` given, a batch is
+    merge-anti-joined with the runs and adds only lines that are not yet in that many documents.
+    Such batches must come in falling order of ids, which leaves the ids of the lines found
+    earlier final.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, fanout: int = FANOUT):
-        self.spark, self.folder, self.fanout = spark, folder, fanout
-        self.levels: list[list[str]] = []
+    def __init__(
+        self, spark: SparkSession, folder: str, fanout: int = FANOUT, enough: int | None = None
+    ):
+        self.spark, self.folder, self.fanout, self.enough = spark, folder, fanout, enough
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.table = f"line_runs_{uuid.uuid4().hex}"
+        self.levels: list[list[int]] = []
+        self.written = 0
 
     def add(self, lines: DataFrame) -> None:
         """A run of a batch of ``(doc_id, line_hash, line_check)``, one row a document and line."""
         run = lines.groupBy(*HASH).agg(
             F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc")
         )
+        if self.enough is not None and self.levels:
+            known = self.merged().filter(F.col("n_docs") >= self.enough).select(*HASH)
+            run = run.join(known.hint("merge"), HASH, "left_anti")
         self._place(run, 0)
 
     def _place(self, run: DataFrame, level: int) -> None:
-        path = f"{self.folder}/level={level}/{uuid.uuid4().hex}"
-        run.sortWithinPartitions(*HASH).write.parquet(path)
+        number, self.written = self.written, self.written + 1
+        rows = run.withColumn("run", F.lit(number)).write.format("parquet").mode("append")
+        rows = rows.option("path", self.folder).partitionBy("run")
+        rows.bucketBy(self.buckets, *HASH).sortBy(*HASH).saveAsTable(self.table)
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(path)
+        self.levels[level].append(number)
         if len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
             self._place(self._merge(full), level + 1)
 
-    def _merge(self, paths: list[str]) -> DataFrame:
-        runs = reduce(DataFrame.unionByName, [self.spark.read.parquet(p) for p in paths])
-        return runs.groupBy(*HASH).agg(
+    def _merge(self, runs: list[int]) -> DataFrame:
+        rows = self.spark.table(self.table).filter(F.col("run").isin(runs))
+        return rows.groupBy(*HASH).agg(
             F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc")
         )
 
     def merged(self) -> DataFrame:
         """All runs as one: ``(line_hash, line_check, n_docs, last_doc)``."""
-        return self._merge([path for level in self.levels for path in level])
+        return self._merge([run for level in self.levels for run in level])
+
+    def forget(self) -> None:
+        """Take the runs' table out of the catalog; its files go with the working folder."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        self.levels = []
+
+
+def falling_batches(docs: DataFrame, batches: int) -> Column:
+    """A number from 0 for each row: ranges of doc_id of about one size, the largest ids first.
+
+    Rows without an id come last.
+    """
+    shares = [1 - i / batches for i in range(1, batches)]
+    borders = []
+    if shares:
+        borders = docs.agg(F.percentile_approx("doc_id", shares).alias("b")).first()["b"] or []
+    below = [F.when(F.col("doc_id") >= border, 0).otherwise(1) for border in borders]
+    return reduce(Column.__add__, below, F.lit(0))
+
+
+def line_places(text: Column, min_length: int) -> Column:
+    """Array of ``(line_hash, line_check, place, first)`` for the long lines of a text.
+
+    ``place`` is the line's number from 0; of lines with the same key, one is ``first``. Sorting
+    brings them together, so the work does not grow with the square of the lines.
+    """
+    keyed = F.transform(
+        lines_of(text), lambda line, i: F.struct(line_key(line).alias("key"), i.alias("place"))
+    )
+    long_ones = F.filter(keyed, lambda x: F.char_length(x["key"]) >= min_length)
+    hashed = F.transform(long_ones, lambda x: F.struct(line_hash(x["key"]).alias("h"), x["place"].alias("place")))
+
+    def marked(rows: Column) -> Column:
+        return F.transform(
+            rows,
+            lambda x, i: F.struct(
+                x["h"][HASH[0]].alias(HASH[0]),
+                x["h"][HASH[1]].alias(HASH[1]),
+                x["place"].alias("place"),
+                ((i == 0) | (F.get(rows, i - 1)["h"] != x["h"])).alias("first"),
+            ),
+        )
+
+    # Sorted once, as the single element of an array, and looked up in place.
+    return F.flatten(F.transform(F.array(F.sort_array(hashed)), marked))
 
 
 def dedup_lines(
@@ -92,30 +154,39 @@ def dedup_lines(
     ``docs`` stay as they are, whatever their names, but for columns called ``names``, as the
     new ones are, which these replace.
 
-    The narrow lines are dealt into batches, and each batch adds its sorted run (``LineRuns``).
-    The runs are then merged with the lines; what is to go is gathered for each document and
-    meets the texts in one join. A line in a third of all documents is one row in each run and
-    is spread over documents again by a join in pieces.
+    ``doc_id`` is a number.
+
+    The narrow lines are cut into batches of falling ids, and each batch adds its sorted run of
+    the lines that the runs before do not settle (``LineRuns``). The runs are then merged and
+    meet the lines; the places of what is to go are gathered for each document and meet the texts
+    in one join. A line in a third of all documents is one row in each run that holds it
+    and is spread over documents again by a join in pieces. The work on one document grows
+    with its lines and their sort.
     """
     spark = docs.sparkSession
     folder = f"{ensure_checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
-    long_keys = F.filter(
-        F.transform(lines_of(F.col("text")), line_key), lambda k: F.char_length(k) >= min_length
-    )
+    # Rows of one doc_id with different texts have different places.
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
     lines = docs.select(
         "doc_id",
-        F.pmod(F.xxhash64("doc_id"), F.lit(batches)).alias("batch"),
-        F.inline(F.array_distinct(F.transform(long_keys, line_hash))),
+        digest.alias("digest"),
+        falling_batches(docs, batches).alias("batch"),
+        F.inline(line_places(F.col("text"), min_length)),
     )
     lines.write.partitionBy("batch").parquet(f"{folder}/lines")
-    schema = lines.schema
-    lines = spark.read.schema(schema).parquet(f"{folder}/lines")
-    runs = LineRuns(spark, f"{folder}/runs", fanout)
+    lines = spark.read.schema(lines.schema).parquet(f"{folder}/lines")
+    runs = LineRuns(spark, f"{folder}/runs", fanout, min_documents)
     for number in range(batches):
-        runs.add(lines.filter(F.col("batch") == number))
+        runs.add(lines.filter((F.col("batch") == number) & F.col("first")))
     shared = runs.merged().filter(F.col("n_docs") >= min_documents).drop("n_docs")
+    # Only lines of several documents; what the result rests on is written, the runs can go.
+    shared = stored(shared, "shared-lines")
+    runs.forget()
     goes = F.col("last_doc").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("last_doc"))
-    id_name, gone_name, kept_name = unused([*docs.columns, *names], "dropped_id", "dropped", "kept")
+    names_used = [*docs.columns, *names]
+    id_name, digest_name, gone_name, kept_name = unused(
+        names_used, "dropped_id", "dropped_digest", "dropped", "kept"
+    )
     # A common line stands in many documents: its rows are dealt into pieces before the shuffle.
     shared = shared.withColumnsRenamed({name: f"shared_{name}" for name in HASH})
     agree = F.col(HASH[1]) == F.col(f"shared_{HASH[1]}")
@@ -123,18 +194,16 @@ def dedup_lines(
     dropped = (
         spread_join(lines, shared, HASH[0], f"shared_{HASH[0]}", heavy, also=agree)
         .filter(goes)
-        .groupBy(F.col("doc_id").alias(id_name))
-        .agg(F.collect_set(F.struct(*HASH)).alias(gone_name))
+        .groupBy(F.col("doc_id").alias(id_name), F.col("digest").alias(digest_name))
+        .agg(F.collect_set("place").alias(gone_name))
     )
-    joined = docs.join(dropped, docs["doc_id"].eqNullSafe(F.col(id_name)), "left")
+    same_row = docs["doc_id"].eqNullSafe(F.col(id_name)) & (digest == F.col(digest_name))
+    joined = docs.join(dropped, same_row, "left")
     rows = lines_of(F.col("text"))
-
-    def stays(line: Column) -> Column:
-        key = line_key(line)
-        gone = F.array_contains(gone_name, line_hash(key))
-        return (F.char_length(key) < min_length) | ~gone
-
-    kept = F.when(F.col(gone_name).isNull(), rows).otherwise(F.filter(rows, stays))
+    # Set difference of numbers, by hashing and in order.
+    places = F.array_except(F.sequence(F.lit(0), F.size(rows) - 1), F.col(gone_name))
+    some = F.flatten(F.transform(F.array(rows), lambda r: F.transform(places, lambda i: F.get(r, i))))
+    kept = F.when(F.col(gone_name).isNull(), rows).otherwise(some)
     return joined.withColumn(kept_name, kept).select(
         *[
             F.array_join(kept_name, "\n").alias("text") if c == "text" else docs[c]

@@ -75,3 +75,27 @@ def test_main_path_runs_no_python(spark):
     docs = spark.createDataFrame(ROWS, "doc_id long, text string")
     plan = line_dedup.dedup_lines(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan.replace("ArrowColumn", "")
+
+
+def test_batches_meet_runs_without_moving_them(spark, tmp_path):
+    """Neither a merge nor the anti-join of a batch has an exchange above the runs."""
+    runs = line_dedup.LineRuns(spark, str(tmp_path), fanout=3, enough=2)
+    for i in (9, 8):
+        runs.add(spark.createDataFrame([(i, 5, 6), (i, i, i)], "doc_id long, line_hash long, line_check int"))
+    plan = runs.merged()._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Exchange" not in plan
+    # Line (5, 6) is settled by two documents, so a later batch adds nothing for it.
+    runs.add(spark.createDataFrame([(7, 5, 6), (7, 9, 9)], "doc_id long, line_hash long, line_check int"))
+    rows = {(r.line_hash, r.line_check): (r.n_docs, r.last_doc) for r in runs.merged().collect()}
+    assert rows == {(5, 6): (2, 9), (9, 9): (2, 9), (8, 8): (1, 8)}
+    assert [len(level) for level in runs.levels] == [0, 1]
+
+
+def test_many_shared_lines_of_one_document(spark):
+    """Repeated lines count once a document and all go; other lines keep their order."""
+    lines = [f"shared line of many documents {i}" for i in range(4000)]
+    rows = [(i, "\n".join([*lines, *lines[:50], f"own {i}", ""])) for i in range(1, 4)]
+    rows += [(2, "another text of two\n" + lines[7])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in line_dedup.dedup_lines(docs).collect()]
+    assert sorted(found, key=str) == plain(rows)
