@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,12 +15,13 @@ from pyspark.sql import functions as F
 from airstrata.llm.common import others, text_bytes
 from airstrata.session import stored
 
-# Words that exchange clustering sorts into classes, and their classes. All other words are
-# one further class, the end of a text is another.
+# Words that the rounds of exchange clustering move, and the classes. Every other word joins
+# its best class once, by the same gain. The end of a text is a further class; another stands
+# for words without a class, which are those not yet placed and those never seen.
 CLUSTERED = 8192
 CLASSES = 64
 ROUNDS = 4
-# Words whose counts every task holds; counts of the others come by a join.
+# Words whose counts and classes every task holds; those of the others come by joins.
 HELD_WORDS = 1 << 18
 # Distinct words or word pairs that a task gathers before it hands their counts on.
 HELD_COUNTS = 400_000
@@ -28,9 +30,11 @@ HELD_PAIRS = 1 << 22
 DELTA = 0.1
 # The token at the end of a text; no word is empty.
 END = b""
-SUM_KINDS = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
 RARE_CLASS, END_CLASS = CLASSES, CLASSES + 1
 RARE_WORD, END_WORD = CLUSTERED, CLUSTERED + 1
+# Beside a word: the same word; a word that the task doesn't hold.
+ITSELF, ELSEWHERE = END_CLASS + 1, -1
+CONTEXTS = ITSELF + 1
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -162,18 +166,32 @@ def _with_class(pairs: DataFrame, classes: np.ndarray, side: str) -> DataFrame:
     return pairs.join(F.broadcast(table), side)
 
 
+def likelihood(matrix: np.ndarray) -> float:
+    """What class pairs add to the log-likelihood of the text."""
+    return float(_xlogx(matrix).sum() - _xlogx(matrix.sum(axis=0)).sum() - _xlogx(matrix.sum(axis=1)).sum())
+
+
 def exchange_classes(pairs: DataFrame, words: int, rounds: int = ROUNDS) -> np.ndarray:
     """A class for each of the ``words`` most frequent words, by exchange clustering.
 
     Words begin in turn of their rank. In a round every second word, in turn the even and the
     odd ones, moves to the class that raises the likelihood most with all other words in place.
     The words' neighbours are counted over all pairs and each word is weighed in a task of its
-    own rows; the assignment, of fixed size, is all that reaches the driver.
+    own rows; the assignment, of fixed size, is all that reaches the driver. Words of a round
+    move at once, so their gains can clash: a round that lowers the likelihood is taken back and
+    ends the exchange.
     """
     classes = np.arange(END_WORD + 1) % CLASSES
     classes[RARE_WORD], classes[END_WORD] = RARE_CLASS, END_CLASS
-    for turn in range(rounds):
+    best = None
+    for turn in range(rounds + 1):
         matrix = class_matrix(pairs, classes)
+        reached = likelihood(matrix)
+        if best is not None and reached < best[0]:
+            return best[1]
+        best = reached, classes.copy()
+        if turn == rounds:
+            break
         chosen = [
             _with_class(pairs.filter(f"{side} < {words} and {side} % 2 = {turn % 2}"), classes, other)
             .groupBy(F.col(side).alias("word"), F.col(f"{other}_class").alias("class"))
@@ -210,90 +228,280 @@ def _moves(incoming, matrix: np.ndarray, classes: np.ndarray) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays(columns, ["word", "class"])
 
 
+def count_contexts(texts: DataFrame, numbers: dict[bytes, int], classes: np.ndarray) -> DataFrame:
+    """``(token, context, n)`` for words without a number: the classes before and after them.
+
+    ``context`` is ``before * CONTEXTS + after``. A word without a number has ``RARE_CLASS``,
+    unless it is the word itself. Rows of a token lie in one partition.
+    """
+    held = texts.sparkSession.sparkContext.broadcast((numbers, classes))
+
+    def count(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, class_of = held.value[0].get, held.value[1]
+        found: Counter[tuple[bytes, int]] = Counter()
+
+        def frame() -> pa.RecordBatch:
+            tokens, contexts = zip(*found)
+            columns = [pa.array(tokens, pa.binary()), pa.array(contexts, pa.int32())]
+            columns.append(pa.array(found.values(), pa.int64()))
+            return pa.RecordBatch.from_arrays(columns, ["token", "context", "n"])
+
+        for text in _texts(incoming):
+            words = words_of(text)
+            row = np.array([END_WORD, *[number(w, RARE_WORD) for w in words], END_WORD])
+            at = np.flatnonzero(row == RARE_WORD)
+            before, after = class_of[row[at - 1]], class_of[row[at + 1]]
+            # Places in ``at`` whose word comes again right after; words begin at row 1.
+            again = [
+                k for k in np.flatnonzero(np.diff(at) == 1).tolist() if words[at[k] - 1] == words[at[k]]
+            ]
+            after[again] = ITSELF
+            before[np.array(again, int) + 1] = ITSELF
+            found.update(zip([words[i - 1] for i in at], (before * CONTEXTS + after).tolist()))
+            if len(found) >= HELD_COUNTS:
+                yield frame()
+                found.clear()
+        if found:
+            yield frame()
+
+    counted = texts.mapInArrow(count, "token binary, context int, n long").repartition("token")
+    return counted.groupBy("token", "context").agg(F.sum("n").alias("n"))
+
+
+def join_gains(matrix: np.ndarray, left: np.ndarray, right: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """For each word of ``RARE_CLASS`` and each class, what its move there gains, up to a constant.
+
+    As in ``best_class``, but for many words: row i of ``left`` and ``right`` counts the classes
+    beside word i, which follows itself ``same[i]`` times besides. Only classes that stand beside
+    a word change its pairs, so the work follows the entries that are not zero.
+    """
+    gain = np.zeros((len(left), CLASSES))
+    for own, other, table in ((left, right, matrix), (right, left, matrix.T)):
+        word, beside = np.nonzero(own)
+        n = own[word, beside][:, None]
+        rest = table[beside, :CLASSES] - (beside == RARE_CLASS)[:, None] * other[word, :CLASSES]
+        change = _xlogx(rest + n) - _xlogx(rest)
+        # The class itself is counted once, below.
+        inner = np.flatnonzero(beside < CLASSES)
+        change[inner, beside[inner]] = 0
+        np.add.at(gain, word, change)
+    inner = np.diag(matrix)[:CLASSES]
+    gain += _xlogx(inner + left[:, :CLASSES] + right[:, :CLASSES] + same[:, None]) - _xlogx(inner)
+    for sums, n in ((matrix.sum(axis=1), right.sum(axis=1)), (matrix.sum(axis=0), left.sum(axis=1))):
+        whole = sums[:CLASSES]
+        gain -= _xlogx(whole + (n + same)[:, None]) - _xlogx(whole)
+    return gain
+
+
+def place_words(contexts: DataFrame, matrix: np.ndarray) -> DataFrame:
+    """``(token, n, class)`` for the words of ``count_contexts``: each joins its best class."""
+    rows = contexts.groupBy("token").agg(F.collect_list(F.struct("context", "n")).alias("found"))
+
+    def place(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in incoming:
+            # A word has at most CONTEXTS ** 2 entries.
+            for start in range(0, len(whole), 512):
+                batch = whole.slice(start, 512)
+                found = batch.column("found")
+                word = np.repeat(np.arange(len(batch)), found.value_lengths().to_numpy())
+                entries = found.flatten()
+                code, n = entries.field("context").to_numpy(), entries.field("n").to_numpy()
+                left, right = np.zeros((2, len(batch), CONTEXTS))
+                np.add.at(left, (word, code // CONTEXTS), n)
+                np.add.at(right, (word, code % CONTEXTS), n)
+                gain = join_gains(matrix, left[:, :ITSELF], right[:, :ITSELF], left[:, ITSELF])
+                columns = [batch.column("token"), pa.array(np.bincount(word, n, len(batch)).astype(np.int64))]
+                columns.append(pa.array(gain.argmax(axis=1).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(columns, ["token", "n", "class"])
+
+    return rows.mapInArrow(place, "token binary, n long, class int")
+
+
+class Held:
+    """Numbers and classes of the words that every task holds."""
+
+    def __init__(self, head: list[tuple[bytes, int, int]]):
+        self.number = {word: i for i, (word, _, _) in enumerate(head)}
+        self.counts = np.array([n for _, n, _ in head], np.float64)
+        self.classes = np.array([c for _, _, c in head] + [ELSEWHERE, END_CLASS], np.int64)
+
+    def row_of(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of the words, then that of the end; words not held have the one before it."""
+        number, elsewhere = self.number.get, len(self.number)
+        return np.array([number(word, elsewhere) for word in words] + [elsewhere + 1])
+
+
+Part = tuple[bytes, bytes | None, int, int]
+
+
+def outer_parts(words: list[bytes], sequence: np.ndarray) -> Counter[Part]:
+    """What of a text has to meet the table of words: ``(word, next, before, after)``, counted.
+
+    ``sequence`` holds the words' classes and the end's. Each word that isn't held comes with
+    the classes on both sides, and each two in a row come as a pair.
+    """
+    at = np.flatnonzero(sequence == ELSEWHERE)
+    before = np.concatenate(([END_CLASS], sequence))[at].tolist()
+    after = sequence[at + 1].tolist()
+    found: Counter[Part] = Counter(
+        (words[i], None, b, a) for i, b, a in zip(at.tolist(), before, after)
+    )
+    found.update(
+        (words[i], words[i + 1], ELSEWHERE, ELSEWHERE)
+        for i, a in zip(at.tolist(), after)
+        if a == ELSEWHERE
+    )
+    return found
+
+
+def full_matrix(texts: DataFrame, held: Held, words: DataFrame) -> np.ndarray:
+    """Counts of pairs of classes over all ``texts``, with the classes of all words."""
+    shared = texts.sparkSession.sparkContext.broadcast(held)
+    size = END_CLASS + 1
+
+    def count(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        inner = np.zeros(size * size, np.int64)
+        found: Counter[Part] = Counter()
+
+        def frame() -> pa.RecordBatch:
+            kinds = (pa.binary(), pa.binary(), pa.int32(), pa.int32())
+            columns = [pa.array([part[i] for part in found], kind) for i, kind in enumerate(kinds)]
+            columns.append(pa.array(found.values(), pa.int64()))
+            return pa.RecordBatch.from_arrays(columns, ["token", "next", "before", "after", "n"])
+
+        for text in _texts(incoming):
+            split = words_of(text)
+            sequence = held.classes[held.row_of(split)]
+            before = np.concatenate(([END_CLASS], sequence[:-1]))
+            both = (before != ELSEWHERE) & (sequence != ELSEWHERE)
+            inner += np.bincount(before[both] * size + sequence[both], minlength=size * size)
+            found.update(outer_parts(split, sequence))
+            if len(found) >= HELD_COUNTS:
+                yield frame()
+                found.clear()
+        found.update({(None, None, int(i) // size, int(i) % size): inner[i] for i in np.flatnonzero(inner)})
+        if found:
+            yield frame()
+
+    parts = texts.mapInArrow(count, "token binary, next binary, before int, after int, n long")
+    parts = stored(parts, "class-pairs")
+    own = F.col("class")
+    named = parts.filter("token is not null").join(words.select("token", "class"), "token")
+    twos = named.filter("next is not null").select(own.alias("before"), F.col("next").alias("token"), "n")
+    ones = named.filter("next is null")
+    counted = [
+        parts.filter("token is null").select("before", "after", "n"),
+        ones.filter(f"before != {ELSEWHERE}").select("before", own.alias("after"), "n"),
+        ones.filter(f"after != {ELSEWHERE}").select(own.alias("before"), "after", "n"),
+        twos.join(words.select("token", "class"), "token").select("before", own.alias("after"), "n"),
+    ]
+    pairs = reduce(DataFrame.unionByName, counted).groupBy("before", "after").agg(F.sum("n").alias("n"))
+    matrix = np.zeros((size, size))
+    for row in pairs.collect():
+        matrix[row["before"], row["after"]] = row["n"]
+    return matrix
+
+
 class Scorer:
-    """Log10 probabilities, but for those of words that a task doesn't hold."""
-
-    def __init__(self, head: list[tuple[bytes, int]], classes: np.ndarray, matrix: np.ndarray,
-                 tokens: int, types: int):
-        self.number = {word: i for i, (word, _) in enumerate(head)}
-        counts = np.array([n for _, n in head], np.float64)
-        clustered = min(CLUSTERED, len(head))
-        self.classes = np.full(len(head) + 2, RARE_CLASS)
-        self.classes[:clustered] = classes[:clustered]
-        self.classes[-1] = END_CLASS
+    """Log10 probabilities, but for those of words that a task doesn't hold.
+
+    ``class_types`` counts the words of each class. Each class has room for one unseen word, and
+    ``DELTA`` is added to every count in it.
+    """
+
+    def __init__(self, held: Held, matrix: np.ndarray, class_types: np.ndarray, tokens: int, types: int):
+        self.held = held
         self.base_scale = tokens + DELTA * (types + 1)
-        of_class = np.bincount(self.classes[:clustered], counts[:clustered], len(matrix))
-        rare_tokens = tokens - of_class.sum() - matrix[:, END_CLASS].sum()
-        # Types but the end, without those with classes of their own; one stands for the unseen.
-        self.rare_scale = max(rare_tokens + DELTA * (types - clustered), DELTA)
-        emitted = np.log10((counts + DELTA) / self.rare_scale)
-        emitted[:clustered] = np.log10(
-            counts[:clustered] / of_class[self.classes[:clustered]]
-        )
-        ends = matrix[:, END_CLASS].sum()
+        of_class = matrix.sum(axis=0)
+        ends = of_class[END_CLASS]
         self.end_known = int(ends > 0)
+        self.class_scale = of_class + DELTA * (class_types + 1)
+        emitted = np.log10((held.counts + DELTA) / self.class_scale[held.classes[:-2]])
         # The last two entries: a word that isn't held, and the end.
         self.emission = np.concatenate((emitted, [0, 0]))
         self.base = np.concatenate(
-            (np.log10((counts + DELTA) / self.base_scale), [0, np.log10((ends + DELTA) / self.base_scale)])
+            (np.log10((held.counts + DELTA) / self.base_scale), [0, np.log10((ends + DELTA) / self.base_scale)])
         )
-        share = (matrix.sum(axis=0) + 1) / (matrix.sum() + len(matrix))
+        # No seen word is in RARE_CLASS; what follows an unseen word follows the classes' shares.
+        share = of_class + 1
+        share[RARE_CLASS] = 0
+        share /= share.sum()
         weight = len(matrix)
-        self.transition = np.log10(
-            (matrix + weight * share) / (matrix.sum(axis=1, keepdims=True) + weight)
-        )
-
-    def score(self, words: list[bytes]) -> tuple[int, float, float, list[bytes]]:
-        """Known tokens, base and model score of the part that is held, and the other words."""
-        number, elsewhere = self.number.get, len(self.number)
-        row = np.array([number(word, elsewhere) for word in words] + [elsewhere + 1])
-        sequence = self.classes[row]
+        self.transition = (matrix + weight * share) / (matrix.sum(axis=1, keepdims=True) + weight)
+        step = self.transition.copy()
+        step[:, RARE_CLASS] = step[:, :CLASSES] @ (DELTA / self.class_scale[:CLASSES])
+        self.step = np.log10(step)
+
+    def score(self, words: list[bytes]) -> tuple[int, float, float, Counter[Part]]:
+        """Known tokens, base and model score of the part that is held, and the other parts."""
+        row = self.held.row_of(words)
+        sequence = self.held.classes[row]
         before = np.concatenate(([END_CLASS], sequence[:-1]))
-        model = self.transition[before, sequence].sum() + self.emission[row].sum()
-        others = [words[i] for i in np.flatnonzero(row[:-1] == elsewhere)]
-        return len(words) - len(others) + self.end_known, float(self.base[row].sum()), float(model), others
+        both = (before != ELSEWHERE) & (sequence != ELSEWHERE)
+        model = self.step[before[both], sequence[both]].sum() + self.emission[row].sum()
+        known = len(words) - np.count_nonzero(sequence == ELSEWHERE) + self.end_known
+        return int(known), float(self.base[row].sum()), float(model), outer_parts(words, sequence)
+
+    def weigh(self, single, before, after, own, following, n) -> np.ndarray:
+        """Log10 probability of a part; ``own`` and ``following`` are classes, ``n`` is the word's count."""
+        first = np.where(before == ELSEWHERE, 0, self.step[before, own])
+        second = np.where(after == ELSEWHERE, 0, self.step[own, after])
+        emitted = np.where(own == RARE_CLASS, 0, np.log10((n + DELTA) / self.class_scale[own]))
+        return np.where(single, first + second + emitted, self.step[own, following])
 
 
 def _scored(incoming: Iterator[pa.RecordBatch], scorer) -> Iterator[pa.RecordBatch]:
-    """A row of sums for each text, and a row for each of its words that is not held.
+    """A row of sums for each text, and a row for each of its parts that is not held.
 
-    The sums stand under a token that no word equals and no other text has, so the later join
-    on tokens spreads them. Further columns go with the sums and are NULL beside the words.
+    Where there is no word, ``token`` and ``next`` hold what no word equals and no other text
+    has, so the later joins spread the rows. Further columns go with the sums and are NULL beside
+    the parts.
     """
     scorer = scorer.value
     for batch in incoming:
         others = [c for c in batch.schema.names if c not in ("row", "text")]
-        names = ["row", "token", "n", "tokens", "known", "base", "model", *others]
+        names = [*PART_COLUMNS, *others]
 
-        def frame(rows, tokens, n, sums, kept) -> pa.RecordBatch:
-            arrays = [pa.array(rows, pa.int64()), pa.array(tokens, pa.binary()), pa.array(n, pa.int64())]
-            arrays += [pa.array(x, kind) for x, kind in zip(sums, SUM_KINDS)]
+        def frame(columns, kept) -> pa.RecordBatch:
+            arrays = [pa.array(x, kind) for x, kind in zip(columns, PART_COLUMNS.values())]
             return pa.RecordBatch.from_arrays([*arrays, *kept], names)
 
-        def word_frame() -> pa.RecordBatch:
-            zeros = [np.zeros(len(rows), np.int64)] * 2 + [np.zeros(len(rows))] * 2
-            kept = [pa.nulls(len(rows), batch.column(c).type) for c in others]
-            return frame(rows, tokens, counts, zeros, kept)
+        def part_frame() -> pa.RecordBatch:
+            kept = [pa.nulls(len(parts), batch.column(c).type) for c in others]
+            zeros = [np.zeros(len(parts), np.int64)] * 2 + [np.zeros(len(parts))] * 2
+            columns = list(zip(*parts)) or [()] * (len(PART_COLUMNS) - 4)
+            return frame([*columns, *zeros], kept)
 
-        rows, tokens, counts, sums = [], [], [], []
+        parts, sums = [], []
         numbers = batch.column("row").to_pylist()
         for number, text in zip(numbers, batch.column("text")):
             words = words_of(text.as_py())
             known, base, model, absent = scorer.score(words)
             sums.append((len(words) + 1, known, base, model))
-            found = Counter(absent)
-            tokens += found.keys()
-            counts += found.values()
-            rows += [number] * len(found)
-            if len(rows) >= HELD_COUNTS:
-                yield word_frame()
-                rows, tokens, counts = [], [], []
-        yield word_frame()
-        kept = [batch.column(c) for c in others]
+            own = b" %d" % number
+            for (word, following, before, after), n in absent.items():
+                single = following is None
+                parts.append((number, word, own if single else following, single, before, after, n))
+            if len(parts) >= HELD_COUNTS:
+                yield part_frame()
+                parts = []
+        yield part_frame()
         own = [b" %d" % number for number in numbers]
-        yield frame(numbers, own, np.zeros(len(own), np.int64), zip(*sums), kept)
-
-
+        zeros = np.zeros(len(own), np.int64)
+        kept = [batch.column(c) for c in others]
+        yield frame([numbers, own, own, zeros.astype(bool), zeros, zeros, zeros, *zip(*sums)], kept)
+
+
+PART_COLUMNS = {
+    "row": pa.int64(), "token": pa.binary(), "next": pa.binary(), "single": pa.bool_(),
+    "before": pa.int32(), "after": pa.int32(), "n": pa.int64(), "tokens": pa.int64(),
+    "known": pa.int64(), "base": pa.float64(), "model": pa.float64(),
+}
+PART_SCHEMA = (
+    "row long, token binary, next binary, single boolean, before int, after int, n long, "
+    "tokens long, known long, base double, model double"
+)
 SCORES = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
@@ -305,25 +513,35 @@ def score_documents(docs: DataFrame, training: DataFrame, rounds: int = ROUNDS)
     ``n_tokens``, ``n_known`` (tokens seen in training),
     ``train_tokens``, ``base_score`` (unigrams with 0.1 added to every count) and ``score``: the
     sum over tokens of a class's probability after the class before it, and of the token's
-    share of its class. Transitions are smoothed by the classes' own shares; the class of words
-    outside the most frequent ones has room for a word never seen. Perplexity is
+    share of its class. Transitions are smoothed by the classes' own shares; each class has room
+    for a word never seen, whose probability is that of those rooms. Perplexity is
     ``10 ** (-score / n_tokens)``. Without training texts no token is known, the base is 0 and
     all classes are alike. Rows may repeat, an empty table gives no rows.
 
-    All training texts count. What tasks hold (the head of the vocabulary, classes and their
-    pairs) has a fixed size; the counts of other words reach the texts by a join.
+    All training texts count and every word of theirs has a class. What tasks hold (the head of
+    the vocabulary, classes and their pairs) has a fixed size; the counts and classes of other
+    words reach the texts by joins.
     """
     learned = training.select(text_bytes().alias("text"))
     vocabulary = stored(count_tokens(learned), "vocabulary")
     sizes = vocabulary.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("types")).first()
     tokens, types = sizes["tokens"] or 0, sizes["types"]
     ranked = vocabulary.filter(F.length("token") > 0).orderBy(F.desc("n"), "token")
-    top = ranked.limit(HELD_WORDS).toArrow()
-    head = list(zip(top.column("token").to_pylist(), top.column("n").to_pylist()))
-    numbers = {word: i for i, (word, _) in enumerate(head[:CLUSTERED])}
+    top = ranked.limit(CLUSTERED).toArrow()
+    first = list(zip(top.column("token").to_pylist(), top.column("n").to_pylist()))
+    numbers = {word: i for i, (word, _) in enumerate(first)}
     pairs = stored(count_pairs(learned, numbers), "pairs")
     classes = exchange_classes(pairs, len(numbers), rounds)
-    scorer = Scorer(head, classes, class_matrix(pairs, classes), tokens, types)
+    contexts = count_contexts(learned, numbers, classes)
+    words = stored(place_words(contexts, class_matrix(pairs, classes)), "words")
+    more = words.orderBy(F.desc("n"), "token").limit(max(HELD_WORDS - CLUSTERED, 0)).toArrow()
+    head = [(word, n, int(classes[i])) for i, (word, n) in enumerate(first)]
+    held = Held([*head, *zip(*(more.column(c).to_pylist() for c in ("token", "n", "class")))])
+    matrix = full_matrix(learned, held, words)
+    class_types = np.bincount(classes[: len(first)], minlength=len(matrix)).astype(float)
+    for row in words.groupBy("class").agg(F.count(F.lit(1)).alias("types")).collect():
+        class_types[row["class"]] += row["types"]
+    scorer = Scorer(held, matrix, class_types, tokens, types)
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
     stay = others(docs.columns, "text", *SCORES)
     kept = {f"kept{i}": docs.schema[c] for i, c in enumerate(stay)}
@@ -333,18 +551,34 @@ def score_documents(docs: DataFrame, training: DataFrame, rounds: int = ROUNDS)
         text_bytes().alias("text"),
         *[F.col(field.name).alias(name) for name, field in kept.items()],
     )
-    schema = "row long, token binary, n long, tokens long, known long, base double, model double"
+    schema = PART_SCHEMA
     schema += "".join(f", {name} {field.dataType.simpleString()}" for name, field in kept.items())
     parts = rows.mapInArrow(partial(_scored, scorer=shared), schema)
-    seen = F.coalesce("c", F.lit(0)) + DELTA
+
+    @F.pandas_udf("double")
+    def weigh(single: pd.Series, before: pd.Series, after: pd.Series, own: pd.Series,
+              following: pd.Series, n: pd.Series) -> pd.Series:
+        arrays = (x.to_numpy() for x in (single, before, after, own, following, n))
+        return pd.Series(shared.value.weigh(*arrays))
+
+    table = words.select("token", F.col("n").alias("c"), F.col("class").alias("own"))
+    follows = words.select(F.col("token").alias("next"), F.col("class").alias("following"))
+    seen = F.coalesce("c", F.lit(0))
+    single = F.when(F.col("single"), F.col("n")).otherwise(0)
+    unseen = F.lit(RARE_CLASS)
+    weight = weigh(
+        "single", "before", "after", F.coalesce("own", unseen), F.coalesce("following", unseen), seen
+    )
     sums = (
-        parts.join(vocabulary.withColumnRenamed("n", "c"), "token", "left")
+        parts.join(table, "token", "left")
+        .join(follows, "next", "left")
+        .withColumn("weight", F.col("n") * weight)
         .groupBy("row")
         .agg(
             F.sum("tokens").alias("n_tokens"),
-            F.sum(F.col("known") + F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("n_known"),
-            F.sum(F.col("base") + F.col("n") * F.log10(seen / scorer.base_scale)).alias("base_score"),
-            F.sum(F.col("model") + F.col("n") * F.log10(seen / scorer.rare_scale)).alias("score"),
+            F.sum(F.col("known") + F.when(seen > 0, single).otherwise(0)).alias("n_known"),
+            F.sum(F.col("base") + single * F.log10((seen + DELTA) / scorer.base_scale)).alias("base_score"),
+            F.sum(F.col("model") + F.col("weight")).alias("score"),
             *[F.first(name, ignorenulls=True).alias(name) for name in kept],
         )
     )

@@ -162,14 +162,99 @@ def check_scores(rows, texts, learned):
         assert math.isfinite(row.score) and row.score < 0
 
 
+def plain_scores(texts, learned, classes):
+    """Class bigrams over words given by class; None is a word never seen."""
+    size, rare, end = class_lm.END_CLASS + 1, class_lm.RARE_CLASS, class_lm.END_CLASS
+    tokens = [t.encode().lower().split() for t in texts]
+    matrix, counts, types = np.zeros((size, size)), Counter(), Counter(classes.values())
+    for words, on in zip(tokens, learned):
+        if on:
+            counts.update(words)
+            row = [end, *[classes[w] for w in words], end]
+            for pair in zip(row, row[1:]):
+                matrix[pair] += 1
+    sums = matrix.sum(axis=0)
+    share = np.array([0 if c == rare else sums[c] + 1 for c in range(size)])
+    share = share / share.sum()
+    go = (matrix + size * share) / (matrix.sum(axis=1, keepdims=True) + size)
+    scale = [sums[c] + 0.1 * (types[c] + 1) for c in range(class_lm.CLASSES)]
+    out = []
+    for words in tokens:
+        total, last = 0.0, end
+        for w in words:
+            c = classes.get(w, rare)
+            p = sum(go[last, k] * 0.1 / scale[k] for k in range(class_lm.CLASSES)) if c == rare else (
+                go[last, c] * (counts[w] + 0.1) / scale[c])
+            total, last = total + math.log10(p), c
+        out.append(total + math.log10(go[last, end]))
+    for last in range(size):
+        words = sum(go[last, classes[w]] * (n + 0.1) / scale[classes[w]] for w, n in counts.items())
+        unseen = sum(go[last, k] * 0.1 / scale[k] for k in range(class_lm.CLASSES))
+        assert math.isclose(words + unseen + go[last, end], 1, rel_tol=1e-9)
+    return out
+
+
+def few_words(monkeypatch, clustered, held):
+    monkeypatch.setattr(class_lm, "CLUSTERED", clustered)
+    monkeypatch.setattr(class_lm, "RARE_WORD", clustered)
+    monkeypatch.setattr(class_lm, "END_WORD", clustered + 1)
+    monkeypatch.setattr(class_lm, "HELD_WORDS", held)
+
+
+@pytest.mark.parametrize("clustered, held", [(8192, 1 << 18), (20, 40), (20, 20)])
+def test_scores_match_brute_force(spark, monkeypatch, clustered, held):
+    """Scores are those of one class bigram model, whichever words the tasks hold."""
+    few_words(monkeypatch, clustered, held)
+    placed = {}
+    begin, keep = class_lm.Held.__init__, class_lm.stored
+
+    def watched(self, head):
+        placed["head"] = head
+        begin(self, head)
+
+    def kept(df, name="table"):
+        placed[name] = keep(df, name)
+        return placed[name]
+
+    monkeypatch.setattr(class_lm.Held, "__init__", watched)
+    monkeypatch.setattr(class_lm, "stored", kept)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, 60) % 400) for _ in range(60)]
+    texts += ["", "w3", "tail tail tail Tail w1 tail", "new words only", "w1 new w2 newer newest tail"]
+    learned = [True] * 63 + [False] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = class_lm.score_documents(docs, docs.filter("doc_id < 63")).collect()
+    classes = {bytes(r.token): r["class"] for r in placed["words"].collect()}
+    for word, _, c in placed["head"]:
+        assert classes.setdefault(word, c) == c
+    assert set(classes.values()) <= set(range(class_lm.CLASSES))
+    assert len(placed["head"]) == min(held, len(classes))
+    rows = sorted(rows, key=lambda r: r.doc_id)
+    for row, expected in zip(rows, plain_scores(texts, learned, classes)):
+        assert math.isclose(row.score, expected, rel_tol=1e-9, abs_tol=1e-9)
+    check_scores(rows, texts, learned)
+
+
+def test_tail_words_join_the_class_of_most_gain():
+    rng = np.random.default_rng(3)
+    size, rare = class_lm.END_CLASS + 1, class_lm.RARE_CLASS
+    matrix = rng.poisson(300, size=(size, size)).astype(float)
+    left, right = rng.poisson(0.05, size=(2, 200, size)).astype(float)
+    same = rng.poisson(0.3, size=200).astype(float)
+    gains = class_lm.join_gains(matrix, left, right, same)
+    for i in range(200):
+        before, after = left[i].copy(), right[i].copy()
+        before[rare] += same[i]
+        after[rare] += same[i]
+        best, _ = class_lm.best_class(matrix, rare, before, after, same[i])
+        assert math.isclose(gains[i].max(), gains[i][best], abs_tol=1e-6)
+
+
 @pytest.mark.parametrize("held, clustered", [(1 << 18, 8192), (40, 20)])
 def test_scores_of_the_query(spark, monkeypatch, held, clustered):
-    monkeypatch.setattr(class_lm, "HELD_WORDS", held)
+    few_words(monkeypatch, clustered, held)
     docs = sorted(spark.read.parquet(f"{SMALL}/documents.parquet").collect(), key=lambda r: r.doc_id)
-    if clustered != 8192:
-        docs = None
     rows = sorted(op7_class_lm(spark, SMALL).collect(), key=lambda r: r.doc_id)
-    docs = docs or sorted(spark.read.parquet(f"{SMALL}/documents.parquet").collect(), key=lambda r: r.doc_id)
     learned = [zlib.crc32(str(r.doc_id).encode()) % 10 != 0 for r in docs]
     assert [r.held_out for r in rows] == [not on for on in learned]
     check_scores(rows, [r.text for r in docs], learned)
@@ -177,22 +262,6 @@ def test_scores_of_the_query(spark, monkeypatch, held, clustered):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
-def test_class_probabilities_add_up(spark):
-    """After any class, all known words, the end and one word never seen share everything."""
-    texts = [("a b a c",), ("b b d",), (None,), ("E f",)]
-    frame = spark.createDataFrame(texts, "text string").select(class_lm.text_bytes().alias("text"))
-    counts = {bytes(r.token): r.n for r in class_lm.count_tokens(frame).collect()}
-    head = sorted(((w, n) for w, n in counts.items() if w), key=lambda x: (-x[1], x[0]))
-    numbers = {w: i for i, (w, _) in enumerate(head[:4])}
-    pairs = class_lm.count_pairs(frame, numbers)
-    classes = class_lm.exchange_classes(pairs, 4)
-    matrix = class_lm.class_matrix(pairs, classes)
-    scorer = class_lm.Scorer(head, classes, matrix, sum(counts.values()), len(counts))
-    if len(head) > 4:  # all words have classes of their own here; the rare class is the unseen word's
-        scorer = class_lm.Scorer(head[:4], classes, matrix, sum(counts.values()), len(counts))
-    assert np.allclose((10**scorer.transition).sum(axis=1), 1)
-
-
 def test_rows_of_any_shape(spark):
     rows = [(1, None, "k"), (None, "a b", None), (1, None, "k"), (2, " \n", "k"), (3, "a " * 20_000, "k")]
     docs = spark.createDataFrame(rows, "token long, text string, row string")
