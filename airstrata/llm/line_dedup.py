@@ -183,9 +183,9 @@ def dedup_lines(
     shared = stored(shared, "shared-lines")
     runs.forget()
     goes = F.col("last_doc").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("last_doc"))
-    names_used = [*docs.columns, *names]
-    id_name, digest_name, gone_name, kept_name = unused(
-        names_used, "dropped_id", "dropped_digest", "dropped", "kept"
+    id_name, digest_name, gone_name, kept_name, text_name, lines_name, less_name = unused(
+        [*docs.columns, *names],
+        "dropped_id", "dropped_digest", "dropped", "kept", "kept_text", "all_lines", "fewer_lines",
     )
     # A common line stands in many documents: its rows are dealt into pieces before the shuffle.
     shared = shared.withColumnsRenamed({name: f"shared_{name}" for name in HASH})
@@ -204,11 +204,18 @@ def dedup_lines(
     places = F.array_except(F.sequence(F.lit(0), F.size(rows) - 1), F.col(gone_name))
     some = F.flatten(F.transform(F.array(rows), lambda r: F.transform(places, lambda i: F.get(r, i))))
     kept = F.when(F.col(gone_name).isNull(), rows).otherwise(some)
-    return joined.withColumn(kept_name, kept).select(
-        *[
-            F.array_join(kept_name, "\n").alias("text") if c == "text" else docs[c]
-            for c in others(docs.columns, *names)
-        ],
-        F.size(rows).cast("long").alias(names[0]),
-        (F.size(rows) - F.size(kept_name)).cast("long").alias(names[1]),
+    told = F.struct(
+        F.array_join(kept_name, "\n").alias(text_name),
+        F.size(rows).cast("long").alias(lines_name),
+        (F.size(rows) - F.size(kept_name)).cast("long").alias(less_name),
+    )
+    stay = others(docs.columns, *names)
+    # A generator keeps the optimizer from copying this work into later filters and functions.
+    done = joined.withColumn(kept_name, kept).select(
+        *[docs[c] for c in stay if c != "text"], F.inline(F.array(told))
+    )
+    return done.select(
+        *[F.col(text_name).alias("text") if c == "text" else done[c] for c in stay],
+        F.col(lines_name).alias(names[0]),
+        F.col(less_name).alias(names[1]),
     )
