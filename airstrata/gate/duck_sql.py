@@ -394,6 +394,22 @@ select day,
        case when n_complete > n_hours and (day(day) % 3 = 0 or day(day) % 2 = 0) then 2 else 1 end::bigint
          as n_checksums
 from days""",
+    "q_split_documents": """
+with days as (
+  select cast(ts as date) as day, count(*) as n, arg_min(ts, event_id) as first_ts,
+         day(day) % 5 <> 0 as ended
+  from events group by 1),
+by_station as (
+  select cast(ts as date) as day, concat('S', user_id % 10) as station, count(*) as n_records,
+         count(distinct event_type) as n_kinds, sum(cast(floor(value) as bigint))::bigint as total_avg
+  from events group by 1, 2)
+select 'day-' || d.day || '.txt' as _stg_file_name,
+       case when ended then date_trunc('second', first_ts)::timestamp end as index_record_ts,
+       case when ended then n else 0 end::bigint as record_count,
+       ended as was_split,
+       case when not ended then 'malformed JSON' end as reject_reason,
+       station, n_records, n_kinds, total_avg
+from days d left join by_station s on d.day = s.day and ended""",
     "q_odd_documents": f"""
 with {DOCUMENTS},
 judged as (select *, event_id % 8 in (0, 1, 2, 3, 6) as spoiled from documents_)

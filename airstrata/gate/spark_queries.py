@@ -47,6 +47,7 @@ from airstrata.schemas import (
 from airstrata.session import ensure_checkpoint_dir, stored
 from airstrata.sources.documents import file_inventory, parse_documents, with_row_ids
 from airstrata.sources.lake import Lake
+from airstrata.sources.split import split_documents
 from airstrata.streaming import load_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -575,11 +576,17 @@ def q_lake_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted.unionByName(refused)
 
 
-def _place_days(spark: SparkSession, days: DataFrame, folder: str, prefix: str) -> None:
-    """Write ``(day, value)`` as one file a day, named by the day, over what bears that name."""
+def _place_days(
+    spark: SparkSession, days: DataFrame, folder: str, prefix: str, spread: bool = True
+) -> None:
+    """Write ``(day, value)`` as one file a day, named by the day, over what bears that name.
+
+    Without ``spread`` each day's rows are in one partition already, in their order.
+    """
     jvm = spark.sparkContext._jvm
     staged = f"{folder}-{uuid.uuid4().hex}"
-    days.repartition("day").write.partitionBy("day").text(staged)
+    placed = days.repartition("day") if spread else days
+    placed.write.partitionBy("day").text(staged)
     path = jvm.org.apache.hadoop.fs.Path
     files = path(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.mkdirs(path(folder))
@@ -646,6 +653,54 @@ def q_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _day_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """One file a day that is one document of all the day's events, a record a line.
+
+    The lines are sorted and written as they are, so no row holds a document. The file of every
+    fifth day lacks its end.
+    """
+    day = "cast(ts as date)"
+    events = table(spark, sf_dir, "events")
+    days = events.groupBy(F.expr(day).alias("day")).agg(
+        F.min("event_id").alias("first_id"), F.count(F.lit(1)).alias("n")
+    )
+    start = days.selectExpr(
+        "day", "-1L as place",
+        """concat('{"total": ', n, ', "version": "1.0", "records": [') as line""",
+    )
+    end = days.filter(F.dayofmonth("day") % 5 != 0).selectExpr(
+        "day", f"{(1 << 63) - 1}L as place", "']}' as line"
+    )
+    record = f"""struct(
+        'WORLD' as country, concat('S', user_id % 10) as station, event_type as pollutant_id,
+        cast(floor(value) as string) as pollutant_avg, {last_update("ts")} as last_update)"""
+    records = events.withColumn("day", F.expr(day)).join(days, "day").selectExpr(
+        "day", "event_id as place",
+        f"concat(if(event_id = first_id, '', ', '), to_json({record})) as line",
+    )
+    lines = start.unionByName(records).unionByName(end).repartition("day")
+    lines = lines.sortWithinPartitions("day", "place").select("day", "line")
+    _place_days(spark, lines, folder, "day", spread=False)
+
+
+def q_split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by file and station, from documents of a whole day that are cut at their records.
+
+    A file without its end is refused, whole.
+    """
+    landing = f"{ensure_checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
+    _day_files(spark, sf_dir, landing)
+    found, records = split_documents(spark, landing)
+    by_station = records.groupBy("_stg_file_name", "station").agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.count_distinct("pollutant_id").alias("n_kinds"),
+        F.sum(F.col("pollutant_avg").cast("long")).alias("total_avg"),
+    )
+    return found.select(
+        "_stg_file_name", "index_record_ts", "record_count", "was_split", "reject_reason"
+    ).join(by_station, "_stg_file_name", "left")
+
+
 def q_odd_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents spoiled in several ways; one rule accepts or refuses them at every size."""
     text = F.col("value")

@@ -63,7 +63,7 @@ def landed_files(
     start = len(landing_root(spark, path)) + 2
     return found.select(
         F.expr(f"substr(path, {start})").alias("_stg_file_name"),
-        _zoneless(F.col("modificationTime"), T.TimestampType()).alias("_stg_file_load_ts"),
+        zoneless(F.col("modificationTime")).alias("_stg_file_load_ts"),
         F.col("length").alias("_stg_file_length"),
     )
 
@@ -92,21 +92,35 @@ def read_documents(
     ``landing_root``. ``modified_after`` drops older files while listing, before anything is
     read; ``files`` names those to read, and nothing else is listed or opened.
     """
-    reader = spark.read
+    text = file_text(
+        spark, path, recursive, modified_after, files, wholetext=str(not line_delimited).lower()
+    )
+    return text.select("value", "file_name", "file_modification_time")
+
+
+def file_text(
+    spark: SparkSession,
+    path: str,
+    recursive: bool = False,
+    modified_after: str | None = None,
+    files: Sequence[str] | None = None,
+    **options: str,
+) -> DataFrame:
+    """Texts of files as the text source's ``options`` cut them, with name and time of the file.
+
+    The metadata of the source can be selected as well.
+    """
+    reader = spark.read.format("text").options(**options)
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
     root = landing_root(spark, path)
     chosen = path if files is None else [escaped(f"{root}/{name}") for name in files]
-    return (
-        reader.format("text")
-        .option("wholetext", not line_delimited)
-        .option("recursiveFileLookup", recursive)
-        .load(chosen)
-        .select(
-            "value",
-            _name_below(root).alias("file_name"),
-            F.col("_metadata.file_modification_time").alias("file_modification_time"),
-        )
+    found = reader.option("recursiveFileLookup", recursive).load(chosen)
+    return found.select(
+        "value",
+        _name_below(root).alias("file_name"),
+        F.col("_metadata.file_modification_time").alias("file_modification_time"),
+        "_metadata",
     )
 
 
@@ -118,13 +132,17 @@ def file_checksums(documents: DataFrame) -> DataFrame:
     tasks. The value changes with any line, also with how often it stands there, but not with the
     order of the lines, which are documents of their own.
     """
-    digest = F.md5("value")
+    return documents.groupBy("file_name").agg(lines_md5("value").alias("file_md5"))
+
+
+def lines_md5(text: str) -> Column:
+    """Aggregate of the texts of a file that does not depend on their order."""
+    digest = F.md5(text)
     parts = [
         F.sum(F.conv(F.substring(digest, at, 8), 16, 10).cast("long")).cast("string")
         for at in (1, 9, 17, 25)
     ]
-    merged = F.concat_ws(",", F.count(F.lit(1)).cast("string"), *parts)
-    return documents.groupBy("file_name").agg(F.md5(merged).alias("file_md5"))
+    return F.md5(F.concat_ws(",", F.count(F.lit(1)).cast("string"), *parts))
 
 
 def with_file_checksums(documents: DataFrame) -> DataFrame:
@@ -133,7 +151,7 @@ def with_file_checksums(documents: DataFrame) -> DataFrame:
     return documents.join(sums, "file_name")
 
 
-def _zoneless(time: Column, dtype: T.DataType) -> Column:
+def zoneless(time: Column, dtype: T.DataType = T.TimestampType()) -> Column:
     """An instant as its UTC wall clock; zone-less times stay."""
     if isinstance(dtype, T.TimestampNTZType):
         return time
@@ -142,6 +160,16 @@ def _zoneless(time: Column, dtype: T.DataType) -> Column:
     )
 
 
+def reject_reason(time: str, version: str, total: str, count: str) -> Column:
+    """Why a well-formed document breaks the bronze constraints; NULL if it satisfies them."""
+    bad_total = F.col(count).isNull() & F.col(total).isNotNull()
+    return (
+        F.when(F.col(time).isNull(), "no readable last_update in the first record")
+        .when(F.col(version).isNull(), "no version")
+        .when(bad_total, "total is no whole number")
+    )
+
+
 def parse_documents(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Bronze columns of each document, plus ``records``, ``document_md5``, ``value``,
     ``reject_reason`` and ``carry``.
@@ -177,20 +205,16 @@ def parse_documents(documents: DataFrame, carry: Sequence[str] = ()) -> DataFram
         "value",
         F.inline(F.transform(F.array(F.from_json(alone, DOCUMENT, STRICT_JSON)), values)),
         F.col("file_name").alias("_stg_file_name"),
-        _zoneless(F.col("file_modification_time"), loaded).alias("_stg_file_load_ts"),
+        zoneless(F.col("file_modification_time"), loaded).alias("_stg_file_load_ts"),
         (F.col("file_md5") if "file_md5" in documents.columns else F.md5("value")).alias(
             "_stg_file_md5"
         ),
         F.md5("value").alias("document_md5"),
-        _zoneless(F.current_timestamp(), T.TimestampType()).alias("_copy_data_ts"),
+        zoneless(F.current_timestamp()).alias("_copy_data_ts"),
         *carry,
     )
-    bad_total = F.col("_count").isNull() & F.col("_total").isNotNull()
-    reason = (
-        F.when(~F.col("_whole"), "malformed JSON")
-        .when(F.col("index_record_ts").isNull(), "no readable last_update in the first record")
-        .when(F.col("json_version").isNull(), "no version")
-        .when(bad_total, "total is no whole number")
+    reason = F.when(~F.col("_whole"), "malformed JSON").otherwise(
+        reject_reason("index_record_ts", "json_version", "_total", "_count")
     )
     return parsed.select(
         "value",

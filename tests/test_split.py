@@ -1,0 +1,176 @@
+"""One document read by many tasks: the same rows as when it is parsed in one."""
+
+from __future__ import annotations
+
+import gzip
+import json
+import os
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from airstrata.schemas import AUDIT_COLUMNS, RECORD_FIELDS
+from airstrata.sources import parse_documents, read_documents, split_documents
+from airstrata.sources import split as split_module
+
+CHECKED = ("index_record_ts", "record_count", "json_version", "_stg_file_name", "reject_reason")
+RECORD_COLUMNS = ("index_record_ts", *RECORD_FIELDS, "_stg_file_name", "_stg_file_load_ts")
+
+
+def record(i, **extra):
+    fields = {name: f"{name} {i % 7}" for name in RECORD_FIELDS}
+    return {**fields, "latitude": i / 4, "last_update": "01-03-2024 10:00:00", **extra}
+
+
+def document(n, first=None, **extra):
+    records = [record(i) for i in range(n)]
+    if first is not None:
+        records[0] = first
+    return {"total": n, "version": "1.0", "records": records, **extra}
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Blocks of 16 KiB, one a task, so that small files are cut as large ones are."""
+    names = {"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "16k"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def landed(folder, **files):
+    os.makedirs(folder, exist_ok=True)
+    for name, content in files.items():
+        text = content if isinstance(content, str) else json.dumps(content)
+        with open(os.path.join(folder, f"{name}.json"), "w", newline="") as out:
+            out.write(text)
+    return str(folder)
+
+
+def whole(spark, path):
+    """What parsing each file in one row gives."""
+    parsed = parse_documents(read_documents(spark, path))
+    flat = parsed.filter("reject_reason is null").select(
+        "index_record_ts", *AUDIT_COLUMNS, F.inline("records")
+    )
+    return parsed, flat
+
+
+def same(spark, path):
+    documents, records = split_documents(spark, path)
+    expected_documents, expected_records = whole(spark, path)
+    assert Counter(documents.select(*CHECKED).collect()) == Counter(
+        expected_documents.select(*CHECKED).collect()
+    )
+    assert Counter(records.select(*RECORD_COLUMNS).collect()) == Counter(
+        expected_records.select(*RECORD_COLUMNS).collect()
+    )
+    return {r["_stg_file_name"]: r["was_split"] for r in documents.collect()}
+
+
+def test_a_document_goes_to_many_tasks(spark, tmp_path, small_splits):
+    path = landed(tmp_path / "in", day=document(2000), pretty=json.dumps(document(900), indent=2))
+    assert same(spark, path) == {"day.json": True, "pretty.json": True}
+    records = split_documents(spark, path).records
+    sizes = [
+        row["count"]
+        for row in records.filter("_stg_file_name = 'day.json'")
+        .groupBy(F.spark_partition_id())
+        .count()
+        .collect()
+    ]
+    assert len(sizes) > 10 and sum(sizes) == 2000 and max(sizes) < 400
+
+
+def test_keys_before_and_behind_the_records(spark, tmp_path, small_splits):
+    odd = document(300)
+    text = json.dumps({"records": odd["records"], "version": "2", "total": "7"})
+    path = landed(
+        tmp_path / "in",
+        behind=text,
+        spaced="\n\t" + json.dumps(document(300, source="a, [b]")) + " \r\n\n",
+        texts=document(300, first=record(0, station='a "quoted" { brace, \\ and é\U0001f600')),
+        empty_record=json.dumps(document(300)).replace("[{", "[{},{", 1),
+        null_count=document(300) | {"total": None},
+    )
+    assert set(same(spark, path).values()) == {True}
+
+
+@pytest.mark.parametrize(
+    "name, text",
+    {
+        "brace": json.dumps(document(200, first=record(0, station="closing } in a text"))),
+        "nested": json.dumps(document(200, first=record(0, city={"a": 1}))),
+        "field_list": json.dumps({"field": [{"a": 1}, {"a": 2}], **document(200)}),
+        "meta": json.dumps(document(200, meta={"a": 1})),
+        "no_records": json.dumps(document(0)),
+        "null_record": json.dumps(document(200)).replace("[{", "[null,{", 1),
+        "number_record": json.dumps(document(200)).replace("}, {", "}, 5, {", 1),
+        "again": json.dumps(document(200))[:-1] + ', "records": []}',
+        "again_escaped": json.dumps(document(200))[:-1] + ', "\\u0072ecords": []}',
+        "again_before": json.dumps(document(200)).replace("{", '{"records": [],', 1),
+        "cut_record": json.dumps(document(200))[:-300],
+        "no_last_brace": json.dumps(document(200))[:-1],
+        "no_end": json.dumps(document(200))[:-2],
+        "extra_brace": json.dumps(document(200)) + "}",
+        "spaced_extra_brace": json.dumps(document(200)) + " }",
+        "tail": json.dumps(document(200)) + " tail",
+        "twice": json.dumps(document(200)) * 2,
+        "listed": json.dumps([document(200)]),
+        "comma": json.dumps(document(200)).replace("}, {", "},, {", 1),
+        "no_comma": json.dumps(document(200)).replace("}, {", "} {", 1),
+        "comma_first": json.dumps(document(200)).replace("[{", "[,{", 1),
+        "comma_last": json.dumps(document(200)).replace("}]", "},]", 1),
+        "comma_end": json.dumps(document(200))[:-1] + ",}",
+        "single_quotes": json.dumps(document(200)).replace('"', "'"),
+        "form_feed": json.dumps(document(200)).replace("}, {", "}\f, {", 1),
+        "bad_time": json.dumps(document(200, first=record(0, last_update="soon"))),
+        "no_version": json.dumps(document(200) | {"version": None}),
+        "bad_total": json.dumps(document(200) | {"total": "many"}),
+        "only_text": "no document",
+        "only_brace": "}",
+        "blank": " \n",
+        "empty": "",
+    }.items(),
+)
+def test_odd_documents_fare_as_in_one_row(spark, tmp_path, small_splits, name, text):
+    path = landed(tmp_path / "in", **{name: text, "good": document(30)})
+    assert same(spark, path)["good.json"]
+
+
+def test_compressed_files_are_read_whole(spark, tmp_path):
+    path = landed(tmp_path / "in", good=document(30))
+    with gzip.open(os.path.join(path, "packed.json.gz"), "wt") as out:
+        out.write(json.dumps(document(50)))
+    assert same(spark, path) == {"good.json": True, "packed.json.gz": False}
+
+
+def test_no_files(spark, tmp_path):
+    path = landed(tmp_path / "in")
+    documents, records = split_documents(spark, path)
+    assert documents.count() == records.count() == 0
+
+
+def test_what_no_row_holds_is_refused_with_a_reason(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(split_module, "ROW_LIMIT", 4000)
+    nested = document(200, first=record(0, city={"a": 1}))
+    path = landed(tmp_path / "in", good=document(200), nested=nested)
+    documents, records = split_documents(spark, path)
+    reasons = {r["_stg_file_name"]: r["reject_reason"] for r in documents.collect()}
+    assert reasons == {"good.json": None, "nested.json": split_module.TOO_LARGE}
+    assert records.count() == 200
+
+
+def test_the_checksum_follows_the_content(spark, tmp_path):
+    def checksum(name, content):
+        path = landed(tmp_path / name, day=content)
+        return split_documents(spark, path).documents.first()["_stg_file_md5"]
+
+    first = checksum("a", document(40))
+    assert first == checksum("b", document(40))
+    assert first != checksum("c", document(41))
+    assert first != checksum("d", document(40, first=record(0, pollutant_avg="8")))
