@@ -410,6 +410,17 @@ select 'day-' || d.day || '.txt' as _stg_file_name,
        case when not ended then 'malformed JSON' end as reject_reason,
        station, n_records, n_kinds, total_avg
 from days d left join by_station s on d.day = s.day and ended""",
+    "q_inserted_documents": f"""
+with {READINGS},
+hours as (
+  select index_record_ts, count(*) as n, dayofyear(index_record_ts) % 3 = 0 as timeless
+  from readings group by 1)
+select case when not timeless then cast(index_record_ts as date) end as day,
+       case when timeless then 7 else 0 end::bigint as record_count,
+       case when timeless then '2.0' else '1.0' end as json_version,
+       case when timeless then 'no index_record_ts' end as reject_reason,
+       count(*) as n_documents, sum(n)::bigint as n_records, count(*) as n_dated
+from hours group by all""",
     "q_odd_documents": f"""
 with {DOCUMENTS},
 judged as (select *, event_id % 8 in (0, 1, 2, 3, 6) as spoiled from documents_)

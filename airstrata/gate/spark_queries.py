@@ -48,7 +48,7 @@ from airstrata.session import ensure_checkpoint_dir, stored
 from airstrata.sources.documents import file_inventory, parse_documents, with_row_ids
 from airstrata.sources.lake import Lake
 from airstrata.sources.split import split_documents
-from airstrata.streaming import load_batch
+from airstrata.streaming import load_batch, load_inserted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -701,6 +701,42 @@ def q_split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).join(by_station, "_stg_file_name", "left")
 
 
+def q_inserted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that SQL inserts: defaults fill what is left out, and a missing time refuses.
+
+    Every third hour comes without a time, by name; the others without a count, in a second
+    insert. The take-over runs twice and finds nothing the second time.
+    """
+    root = f"{ensure_checkpoint_dir(spark)}/lake-{uuid.uuid4().hex}"
+    lake = Lake(spark, f"{root}/tables")
+    lake.create("landed_documents", "landed_files", "loads")
+    name = f"inserts_{uuid.uuid4().hex}"
+    lake.register_inserts(name)
+    hours = stored(_landed_hours(spark, sf_dir), "hours")
+    timeless = F.dayofyear("index_record_ts") % 3 == 0
+    columns = "json_data, json_version"
+    spark.sql(
+        f"INSERT INTO {name} ({columns}, record_count) "
+        "SELECT parse_json(value), '2.0', 7 FROM {hours}", hours=hours.filter(timeless),
+    )
+    spark.sql(
+        f"INSERT INTO {name} (index_record_ts, {columns}) "
+        "SELECT index_record_ts, parse_json(value), '1.0' FROM {hours}", hours=hours.filter(~timeless),
+    )
+    spark.sql(f"DROP TABLE {name}")
+    load_inserted(lake, refresh=False)
+    if load_inserted(lake, refresh=False):
+        raise AssertionError("rows were taken over twice")
+    landed = lake.read("landed_documents")
+    return landed.groupBy(
+        F.to_date("index_record_ts").alias("day"), "record_count", "json_version", "reject_reason"
+    ).agg(
+        F.count(F.lit(1)).alias("n_documents"),
+        F.sum(F.size("records")).alias("n_records"),
+        F.count("_copy_data_ts").alias("n_dated"),
+    )
+
+
 def q_odd_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents spoiled in several ways; one rule accepts or refuses them at every size."""
     text = F.col("value")

@@ -102,6 +102,24 @@ LANDED = T.StructType(
     ]
 )
 
+# What SQL users insert into, and what Spark fills in where an insert leaves a column out. NOT
+# NULL is checked when rows are taken over, since parquet tables accept NULL.
+INSERTS = _struct(
+    ("index_record_ts", T.TimestampNTZType()),
+    ("json_data", T.VariantType()),
+    ("record_count", T.LongType()),
+    ("json_version", T.StringType()),
+    ("_stg_file_name", T.StringType()),
+    ("_stg_file_load_ts", T.TimestampType()),
+    ("_stg_file_md5", T.StringType()),
+    ("_copy_data_ts", T.TimestampType()),
+)
+INSERT_DEFAULTS = {
+    "record_count": "0",
+    "_stg_file_load_ts": "current_timestamp()",
+    "_copy_data_ts": "current_timestamp()",
+}
+
 # Versions of the files that loads have read; what is listed here is not opened again.
 LANDED_FILES = _struct(
     ("_stg_file_name", T.StringType()),

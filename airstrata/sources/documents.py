@@ -230,6 +230,36 @@ def parse_documents(documents: DataFrame, carry: Sequence[str] = ()) -> DataFram
     )
 
 
+def inserted_documents(rows: DataFrame) -> DataFrame:
+    """Rows that SQL users inserted, in the columns of ``parse_documents``.
+
+    A row with NULL where bronze allows none is refused with a reason. Its records are those of
+    ``json_data``; a row without a file name bears the name of the file that the insert wrote.
+    """
+    text = F.to_json("json_data")
+    missing = [
+        F.when(F.col(name).isNull(), f"no {name}")
+        for name in ("index_record_ts", "json_data", "record_count", "json_version")
+    ]
+    own_name = F.concat(F.lit("insert/"), F.col("_metadata.file_name"))
+    return rows.select(
+        text.alias("value"),
+        "index_record_ts",
+        "json_data",
+        "record_count",
+        "json_version",
+        F.coalesce("_stg_file_name", own_name).alias("_stg_file_name"),
+        zoneless(F.coalesce("_stg_file_load_ts", "_metadata.file_modification_time")).alias(
+            "_stg_file_load_ts"
+        ),
+        F.coalesce("_stg_file_md5", F.md5(text)).alias("_stg_file_md5"),
+        zoneless(F.coalesce("_copy_data_ts", F.current_timestamp())).alias("_copy_data_ts"),
+        F.try_variant_get("json_data", "$.records", RECORDS.simpleString()).alias("records"),
+        F.md5(F.coalesce(text, F.lit(""))).alias("document_md5"),
+        F.coalesce(*missing).alias("reject_reason"),
+    )
+
+
 # Bits of a row id for the partition and for the row in it; the load number lies above them.
 PARTITION_BITS, ROW_BITS = 20, 22
 

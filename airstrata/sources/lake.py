@@ -79,6 +79,11 @@ class Lake:
     def path(self, name: str) -> str:
         return f"{self.root}/{TABLES[name].layer}/{name}"
 
+    @property
+    def inserts(self) -> str:
+        """Folder of ``bronze.raw_aqi_inserts``, what SQL users insert into."""
+        return f"{self.root}/bronze/raw_aqi_inserts"
+
     def create(self, *names: str) -> None:
         """Create the named tables empty (all by default), replacing what is there."""
         in_parallel(
@@ -175,7 +180,10 @@ class Lake:
             self.delete(f"{self.path('loads')}/load_number={number}")
 
     def register(self) -> None:
-        """Expose layers as schemas and tables as external tables to SQL users."""
+        """Expose layers as schemas and tables as external tables to SQL users.
+
+        Rows inserted into ``bronze.raw_aqi_inserts`` are taken over by ``load_inserted``.
+        """
         for layer in LAYERS:
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
         for name, table in TABLES.items():
@@ -191,6 +199,7 @@ class Lake:
             )
             if table.partitions:
                 self.spark.catalog.recoverPartitions(full)
+        self.register_inserts("bronze.raw_aqi_inserts")
         for name, columns, dated in (
             ("raw_aqi", schemas.RAW.names, "IS NOT NULL"),
             ("raw_aqi_rejects", ["value", "reject_reason", *schemas.AUDIT_COLUMNS], "IS NULL"),
@@ -200,6 +209,16 @@ class Lake:
                 f"FROM bronze.landed_documents WHERE {DATE_PARTITION} {dated}"
             )
 
+    def register_inserts(self, name: str) -> None:
+        """The table that SQL users insert into, under a name of the session's catalog."""
+        columns = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}"
+            + (f" DEFAULT {default}" if (default := schemas.INSERT_DEFAULTS.get(f.name)) else "")
+            for f in schemas.INSERTS
+        )
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{self.inserts}'")
+
 
 def in_parallel(spark: SparkSession, job: Callable[[str], None], names: Iterable[str]) -> None:
     """Run a job for each name at once; each is small, and most of its time is not in tasks."""

@@ -12,9 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from airstrata.operators.dedup import not_yet_loaded
 from airstrata.operators.sizing import broadcast_if_small
-from airstrata.schemas import DATE_PARTITION, LANDED, LANDED_FILES
+from airstrata.schemas import DATE_PARTITION, INSERTS, LANDED, LANDED_FILES
 from airstrata.sources import listing
 from airstrata.sources.documents import (
+    escaped,
+    inserted_documents,
     landed_files,
     landing_root,
     parse_documents,
@@ -44,8 +46,12 @@ def load_documents(lake: Lake, documents: DataFrame, label: str) -> set[dt.date]
     stored without a date, as rejects, and with their text. Ids come from the number of the
     load, so no earlier one is read; dates and arrivals are observed by the write itself.
     """
+    return _load_parsed(lake, parse_documents(documents), label)
+
+
+def _load_parsed(lake: Lake, parsed: DataFrame, label: str) -> set[dt.date]:
     refused = F.col("reject_reason").isNotNull()
-    fresh = parse_documents(documents).withColumns(
+    fresh = parsed.withColumns(
         {
             DATE_PARTITION: F.when(~refused, F.to_date("index_record_ts")),
             "value": F.when(refused, F.col("value")),
@@ -114,6 +120,31 @@ def load_new_files(
     return dates
 
 
+def load_inserted(
+    lake: Lake, refresh: bool = True, max_files: int = FILES_PER_LOAD
+) -> set[dt.date]:
+    """Take over what SQL users inserted into ``bronze.raw_aqi_inserts`` since the last call.
+
+    Returns the touched dates. What is new is the files of inserts that no load has recorded,
+    so each row is taken once and an insert that runs meanwhile waits for the next call. Rows
+    that break a constraint of bronze go to the rejects with a reason. An inserted document
+    competes for its hour by its load time, as the file of that time would.
+    """
+    finish_compaction(lake)
+    cut = cut_loads(lake)
+    dates: set[dt.date] = set()
+    new = new_files(lake, lake.inserts).orderBy(*FILE_IDENTITY) if lake.exists(lake.inserts) else None
+    for files in batched(new.toLocalIterator() if new is not None else (), max_files):
+        paths = [escaped(f"{lake.inserts}/{row['_stg_file_name']}") for row in files]
+        rows = lake.spark.read.schema(INSERTS).parquet(*paths)
+        dates |= _load_parsed(lake, inserted_documents(rows), f"load-{uuid.uuid4().hex}")
+        lake.append("landed_files", lake.spark.createDataFrame(files, LANDED_FILES).coalesce(1))
+    close_cut_loads(lake, cut)
+    if refresh:
+        refresh_pending(lake)
+    return dates
+
+
 def load_batch(
     lake: Lake,
     landing: str,

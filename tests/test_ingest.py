@@ -20,6 +20,7 @@ from airstrata.streaming import (
     compact,
     freshness,
     load_batch,
+    load_inserted,
     refresh_all,
     refresh_dates,
     refresh_order,
@@ -797,3 +798,48 @@ def test_questions_for_sql_users_read_one_day(spark, landing, lake):
     top = spark.sql("SELECT * FROM top_cities_latest_day(1)")
     expected = consume.top_cities_latest_day(lake.dated("fact_city_agg_day_level"), 1)
     assert top.columns == expected.columns and top.collect() == expected.collect()
+
+
+def test_sql_inserts_get_defaults_and_are_refused_without_a_time(spark, landing, lake):
+    """Rows inserted by SQL users become documents of bronze, each once, and reach gold."""
+    lake.register()
+    text = json.dumps(document(record("A", "PM10", "50"), record("A", "CO", "5")))
+    insert = "insert into bronze.raw_aqi_inserts (json_data, json_version{}) values "
+    spark.sql(
+        insert.format(", index_record_ts")
+        + "(parse_json(:text), '1.0', timestamp_ntz'2024-03-01 10:00:00'), (parse_json(:text), '1.0', null)",
+        args={"text": text},
+    )
+    spark.sql(insert.format("") + "(parse_json(:text), '1.0')", args={"text": text})
+    spark.sql(
+        insert.format(", index_record_ts, record_count")
+        + "(null, '1.0', timestamp_ntz'2024-03-01 11:00:00', 4),"
+        "(parse_json(:text), null, timestamp_ntz'2024-03-01 11:00:00', 4),"
+        "(parse_json(:text), '1.0', timestamp_ntz'2024-03-01 11:00:00', null)",
+        args={"text": text},
+    )
+    assert load_inserted(lake) == {DAY}
+    assert load_inserted(lake) == set()
+    row, = lake.table("raw_aqi").collect()
+    assert (row["record_count"], row["json_version"]) == (0, "1.0")
+    assert row["_stg_file_name"].startswith("insert/part-")
+    assert row["_copy_data_ts"] is not None and row["_stg_file_load_ts"] is not None
+    reasons = sorted(r["reject_reason"] for r in lake.rejects().collect())
+    assert reasons == [
+        "no index_record_ts", "no index_record_ts", "no json_data", "no json_version", "no record_count",
+    ]
+    fact, = lake.table("fact_air_quality").collect()
+    assert (fact["pm10_avg"], fact["co_avg"]) == (50.0, 5.0)
+    # A later insert for the hour replaces its document.
+    late = json.dumps(document(record("A", "PM10", "70")))
+    spark.sql(
+        insert.format(", index_record_ts, _stg_file_load_ts")
+        + "(parse_json(:text), '1.0', timestamp_ntz'2024-03-01 10:00:00', timestamp'2999-01-01')",
+        args={"text": late},
+    )
+    assert load_inserted(lake) == {DAY}
+    assert [r["pm10_avg"] for r in lake.table("fact_air_quality").collect()] == [70.0]
+
+
+def test_nothing_was_inserted(lake):
+    assert load_inserted(lake) == set()
