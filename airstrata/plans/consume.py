@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -153,6 +154,17 @@ def staged_preview(parsed: DataFrame, n: int = 10) -> DataFrame:
     return parsed.drop("value", "reject_reason").limit(n)
 
 
+def foreign_rows(some: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``some`` whose keys ``known`` lacks.
+
+    ``some`` is small, and stored if its rows are any: it is read twice. Its keys go to the rows
+    of ``known``, which has any size and is neither broadcast nor shuffled whole.
+    """
+    keys = list(keys)
+    found = known.select(*keys).join(F.broadcast(some.select(*keys)), keys, "left_semi").distinct()
+    return some.join(F.broadcast(found), keys, "left_anti")
+
+
 def station_inspect(df: DataFrame, country: str, state: str, station: str) -> DataFrame:
     """Readings of a station, long or wide, with the hour of measurement in front."""
     chosen = df.filter(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import takewhile
 
 import pytest
 from conftest import SMALL
@@ -112,3 +113,22 @@ def test_a_question_about_one_day_bounds_the_scan(spark):
 def test_a_document_is_parsed_once_in_a_plan(spark, name):
     plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_the_preview_broadcasts_no_more_than_its_rows(spark):
+    """The driver holds the previewed keys, never those of all documents."""
+    keys = ["_stg_file_name", "_stg_file_md5"]
+    rows = [("a", "1"), ("a", "1"), ("b", "2"), ("c", None), ("x", "9"), ("a", "2")]
+    some = stored(spark.createDataFrame(rows, "_stg_file_name string, _stg_file_md5 string"))
+    known = spark.createDataFrame([*rows[:4], ("b", "2")], some.schema)
+    foreign = consume.foreign_rows(some, known, keys).collect()
+    assert sorted(map(tuple, foreign)) == [("a", "2"), ("c", None), ("x", "9")]
+
+    lines = planned(QUERIES["q_staged_preview"](spark, SMALL)).splitlines()
+    assert any("LeftAnti" in line for line in lines)
+    depth = [re.search(r"\w|$", line).start() for line in lines]
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = list(takewhile(lambda k: depth[k] > depth[i], range(i + 1, len(lines))))
+            whole = any("events.parquet" in lines[k] for k in below)
+            assert not whole or any("LeftSemi" in lines[k] for k in below)
