@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +23,9 @@ CLASSES = 64
 ROUNDS = 4
 # Words whose counts and classes every task holds; those of the others come by joins.
 HELD_WORDS = 1 << 18
-# Distinct words or word pairs that a task gathers before it hands their counts on.
-HELD_COUNTS = 400_000
-HELD_PAIRS = 1 << 22
+# Bytes of text that a task splits at once; pairs of words that it gathers before it hands them on.
+SPLIT_BYTES = 4 << 20
+HELD_PAIRS = 1 << 20
 # Added to every count, as in the unigram base; weight of the class unigram in transitions.
 DELTA = 0.1
 # The token at the end of a text; no word is empty.
@@ -35,37 +35,83 @@ RARE_WORD, END_WORD = CLUSTERED, CLUSTERED + 1
 # Beside a word: the same word; a word that the task doesn't hold.
 ITSELF, ELSEWHERE = END_CLASS + 1, -1
 CONTEXTS = ITSELF + 1
+# How two classes are written as one number, and the counts whose gains are tabulated.
+CONTEXT_TYPE = np.dtype("<i2")
+SMALL_COUNTS = 16
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Runs without ASCII blanks, A-Z lower-cased."""
-    return text.lower().split()
+def split_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """``(words, sequence, ends)`` of texts (bytes): runs without ASCII blanks, A-Z lower-cased.
 
-
-def _texts(incoming: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
+    ``words`` are distinct. ``sequence`` gives each token's place in ``words``, text after text;
+    an end, given by ``len(words)``, stands before the first text and after each, at ``ends``.
+    """
+    texts = texts.cast(pa.binary())
+    # The same bytes as text; ASCII functions look at single bytes, so any bytes will do.
+    plain = pa.Array.from_buffers(pa.string(), len(texts), texts.buffers(), offset=texts.offset)
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+    found = lists.flatten().view(pa.binary())
+    # Blanks at a margin leave an empty word.
+    full = pc.binary_length(found).to_numpy(zero_copy_only=False) > 0
+    bounds = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
+    bounds = np.concatenate(([0], np.cumsum(full)))[bounds]
+    coded = found.filter(pa.array(full)).dictionary_encode()
+    words = coded.dictionary
+    ends = bounds + np.arange(len(bounds))
+    sequence = np.full(bounds[-1] + len(bounds), -1, np.int32)
+    sequence[ends] = len(words)
+    sequence[sequence < 0] = coded.indices.to_numpy()
+    return words, sequence, ends
+
+
+def pieces(incoming: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows in pieces of about ``limit`` bytes of ``text``, none empty."""
     for batch in incoming:
-        for text in batch.column("text"):
-            yield text.as_py()
+        size = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(batch):
+            before = size[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(size, before + limit, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+def places(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Each word's place in ``known``; ``len(known)`` for others, and one more for the end."""
+    found = pc.index_in(words, value_set=known).fill_null(len(known)).to_numpy(zero_copy_only=False)
+    return np.append(found.astype(np.int64), len(known) + 1)
+
+
+def by_number(numbers: dict[bytes, int]) -> pa.Array:
+    """Words in the order of their numbers, which begin at 0."""
+    return pa.array(sorted(numbers, key=numbers.get), pa.binary())
+
+
+def distinct(*columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct rows of columns of numbers from 0, and how often each occurs."""
+    sizes = [int(c.max(initial=0)) + 1 for c in columns]
+    code = columns[0].astype(np.int64)
+    for column, size in zip(columns[1:], sizes[1:]):
+        code = code * size + column
+    code, n = np.unique(code, return_counts=True)
+    found = [n]
+    for size in sizes[:0:-1]:
+        code, column = np.divmod(code, size)
+        found.append(column)
+    return (code, *found[:0:-1], n)
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
     """``(token, n)`` over all of ``text`` (bytes), the end of each text included."""
 
-    def count(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
+    def of_piece(piece: pa.RecordBatch) -> pa.RecordBatch:
+        words, sequence, _ = split_texts(piece.column("text"))
+        n = np.bincount(sequence[1:], minlength=len(words) + 1)
+        tokens = pa.concat_arrays([words, pa.array([END], pa.binary())])
+        return pa.RecordBatch.from_arrays([tokens, pa.array(n, pa.int64())], ["token", "n"])
 
-        def frame() -> pa.RecordBatch:
-            columns = [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["token", "n"])
-
-        for text in _texts(incoming):
-            held.update(words_of(text))
-            held[END] += 1
-            if len(held) >= HELD_COUNTS:
-                yield frame()
-                held.clear()
-        if held:
-            yield frame()
+    def count(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(of_piece, pieces(incoming, SPLIT_BYTES))
 
     counted = texts.mapInArrow(count, "token binary, n long")
     return counted.groupBy("token").agg(F.sum("n").alias("n"))
@@ -77,10 +123,17 @@ def count_pairs(texts: DataFrame, numbers: dict[bytes, int]) -> DataFrame:
     Words without a number count as ``RARE_WORD``; the end of a text is ``END_WORD`` and also
     stands before its first word.
     """
-    held = texts.sparkSession.sparkContext.broadcast(numbers)
+    known = texts.sparkSession.sparkContext.broadcast(by_number(numbers))
+
+    def of_piece(piece: pa.RecordBatch) -> np.ndarray:
+        words, sequence, _ = split_texts(piece.column("text"))
+        number = places(words, known.value)
+        number[number == len(known.value)] = RARE_WORD
+        number[-1] = END_WORD
+        row = number[sequence]
+        return row[:-1] * (END_WORD + 1) + row[1:]
 
     def count(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = held.value.get
         codes: list[np.ndarray] = []
         size, pairs, counts = 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -96,11 +149,9 @@ def count_pairs(texts: DataFrame, numbers: dict[bytes, int]) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(columns, kinds)], ["left", "right", "n"]
             )
 
-        for text in _texts(incoming):
-            found = [number(word, RARE_WORD) for word in words_of(text)]
-            row = np.array([END_WORD, *found, END_WORD], np.int64)
-            codes.append(row[:-1] * (END_WORD + 1) + row[1:])
-            size += len(row)
+        for piece in pieces(incoming, SPLIT_BYTES):
+            codes.append(of_piece(piece))
+            size += len(codes[-1])
             if size >= HELD_PAIRS:
                 pairs, counts = merged()
                 codes, size = [], 0
@@ -229,129 +280,166 @@ def _moves(incoming, matrix: np.ndarray, classes: np.ndarray) -> Iterator[pa.Rec
 
 
 def count_contexts(texts: DataFrame, numbers: dict[bytes, int], classes: np.ndarray) -> DataFrame:
-    """``(token, context, n)`` for words without a number: the classes before and after them.
+    """``(token, contexts)`` for words without a number: the classes before and after them.
 
-    ``context`` is ``before * CONTEXTS + after``. A word without a number has ``RARE_CLASS``,
-    unless it is the word itself. Rows of a token lie in one partition.
+    ``contexts`` has a number for each time that the word stands in some piece of the texts,
+    ``before * CONTEXTS + after``, as ``CONTEXT_TYPE``. A word without a number has ``RARE_CLASS``,
+    unless it is the word itself. Rows of a token lie in one partition, one after the other.
     """
-    held = texts.sparkSession.sparkContext.broadcast((numbers, classes))
+    held = texts.sparkSession.sparkContext.broadcast((by_number(numbers), classes))
+
+    def of_piece(piece: pa.RecordBatch) -> pa.RecordBatch:
+        known, class_of = held.value
+        words, sequence, _ = split_texts(piece.column("text"))
+        number = places(words, known)
+        rare = np.append(number[:-1] == len(known), False)
+        number[-1] = END_WORD
+        number[rare] = RARE_WORD
+        of_word = class_of[number]
+        at = np.flatnonzero(rare[sequence])
+        word = sequence[at]
+        before, after = sequence[at - 1], sequence[at + 1]
+        before = np.where(before == word, ITSELF, of_word[before])
+        after = np.where(after == word, ITSELF, of_word[after])
+        contexts = (before * CONTEXTS + after)[np.argsort(word)].astype(CONTEXT_TYPE)
+        n = np.bincount(word, minlength=len(words))
+        here = np.flatnonzero(n)
+        offsets = np.append(0, np.cumsum(n[here])) * CONTEXT_TYPE.itemsize
+        buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(contexts)]
+        columns = [words.take(pa.array(here)), pa.Array.from_buffers(pa.binary(), len(here), buffers)]
+        return pa.RecordBatch.from_arrays(columns, ["token", "contexts"])
 
     def count(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, class_of = held.value[0].get, held.value[1]
-        found: Counter[tuple[bytes, int]] = Counter()
+        yield from map(of_piece, pieces(incoming, SPLIT_BYTES))
 
-        def frame() -> pa.RecordBatch:
-            tokens, contexts = zip(*found)
-            columns = [pa.array(tokens, pa.binary()), pa.array(contexts, pa.int32())]
-            columns.append(pa.array(found.values(), pa.int64()))
-            return pa.RecordBatch.from_arrays(columns, ["token", "context", "n"])
-
-        for text in _texts(incoming):
-            words = words_of(text)
-            row = np.array([END_WORD, *[number(w, RARE_WORD) for w in words], END_WORD])
-            at = np.flatnonzero(row == RARE_WORD)
-            before, after = class_of[row[at - 1]], class_of[row[at + 1]]
-            # Places in ``at`` whose word comes again right after; words begin at row 1.
-            again = [
-                k for k in np.flatnonzero(np.diff(at) == 1).tolist() if words[at[k] - 1] == words[at[k]]
-            ]
-            after[again] = ITSELF
-            before[np.array(again, int) + 1] = ITSELF
-            found.update(zip([words[i - 1] for i in at], (before * CONTEXTS + after).tolist()))
-            if len(found) >= HELD_COUNTS:
-                yield frame()
-                found.clear()
-        if found:
-            yield frame()
+    counted = texts.mapInArrow(count, "token binary, contexts binary")
+    return counted.repartition("token").sortWithinPartitions("token")
 
-    counted = texts.mapInArrow(count, "token binary, context int, n long").repartition("token")
-    return counted.groupBy("token", "context").agg(F.sum("n").alias("n"))
 
+class JoinGains:
+    """What words of ``RARE_CLASS`` gain by joining a class.
 
-def join_gains(matrix: np.ndarray, left: np.ndarray, right: np.ndarray, same: np.ndarray) -> np.ndarray:
-    """For each word of ``RARE_CLASS`` and each class, what its move there gains, up to a constant.
-
-    As in ``best_class``, but for many words: row i of ``left`` and ``right`` counts the classes
-    beside word i, which follows itself ``same[i]`` times besides. Only classes that stand beside
-    a word change its pairs, so the work follows the entries that are not zero.
+    As in ``best_class``, but for many words. Only classes that stand beside a word change its
+    pairs, so the work follows the entries that are not zero, and most of these are small counts,
+    whose gains are the same for all words.
     """
-    gain = np.zeros((len(left), CLASSES))
-    for own, other, table in ((left, right, matrix), (right, left, matrix.T)):
-        word, beside = np.nonzero(own)
-        n = own[word, beside][:, None]
-        rest = table[beside, :CLASSES] - (beside == RARE_CLASS)[:, None] * other[word, :CLASSES]
-        change = _xlogx(rest + n) - _xlogx(rest)
-        # The class itself is counted once, below.
-        inner = np.flatnonzero(beside < CLASSES)
-        change[inner, beside[inner]] = 0
-        np.add.at(gain, word, change)
-    inner = np.diag(matrix)[:CLASSES]
-    gain += _xlogx(inner + left[:, :CLASSES] + right[:, :CLASSES] + same[:, None]) - _xlogx(inner)
-    for sums, n in ((matrix.sum(axis=1), right.sum(axis=1)), (matrix.sum(axis=0), left.sum(axis=1))):
-        whole = sums[:CLASSES]
-        gain -= _xlogx(whole + (n + same)[:, None]) - _xlogx(whole)
-    return gain
+
+    def __init__(self, matrix: np.ndarray):
+        self.tables = np.stack((matrix, matrix.T))
+        self.inner = np.diag(matrix)[:CLASSES]
+        self.sums = [sums[:CLASSES] for sums in (matrix.sum(axis=1), matrix.sum(axis=0))]
+        self.small = self.change(np.arange(1, SMALL_COUNTS + 1)[:, None, None, None], self.tables[..., :CLASSES])
+        # The class itself is counted once, apart.
+        inner = np.arange(CLASSES)
+        self.small[:, :, inner, inner] = 0
+
+    @staticmethod
+    def change(n: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        return _xlogx(rest + n) - _xlogx(rest)
+
+    def of(self, left: np.ndarray, right: np.ndarray, same: np.ndarray) -> np.ndarray:
+        """For each word and class the gain, up to a constant.
+
+        Row i of ``left`` and ``right`` counts the classes beside word i, which follows itself
+        ``same[i]`` times besides.
+        """
+        size = left.shape[1]
+        own, other = np.hstack((left, right)), np.stack((right, left))
+        word, column = np.nonzero(own)
+        side, beside = np.divmod(column, size)
+        n = own[word, column]
+        gains = self.small[np.minimum(n, SMALL_COUNTS).astype(int) - 1, side, beside]
+        many = np.flatnonzero(n > SMALL_COUNTS)
+        gains[many] = self.change(n[many, None], self.tables[side[many], beside[many], :CLASSES])
+        inner = many[beside[many] < CLASSES]
+        gains[inner, beside[inner]] = 0
+        # Of the pairs with rare words, those with the word itself leave.
+        rare = np.flatnonzero(beside == RARE_CLASS)
+        less = other[side[rare], word[rare], :CLASSES]
+        i, c = np.nonzero(less)
+        rest = self.tables[side[rare[i]], RARE_CLASS, c] - less[i, c]
+        gains[rare[i], c] = self.change(n[rare[i]], rest)
+        gain = np.zeros((len(left), CLASSES))
+        entries = np.bincount(word, minlength=len(left))
+        start = np.cumsum(entries) - entries
+        for k in range(entries.max(initial=0)):
+            more = np.flatnonzero(entries > k)
+            gain[more] += gains[start[more] + k]
+        added = left[:, :CLASSES] + right[:, :CLASSES] + same[:, None]
+        i, c = np.nonzero(added)
+        gain[i, c] += self.change(added[i, c], self.inner[c])
+        for sums, beside in zip(self.sums, (right, left)):
+            counts, which = np.unique(beside.sum(axis=1) + same, return_inverse=True)
+            gain -= self.change(counts[:, None], sums)[which]
+        return gain
+
+
+def join_gains(matrix: np.ndarray, left: np.ndarray, right: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """The gains of ``JoinGains`` in a matrix of pairs of classes."""
+    return JoinGains(matrix).of(left, right, same)
 
 
 def place_words(contexts: DataFrame, matrix: np.ndarray) -> DataFrame:
     """``(token, n, class)`` for the words of ``count_contexts``: each joins its best class."""
-    rows = contexts.groupBy("token").agg(F.collect_list(F.struct("context", "n")).alias("found"))
 
     def place(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in incoming:
-            # A word has at most CONTEXTS ** 2 entries.
-            for start in range(0, len(whole), 512):
-                batch = whole.slice(start, 512)
-                found = batch.column("found")
-                word = np.repeat(np.arange(len(batch)), found.value_lengths().to_numpy())
-                entries = found.flatten()
-                code, n = entries.field("context").to_numpy(), entries.field("n").to_numpy()
-                left, right = np.zeros((2, len(batch), CONTEXTS))
-                np.add.at(left, (word, code // CONTEXTS), n)
-                np.add.at(right, (word, code % CONTEXTS), n)
-                gain = join_gains(matrix, left[:, :ITSELF], right[:, :ITSELF], left[:, ITSELF])
-                columns = [batch.column("token"), pa.array(np.bincount(word, n, len(batch)).astype(np.int64))]
-                columns.append(pa.array(gain.argmax(axis=1).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(columns, ["token", "n", "class"])
-
-    return rows.mapInArrow(place, "token binary, n long, class int")
+        gains = JoinGains(matrix)
+
+        def frame(tokens: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+            best, n = [np.zeros(0, np.int64)], counts[0].sum(axis=1)
+            for i in range(0, len(tokens), 512):
+                left, right = counts[:, i : i + 512].astype(float)
+                best.append(gains.of(left[:, :ITSELF], right[:, :ITSELF], left[:, ITSELF]).argmax(axis=1))
+            columns = [tokens, pa.array(n, pa.int64()), pa.array(np.concatenate(best), pa.int32())]
+            return pa.RecordBatch.from_arrays(columns, ["token", "n", "class"])
+
+        # The last word of a batch may go on in the next; its counts have a fixed size.
+        last = None
+        for batch in incoming:
+            if not len(batch):
+                continue
+            coded = batch.column("token").dictionary_encode()
+            tokens, found = coded.dictionary, batch.column("contexts")
+            times = pc.binary_length(found).to_numpy(zero_copy_only=False) // CONTEXT_TYPE.itemsize
+            word = np.repeat(coded.indices.to_numpy().astype(np.int64), times)
+            code = np.frombuffer(b"".join(found.to_pylist()), CONTEXT_TYPE)
+            size = len(tokens) * CONTEXTS
+            counts = np.stack(
+                [
+                    np.bincount(word * CONTEXTS + beside, minlength=size).reshape(-1, CONTEXTS)
+                    for beside in np.divmod(code, CONTEXTS)
+                ]
+            )
+            if last is not None:
+                if last[0][0] == tokens[0]:
+                    counts[:, :1] += last[1]
+                else:
+                    yield frame(*last)
+            yield frame(tokens[:-1], counts[:, :-1])
+            last = tokens[-1:], counts[:, -1:]
+        if last is not None:
+            yield frame(*last)
+
+    return contexts.mapInArrow(place, "token binary, n long, class int")
 
 
 class Held:
-    """Numbers and classes of the words that every task holds."""
+    """Classes and counts of the words that every task holds."""
 
     def __init__(self, head: list[tuple[bytes, int, int]]):
-        self.number = {word: i for i, (word, _, _) in enumerate(head)}
+        self.words = pa.array([word for word, _, _ in head], pa.binary())
         self.counts = np.array([n for _, n, _ in head], np.float64)
         self.classes = np.array([c for _, _, c in head] + [ELSEWHERE, END_CLASS], np.int64)
 
-    def row_of(self, words: list[bytes]) -> np.ndarray:
-        """Numbers of the words, then that of the end; words not held have the one before it."""
-        number, elsewhere = self.number.get, len(self.number)
-        return np.array([number(word, elsewhere) for word in words] + [elsewhere + 1])
-
-
-Part = tuple[bytes, bytes | None, int, int]
-
 
-def outer_parts(words: list[bytes], sequence: np.ndarray) -> Counter[Part]:
-    """What of a text has to meet the table of words: ``(word, next, before, after)``, counted.
+def outer_parts(sequence: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a sequence has to meet the table of words, given the class of each of its tokens.
 
-    ``sequence`` holds the words' classes and the end's. Each word that isn't held comes with
-    the classes on both sides, and each two in a row come as a pair.
+    Each word that isn't held comes with the classes on both sides, and each two in a row come as
+    a pair: the places of the former, and those of the latter's first words.
     """
-    at = np.flatnonzero(sequence == ELSEWHERE)
-    before = np.concatenate(([END_CLASS], sequence))[at].tolist()
-    after = sequence[at + 1].tolist()
-    found: Counter[Part] = Counter(
-        (words[i], None, b, a) for i, b, a in zip(at.tolist(), before, after)
-    )
-    found.update(
-        (words[i], words[i + 1], ELSEWHERE, ELSEWHERE)
-        for i, a in zip(at.tolist(), after)
-        if a == ELSEWHERE
-    )
-    return found
+    at = np.flatnonzero(classes == ELSEWHERE)
+    return at, at[classes[at + 1] == ELSEWHERE]
 
 
 def full_matrix(texts: DataFrame, held: Held, words: DataFrame) -> np.ndarray:
@@ -362,38 +450,41 @@ def full_matrix(texts: DataFrame, held: Held, words: DataFrame) -> np.ndarray:
     def count(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         inner = np.zeros(size * size, np.int64)
-        found: Counter[Part] = Counter()
-
-        def frame() -> pa.RecordBatch:
-            kinds = (pa.binary(), pa.binary(), pa.int32(), pa.int32())
-            columns = [pa.array([part[i] for part in found], kind) for i, kind in enumerate(kinds)]
-            columns.append(pa.array(found.values(), pa.int64()))
-            return pa.RecordBatch.from_arrays(columns, ["token", "next", "before", "after", "n"])
-
-        for text in _texts(incoming):
-            split = words_of(text)
-            sequence = held.classes[held.row_of(split)]
-            before = np.concatenate(([END_CLASS], sequence[:-1]))
-            both = (before != ELSEWHERE) & (sequence != ELSEWHERE)
-            inner += np.bincount(before[both] * size + sequence[both], minlength=size * size)
-            found.update(outer_parts(split, sequence))
-            if len(found) >= HELD_COUNTS:
-                yield frame()
-                found.clear()
-        found.update({(None, None, int(i) // size, int(i) % size): inner[i] for i in np.flatnonzero(inner)})
-        if found:
-            yield frame()
+        kinds = {"token": pa.binary(), "next": pa.binary(), "before": pa.int32(), "after": pa.int32(), "n": pa.int64()}
+
+        def frame(*columns) -> pa.RecordBatch:
+            columns = [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds.values())]
+            return pa.RecordBatch.from_arrays(columns, list(kinds))
+
+        for piece in pieces(incoming, SPLIT_BYTES):
+            words, sequence, _ = split_texts(piece.column("text"))
+            classes = held.classes[places(words, held.words)][sequence]
+            before, after = classes[:-1], classes[1:]
+            both = (before != ELSEWHERE) & (after != ELSEWHERE)
+            inner += np.bincount(before[both] * size + after[both], minlength=size * size)
+            ones, twos = outer_parts(sequence, classes)
+            # Classes from 0, so one more than each.
+            word, left, right, n = distinct(sequence[ones], classes[ones - 1] + 1, classes[ones + 1] + 1)
+            yield frame(words.take(pa.array(word)), pa.nulls(len(word), pa.binary()), left - 1, right - 1, n)
+            word, following, n = distinct(sequence[twos], sequence[twos + 1])
+            outside = np.full(len(word), ELSEWHERE)
+            yield frame(words.take(pa.array(word)), words.take(pa.array(following)), outside, outside, n)
+        at = np.flatnonzero(inner)
+        yield frame(*[pa.nulls(len(at), pa.binary())] * 2, at // size, at % size, inner[at])
 
     parts = texts.mapInArrow(count, "token binary, next binary, before int, after int, n long")
     parts = stored(parts, "class-pairs")
     own = F.col("class")
     named = parts.filter("token is not null").join(words.select("token", "class"), "token")
     twos = named.filter("next is not null").select(own.alias("before"), F.col("next").alias("token"), "n")
-    ones = named.filter("next is null")
+    # A word's two pairs come out of one generator, so its class is looked up once.
+    sides = F.array(
+        F.struct(F.col("before"), own.alias("after"), "n"), F.struct(own.alias("before"), F.col("after"), "n")
+    )
+    ones = named.filter("next is null").select(F.inline(sides))
     counted = [
         parts.filter("token is null").select("before", "after", "n"),
-        ones.filter(f"before != {ELSEWHERE}").select("before", own.alias("after"), "n"),
-        ones.filter(f"after != {ELSEWHERE}").select(own.alias("before"), "after", "n"),
+        ones.filter(f"before != {ELSEWHERE} and after != {ELSEWHERE}"),
         twos.join(words.select("token", "class"), "token").select("before", own.alias("after"), "n"),
     ]
     pairs = reduce(DataFrame.unionByName, counted).groupBy("before", "after").agg(F.sum("n").alias("n"))
@@ -433,15 +524,20 @@ class Scorer:
         step[:, RARE_CLASS] = step[:, :CLASSES] @ (DELTA / self.class_scale[:CLASSES])
         self.step = np.log10(step)
 
-    def score(self, words: list[bytes]) -> tuple[int, float, float, Counter[Part]]:
-        """Known tokens, base and model score of the part that is held, and the other parts."""
-        row = self.held.row_of(words)
-        sequence = self.held.classes[row]
-        before = np.concatenate(([END_CLASS], sequence[:-1]))
-        both = (before != ELSEWHERE) & (sequence != ELSEWHERE)
-        model = self.step[before[both], sequence[both]].sum() + self.emission[row].sum()
-        known = len(words) - np.count_nonzero(sequence == ELSEWHERE) + self.end_known
-        return int(known), float(self.base[row].sum()), float(model), outer_parts(words, sequence)
+    def score(self, row: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """For each text: known tokens, base and model score of the part that is held.
+
+        ``row`` gives the places of the tokens of texts among the words held, with ends as in
+        ``split_texts``.
+        """
+        classes = self.held.classes[row]
+        before, after = classes[:-1], classes[1:]
+        both = (before != ELSEWHERE) & (after != ELSEWHERE)
+        model = self.emission[row[1:]] + np.where(both, self.step[before, after], 0)
+        known = after != ELSEWHERE
+        known[ends[1:] - 1] = self.end_known
+        sums = (known.astype(np.int64), self.base[row[1:]], model)
+        return [np.add.reduceat(values, ends[:-1]) for values in sums]
 
     def weigh(self, single, before, after, own, following, n) -> np.ndarray:
         """Log10 probability of a part; ``own`` and ``following`` are classes, ``n`` is the word's count."""
@@ -459,38 +555,41 @@ def _scored(incoming: Iterator[pa.RecordBatch], scorer) -> Iterator[pa.RecordBat
     the parts.
     """
     scorer = scorer.value
-    for batch in incoming:
-        others = [c for c in batch.schema.names if c not in ("row", "text")]
-        names = [*PART_COLUMNS, *others]
-
-        def frame(columns, kept) -> pa.RecordBatch:
-            arrays = [pa.array(x, kind) for x, kind in zip(columns, PART_COLUMNS.values())]
-            return pa.RecordBatch.from_arrays([*arrays, *kept], names)
-
-        def part_frame() -> pa.RecordBatch:
-            kept = [pa.nulls(len(parts), batch.column(c).type) for c in others]
-            zeros = [np.zeros(len(parts), np.int64)] * 2 + [np.zeros(len(parts))] * 2
-            columns = list(zip(*parts)) or [()] * (len(PART_COLUMNS) - 4)
-            return frame([*columns, *zeros], kept)
-
-        parts, sums = [], []
-        numbers = batch.column("row").to_pylist()
-        for number, text in zip(numbers, batch.column("text")):
-            words = words_of(text.as_py())
-            known, base, model, absent = scorer.score(words)
-            sums.append((len(words) + 1, known, base, model))
-            own = b" %d" % number
-            for (word, following, before, after), n in absent.items():
-                single = following is None
-                parts.append((number, word, own if single else following, single, before, after, n))
-            if len(parts) >= HELD_COUNTS:
-                yield part_frame()
-                parts = []
-        yield part_frame()
-        own = [b" %d" % number for number in numbers]
-        zeros = np.zeros(len(own), np.int64)
-        kept = [batch.column(c) for c in others]
-        yield frame([numbers, own, own, zeros.astype(bool), zeros, zeros, zeros, *zip(*sums)], kept)
+    held = scorer.held
+    for piece in pieces(incoming, SPLIT_BYTES):
+        kept = {c: piece.column(c) for c in piece.schema.names if c not in ("row", "text")}
+
+        def frame(columns: dict, kept: dict) -> pa.RecordBatch:
+            n = len(columns["row"])
+            arrays = [
+                c if isinstance(c := columns.get(name, 0), pa.Array) else pa.array(np.broadcast_to(c, n), kind)
+                for name, kind in PART_COLUMNS.items()
+            ]
+            return pa.RecordBatch.from_arrays([*arrays, *kept.values()], [*PART_COLUMNS, *kept])
+
+        def part_frame(text, token, following, single, before, after, n) -> pa.RecordBatch:
+            columns = {"row": rows[text], "token": words.take(pa.array(token)), "next": following}
+            columns |= {"single": single, "before": before, "after": after, "n": n}
+            return frame(columns, {name: pa.nulls(len(text), c.type) for name, c in kept.items()})
+
+        words, sequence, ends = split_texts(piece.column("text"))
+        rows = piece.column("row").to_numpy()
+        row = places(words, held.words)[sequence]
+        classes = held.classes[row]
+        text = np.repeat(np.arange(len(rows) + 1), np.diff(ends, prepend=-1)) - 1
+        alone = pa.array([b" %d" % number for number in rows.tolist()], pa.binary())
+        ones, twos = outer_parts(sequence, classes)
+        # Classes from 0, so one more than each.
+        of, word, before, after, n = distinct(
+            text[ones], sequence[ones], classes[ones - 1] + 1, classes[ones + 1] + 1
+        )
+        yield part_frame(of, word, alone.take(pa.array(of)), True, before - 1, after - 1, n)
+        of, word, following, n = distinct(text[twos], sequence[twos], sequence[twos + 1])
+        yield part_frame(of, word, words.take(pa.array(following)), False, ELSEWHERE, ELSEWHERE, n)
+        known, base, model = scorer.score(row, ends)
+        sums = {"row": rows, "token": alone, "next": alone, "single": False}
+        sums |= {"tokens": np.diff(ends), "known": known, "base": base, "model": model}
+        yield frame(sums, kept)
 
 
 PART_COLUMNS = {
@@ -508,7 +607,7 @@ SCORES = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 def score_documents(docs: DataFrame, training: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``docs``' rows with the log10 probability of their text under a class bigram model.
 
-    Both tables have ``text``; NULL counts as empty. Tokens are ``words_of`` and one end.
+    Both tables have ``text``; NULL counts as empty. Tokens are those of ``split_texts`` and one end.
     Columns: those of ``docs`` but ``text`` and such that bear a name of the following,
     ``n_tokens``, ``n_known`` (tokens seen in training),
     ``train_tokens``, ``base_score`` (unigrams with 0.1 added to every count) and ``score``: the

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,3 +273,47 @@ def test_rows_of_any_shape(spark):
     none = class_lm.score_documents(docs, training.limit(0)).collect()
     assert {(r.n_known, r.train_tokens, r.base_score) for r in none} == {(0, 0, 0.0)}
     assert class_lm.score_documents(docs.limit(0), training).collect() == []
+
+
+def test_texts_are_split_as_bytes_are():
+    rng = np.random.default_rng(7)
+    parts = [b"A", b"b", b" ", b"\t", b"\n", b"\x0b", b"\f", b"\r", b"\x1c", b"\x85", b"\xff", "Äİ".encode(), b"word"]
+    texts = [b"".join(parts[i] for i in rng.integers(len(parts), size=rng.integers(30))) for _ in range(300)]
+    texts += [b"", b" ", b"  x  "]
+    for found in (pa.array(texts, pa.binary()), pa.array([b"left out", *texts], pa.binary()).slice(1)):
+        words, sequence, ends = class_lm.split_texts(found)
+        names = [*words.to_pylist(), None]
+        assert len(set(names)) == len(names)
+        expected = [w for t in texts for w in (None, *t.lower().split())] + [None]
+        assert [names[i] for i in sequence] == expected
+        assert ends.tolist() == [i for i, w in enumerate(expected) if w is None]
+        batch = pa.RecordBatch.from_arrays([found], ["text"])
+        cut = list(class_lm.pieces(iter([batch]), 40))
+        assert [t for piece in cut for t in piece.column("text").to_pylist()] == texts
+        assert all(len(p) == 1 or sum(map(len, p.column("text").to_pylist())) <= 40 for p in cut)
+
+
+def test_a_word_is_shuffled_once_for_each_piece_of_the_texts(spark, monkeypatch):
+    """Not once for each of its contexts; a word whose rows lie in several batches is one word."""
+    few_words(monkeypatch, 20, 40)
+    numbers, classes = {b"w%d" % i: i for i in range(20)}, np.arange(22) % class_lm.CLASSES
+    classes[20:] = class_lm.RARE_CLASS, class_lm.END_CLASS
+    texts = [b" ".join([b"w%d rare" % i for i in range(20)] + [b"rare x"])] * 30
+    frame = spark.createDataFrame([(t,) for t in texts], "text binary").coalesce(1)
+    assert Counter(bytes(r.token) for r in class_lm.count_contexts(frame, numbers, classes).collect()) == {b"rare": 1, b"x": 1}
+
+    monkeypatch.setattr(class_lm, "SPLIT_BYTES", 1)
+    contexts = class_lm.count_contexts(frame, numbers, classes)
+    size = class_lm.END_CLASS + 1
+    matrix = np.random.default_rng(2).poisson(3000, size=(size, size)).astype(float)
+    left, right, rare = np.zeros((1, size)), np.zeros((1, size)), class_lm.RARE_CLASS
+    np.add.at(left[0], [*range(20)], 30)
+    np.add.at(right[0], [*range(1, 20), rare], 30)
+    expected = int(class_lm.join_gains(matrix, left, right, np.full(1, 30.0)).argmax())
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, 7)
+    try:
+        found = {bytes(r.token): (r.n, r["class"]) for r in class_lm.place_words(contexts, matrix).collect()}
+    finally:
+        spark.conf.unset(key)
+    assert found[b"rare"] == (30 * 21, expected) and found[b"x"][0] == 30
